@@ -40,6 +40,11 @@ THRESHOLDS = {
     "empty_chars": 8,
 }
 
+STATISTICS = (
+    "character_count word_count line_count alpha_ratio solid_alpha_ratio vowel_ratio latin_share short_line_ratio mean_word_length symbol_ratio "
+    "punct_end_ratio bullet_ratio common_word_share structured_share distinct_word_share"
+).split()
+
 # Lines that carry the structure of a list or a table.
 _BULLET = r"[•–—*·▪‣◦-]\s+\S.*"
 _NUMBERED = r"(?:\d{1,3}[.)]|\(?[a-z]\)|[IVXLC]{1,6}[.)])\s+\S.*"
@@ -120,11 +125,11 @@ def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") ->
     common = F.col(p("common_word_share"))
     cells = F.when(common < THRESHOLDS["max_cell_common_share"], F.col("__cells")).otherwise(F.lit(0.0))
     df = df.withColumn(p("structured_share"), F.round(_ratio(F.col("__structured") + cells, _len(b)), 4))
-    return df.drop("__rest", "__cells", "__structured", "__wl", "__short", "__punct_end", "__bullets", "__common", "__w", "__body", "__t").withColumnRenamed(
-        "__solid_alpha", p("solid_alpha_ratio")
-    ).withColumnRenamed("__vowels", p("vowel_ratio")).withColumnRenamed("__latin_share", p("latin_share")).withColumn(
-        p("distinct_word_share"), F.round(_ratio(F.col("__distinct"), n), 4)
-    ).drop("__distinct")
+    df = df.withColumn(p("distinct_word_share"), F.round(_ratio(F.col("__distinct"), n), 4)).withColumnsRenamed({"__solid_alpha": p("solid_alpha_ratio"), "__vowels": p("vowel_ratio"), "__latin_share": p("latin_share")})
+    made = [p(x) for x in STATISTICS]
+    rest = [c for c in df.columns if c not in made and not c.startswith("__")]
+    # through a generator no later filter is pushed down, where it would compute each statistic once more per rule
+    return df.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.array(F.struct(*made))))
 
 
 def apply_rules(df: DataFrame, prefix: str = "") -> DataFrame:
