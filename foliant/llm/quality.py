@@ -26,9 +26,8 @@ THRESHOLDS = {
     "min_chars": 120,
     "max_structured_share": 0.5,
     "max_symbol_ratio": 0.30,
-    "min_alpha_ratio": 0.60,
-    "min_vowel_ratio": 0.20,
-    "max_vowel_ratio": 0.75,
+    "min_alpha_ratio": 0.50,
+    "max_latin_bytes": 1.5,
     "min_distinct_words": 0.12,
     "min_mean_word": 2.4,
     "max_mean_word": 14.0,
@@ -41,7 +40,7 @@ THRESHOLDS = {
 }
 
 STATISTICS = (
-    "character_count word_count line_count alpha_ratio solid_alpha_ratio vowel_ratio latin_share short_line_ratio mean_word_length symbol_ratio "
+    "character_count word_count line_count alpha_ratio bytes_per_character short_line_ratio mean_word_length symbol_ratio "
     "punct_end_ratio bullet_ratio common_word_share structured_share distinct_word_share"
 ).split()
 
@@ -49,11 +48,12 @@ STATISTICS = (
 _BULLET = r"[•–—*·▪‣◦-]\s+\S.*"
 _NUMBERED = r"(?:\d{1,3}[.)]|\(?[a-z]\)|[IVXLC]{1,6}[.)])\s+\S.*"
 _ROMAN = r"[IVXLC]{1,6}\s{2,}\S.*"
-_PAGE_TAIL = r".*(?:\s{2,}|\t|(?:\s?\.){3,}\s*|,\s)\d[\d.,;\s–-]*"
-_REGISTER = r"\p{L}[^.!?]*,\s\d+(?:,\s\d+)*;.*"
-_CELLS = r".*\t.*|.*\|.*\|.*|\S.*?\S\s{2,}\S.*?\S?\s{2,}\S.*"
-_STRUCTURED = rf"(?m)^[ ]*(?:{_BULLET}|{_NUMBERED}|{_ROMAN}|{_PAGE_TAIL}|{_REGISTER}|{_CELLS})$"
+_PAGE_TAIL = r"[^\n]*+(?<=(?:[^\S\n]{2,30}|\t|\.[ ]?\.[ ]?\.[ ]{0,2}|,[ ])\d[\d.,;–-]{0,20}[ ]{0,3})"
+_REGISTER = r"\p{L}[^\n.!?,]*+,\s\d+(?:,\s\d+)*+;[^\n]*+"
+_CELLS = r"[^\n\t]*+\t[^\n]*+|[^\n|]*+\|[^\n|]*+\|[^\n]*+|(?:\S++[ ])*+\S++[ ]{2,}(?:\S++[ ])*+\S++[ ]{2,}\S[^\n]*+"
+_STRUCTURED = rf"(?m)^[ ]*+(?:{_BULLET}|{_NUMBERED}|{_ROMAN}|{_PAGE_TAIL}|{_REGISTER}|{_CELLS})$"
 _CELL_LINE = r"(?m)^[ ]*(?:\S{1,24}(?: \S{1,20})?)[ ]*$"
+_EDGE = 160
 _FURNITURE_HEAD = (
     r"\A\s*(?:[\[(—–-]?[ ]?\d{1,4}[ ]?[\])—–-]?[ ]*\n\s*)?"
     r"(?:\d{1,4}[ ]{2,}[^\n]{1,60}\n|[^\n.,;|\t]{1,60}?(?:[ ]{2,}|[ ][—–][ ])\d{1,4}[ ]*\n|[\p{Lu}\d ]{5,60}\n)?"
@@ -78,37 +78,29 @@ def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") ->
     """
     p = lambda n: f"{prefix}{n}"
     raw = F.coalesce(F.col(text), F.lit(""))
-    stripped = F.regexp_replace(raw, r"(?U)\A\s+|\s+\z", "")
-    df = df.withColumn("__t", stripped)
+    df = df.withColumn("__t", F.btrim(raw, F.lit(" \t\n\r\f   ")))
     t = F.col("__t")
-    body = F.regexp_replace(F.regexp_replace(t, _FURNITURE_HEAD, ""), _FURNITURE_FOOT, "")
-    df = df.withColumn("__body", F.when(F.length(body) >= 40, body).otherwise(t))
-    b = F.col("__body")
-    words = F.regexp_extract_all(t, F.lit(r"[\p{L}\p{N}]+(?:[-'][\p{L}\p{N}]+)*"), F.lit(0))
-    df = df.withColumn("__w", F.transform(words, lambda w: F.lower(w)))
-    w = F.col("__w")
-    df = (
-        df.withColumn("__structured", _len(b) - _len(F.regexp_replace(b, _STRUCTURED, "")))
-        .withColumn("__rest", F.regexp_replace(b, _STRUCTURED, ""))
-        .withColumn("__cells", _len(F.col("__rest")) - _len(F.regexp_replace("__rest", _CELL_LINE, "")))
+    # furniture stands within the first and last characters only
+    body = F.concat(
+        F.regexp_replace(F.substring(t, 1, _EDGE), _FURNITURE_HEAD, ""),
+        F.substring(t, F.lit(_EDGE + 1), F.greatest(F.length(t) - 2 * _EDGE, F.lit(0))),
+        F.regexp_replace(F.expr(f"right(__t, greatest(least(length(__t) - {_EDGE}, {_EDGE}), 0))"), _FURNITURE_FOOT, ""),
     )
-    solid = _len(F.regexp_replace(b, r"\s+", ""))
+    words = F.regexp_extract_all(F.lower(t), F.lit(r"[\p{L}\p{N}]+(?:[-'][\p{L}\p{N}]+)*"), F.lit(0))
+    df = df.withColumn("__body", body).withColumn("__w", words)
+    b, w = F.col("__body"), F.col("__w")
     letters = _len(F.regexp_replace(t, r"[^\p{L}]+", ""))
     df = (
-        df.withColumn(p("character_count"), F.length(t))
+        df.withColumn("__rest", F.regexp_replace(b, _STRUCTURED, ""))
+        .withColumn(p("character_count"), F.length(t))
         .withColumn(p("word_count"), F.size(w))
         .withColumn("__wl", _len(F.array_join(w, "")))
         .withColumn(p("line_count"), F.regexp_count(t, F.lit(r"(?m)^.*\S.*$")))
-        .withColumn("__short", F.regexp_count(t, F.lit(r"(?m)^[^\S\n]*\S(?:[^\n]{0,2}\S)?[^\S\n]*$")))
+        .withColumn("__short", F.regexp_count(t, F.lit(r"(?m)^[^\S\n]*+\S(?:[^\n]{0,2}\S)?[^\S\n]*+$")))
         .withColumn(p("alpha_ratio"), F.round(_ratio(letters, _len(t)), 4))
-        .withColumn("__solid_alpha", _ratio(letters, _len(F.regexp_replace(t, r"\s+", ""))))
-        .withColumn(
-            "__vowels",
-            _ratio(_len(F.regexp_replace(F.lower(t), r"[^aeiouyäöüáàâéèêëíîïóôúûæœ]+", "")), _len(F.regexp_replace(t, r"[^\p{IsLatin}]+", ""))),
-        )
-        .withColumn("__latin_share", _ratio(_len(F.regexp_replace(t, r"[^\p{IsLatin}]+", "")), letters))
+        .withColumn(p("bytes_per_character"), F.round(_ratio(F.octet_length(t), F.length(t)), 4))
         .withColumn("__punct_end", F.regexp_count(t, F.lit(r"(?m)[.!?:;。！？…][\"'”“»)\]]*[ ]*$")))
-        .withColumn("__bullets", F.regexp_count(t, F.lit(rf"(?m)^[ ]*(?:{_BULLET}|{_NUMBERED})$")))
+        .withColumn("__bullets", F.regexp_count(t, F.lit(rf"(?m)^[ ]*+(?:{_BULLET}|{_NUMBERED})$")))
         .withColumn("__common", F.size(F.filter(w, lambda x: x.isin(*COMMON_WORDS))))
         .withColumn("__distinct", F.size(F.array_distinct(w)))
     )
@@ -117,15 +109,16 @@ def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") ->
     df = (
         df.withColumn(p("short_line_ratio"), F.when(lines > 0, F.round(F.col("__short") / lines, 4)).otherwise(F.lit(1.0)))
         .withColumn(p("mean_word_length"), F.round(_ratio(F.col("__wl"), n), 4))
-        .withColumn(p("symbol_ratio"), F.round(_ratio(symbols, _len(F.regexp_replace(t, r"\s+", ""))), 4))
+        .withColumn(p("symbol_ratio"), F.round(_ratio(symbols, _len(t)), 4))
         .withColumn(p("punct_end_ratio"), F.round(_ratio(F.col("__punct_end"), lines), 4))
         .withColumn(p("bullet_ratio"), F.round(_ratio(F.col("__bullets"), lines), 4))
         .withColumn(p("common_word_share"), F.round(_ratio(F.col("__common"), n), 4))
     )
     common = F.col(p("common_word_share"))
-    cells = F.when(common < THRESHOLDS["max_cell_common_share"], F.col("__cells")).otherwise(F.lit(0.0))
-    df = df.withColumn(p("structured_share"), F.round(_ratio(F.col("__structured") + cells, _len(b)), 4))
-    df = df.withColumn(p("distinct_word_share"), F.round(_ratio(F.col("__distinct"), n), 4)).withColumnsRenamed({"__solid_alpha": p("solid_alpha_ratio"), "__vowels": p("vowel_ratio"), "__latin_share": p("latin_share")})
+    # lines of single cells count where running text is out of the question
+    rest = F.when(common < THRESHOLDS["max_cell_common_share"], F.regexp_replace("__rest", _CELL_LINE, "")).otherwise(F.col("__rest"))
+    df = df.withColumn(p("structured_share"), F.round(_ratio(_len(b) - _len(rest), _len(b)), 4))
+    df = df.withColumn(p("distinct_word_share"), F.round(_ratio(F.col("__distinct"), n), 4))
     made = [p(x) for x in STATISTICS]
     rest = [c for c in df.columns if c not in made and not c.startswith("__")]
     # through a generator no later filter is pushed down, where it would compute each statistic once more per rule
@@ -139,20 +132,19 @@ def apply_rules(df: DataFrame, prefix: str = "") -> DataFrame:
     """
     p = lambda n: F.col(f"{prefix}{n}")
     k = THRESHOLDS
-    latin = p("latin_share") > 0.5
+    latin = p("bytes_per_character") < k["max_latin_bytes"]  # other scripts take two bytes or more
     spaced = p("word_count") > 0
     rules = [
         ("too_short", p("character_count") < k["min_chars"]),
         ("symbols", p("symbol_ratio") > k["max_symbol_ratio"]),
-        ("few_letters", (p("solid_alpha_ratio") < k["min_alpha_ratio"]) & (p("structured_share") <= k["max_structured_share"])),
-        ("vowels", latin & ~p("vowel_ratio").between(k["min_vowel_ratio"], k["max_vowel_ratio"])),
+        ("few_letters", (p("alpha_ratio") < k["min_alpha_ratio"]) & (p("structured_share") <= k["max_structured_share"])),
         ("repetition", (p("distinct_word_share") < k["min_distinct_words"]) & (p("word_count") >= 20) & (p("word_count") < 3000)),
         ("word_length", latin & spaced & ~p("mean_word_length").between(k["min_mean_word"], k["max_mean_word"]) & (p("structured_share") <= k["max_structured_share"])),
         ("few_common_words", latin & (p("common_word_share") < k["min_common_share"]) & (p("structured_share") <= k["max_structured_share"])),
         ("structured_lines", p("structured_share") > k["max_structured_share"]),
     ]
     failed = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules]))
-    junk = ["symbols", "few_letters", "vowels", "repetition", "word_length", "few_common_words"]
+    junk = ["symbols", "few_letters", "repetition", "word_length", "few_common_words"]
     df = df.withColumn(f"{prefix}failed_rules", failed)
     f = p("failed_rules")
     return df.withColumn(
