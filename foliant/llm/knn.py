@@ -198,10 +198,13 @@ def scan_lists(members: np.ndarray, lists: np.ndarray, queries: np.ndarray, prob
     return best, rows
 
 
-def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, list_rows: int = 400, max_lists: int = 4096, sample_rows: int = 40_000, group_rows: int = 6000, task_rows: int = 60_000, seed: int = 11) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, least_probes: int = 3, spread: float = 1.5, list_rows: int = 400, max_lists: int = 4096, sample_rows: int = 40_000, group_rows: int = 6000, task_rows: int = 60_000, seed: int = 11) -> DataFrame:
     """For every row of ``vectors`` (``id, is_chunk, space, vec``) its nearest chunk rows of the space: ``id, near``
     (squared distance and id, nearest first, at most ``k``). Ids are unique and no two chunk rows of a space are equal vectors.
 
+    A vector probes its ``least_probes`` nearest lists, and up to ``probes`` of those whose centroid is at most ``spread`` times as far
+    (in squared distance) as the nearest.
+
     Fitted on at most ``sample_rows`` rows a space; the index has at most ``max_lists`` lists, so the broadcast is at most
     ``max_lists`` x dimension floats a space. Where groups exceed ``task_rows`` members or queries they're cut
     into blocks that meet pairwise, so a task's input stays bounded.
@@ -222,7 +225,11 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, list_rows: int = 4
             sims = x @ m["centroids"].T
             r = min(probes, sims.shape[1])
             top = np.argpartition(-sims, r - 1, axis=1)[:, :r]
-            yield at, x, np.take_along_axis(top, np.argsort(-np.take_along_axis(sims, top, 1), axis=1), 1), m
+            lists = np.take_along_axis(top, np.argsort(-np.take_along_axis(sims, top, 1), axis=1), 1)
+            far = 1 - np.take_along_axis(sims, lists, 1)  # half the squared distance to a unit centroid
+            skip = far > spread * np.maximum(far[:, :1], 0.02)
+            skip[:, :least_probes] = False
+            yield at, x, np.where(skip, -1, lists), m
 
     def loads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members: dict[int, int] = {}
@@ -230,7 +237,7 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, list_rows: int = 4
         for b in batches:
             chunk = np.array(b.column("is_chunk").to_pylist(), dtype=bool)
             for at, _, lists, m in probed(b):
-                g = m["group"][lists]
+                g = np.where(lists >= 0, m["group"][lists], m["group"][lists[:, :1]])
                 for x, n in zip(*np.unique(g[:, 0][chunk[at]], return_counts=True)):
                     members[int(x)] = members.get(int(x), 0) + int(n)
                 srt = np.sort(g, 1)
@@ -249,8 +256,8 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, list_rows: int = 4
             raw = b.column("vec").to_pylist()
             cols: list[list] = [[], [], [], [], [], []]
             for at, _, lists, m in probed(b):
-                groups = m["group"][lists]
-                packed = lists.astype(np.int32)
+                groups = np.where(lists >= 0, m["group"][lists], m["group"][lists[:, :1]])
+                packed = lists.astype(np.int16)
                 for i, row in enumerate(at.tolist()):
                     own = int(groups[i, 0])
                     probe = packed[i].tobytes()
@@ -272,7 +279,7 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, list_rows: int = 4
         is_m = np.array(table.column("is_member").to_pylist(), dtype=bool)
         is_q = np.array(table.column("is_query").to_pylist(), dtype=bool)
         x = np.frombuffer(b"".join(table.column("vec").to_pylist()), dtype=np.float32).reshape(table.num_rows, -1)
-        p = np.frombuffer(b"".join(table.column("probes").to_pylist()), dtype=np.int32).reshape(table.num_rows, -1)
+        p = np.frombuffer(b"".join(table.column("probes").to_pylist()), dtype=np.int16).reshape(table.num_rows, -1)
         ids = table.column("id")
         m_rows, q_rows = np.nonzero(is_m)[0], np.nonzero(is_q)[0]
         at = np.full(table.num_rows, -1, dtype=np.int64)
@@ -297,16 +304,17 @@ def hash_block(text: str) -> int:
 
 
 def usable_vectors(chunks: DataFrame, queries: DataFrame | None = None) -> DataFrame:
-    """Every usable vector once, written to the shared checkpoint folder. A chunk delivered more than once counts once."""
+    """Every usable vector once, written to the shared checkpoint folder, with two hashes of it. A chunk delivered more than once counts once."""
     parts = [unit_vectors(chunks, "chunk_id", True)]
     if queries is not None:
         parts.append(unit_vectors(queries, "query_id", False))
     rows = reduce(DataFrame.unionByName, parts)
-    return cut_lineage(rows.groupBy("id", "is_chunk").agg(F.min(F.struct("space", "vec")).alias("r")).select("id", "is_chunk", "r.space", "r.vec"))
+    one = rows.groupBy("id", "is_chunk").agg(F.min(F.struct("space", "vec")).alias("r")).select("id", "is_chunk", "r.space", "r.vec")
+    return cut_lineage(one.withColumn("h1", F.xxhash64("vec")).withColumn("h2", F.xxhash64(F.lit(1), "vec")))
 
 
 def most_similar(chunks: DataFrame, queries: DataFrame | None = None, k: int = 5, **options) -> DataFrame:
-    """``id, is_chunk, near_id, rank, cosine``: for every usable vector the ``k`` chunk vectors of its space with the highest cosine.
+    """``id, is_chunk, near_id, cosine``: for every usable vector the ``k`` chunk vectors of its space with the highest cosine.
 
     The vector itself is left out; ties go to the smaller id. Equal vectors are searched once: their own copies come first
     and up to ``k`` + 1 of a class stand for it, so a vector repeated in a third of all rows makes no large list. Vectors that
@@ -314,24 +322,27 @@ def most_similar(chunks: DataFrame, queries: DataFrame | None = None, k: int = 5
     row. Of an id delivered with different vectors the smallest is used.
     """
     v = usable_vectors(chunks, queries)
-    keyed = v.withColumn("h", F.xxhash64("vec"))
-    w = Window.partitionBy("space", "h", "vec").orderBy("id")
-    firsts = keyed.filter("is_chunk").withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k + 1)
-    classes = cut_lineage(firsts.groupBy("space", "h", "vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("space", "h", "vec", F.col("ids")[0].alias("rep"), "ids"))
-    search = classes.select(F.col("rep").alias("id"), F.lit(True).alias("is_chunk"), "space", "vec").unionByName(v.filter("NOT is_chunk"))
+    same = ["space", "h1", "h2"]
+    many = v.filter("is_chunk").groupBy(*same).agg(F.count("*").alias("n"), F.min("id").alias("rep")).filter("n > 1").drop("n")
+    copies = cut_lineage(v.filter("is_chunk").select("id", *same).join(many, same).select("id", "rep"))
+    first = copies.withColumn("rn", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("rn") <= k + 1)
+    classes = first.groupBy("rep").agg(F.collect_list("id").alias("ids"))  # at most k + 1 of a class
+    search = v.join(copies.filter("id <> rep").select("id", F.lit(True).alias("is_chunk")), ["id", "is_chunk"], "left_anti")
     # ids of chunks and queries are kept apart while they're searched together
     tag = F.concat(F.when(F.col("is_chunk"), "c").otherwise("q"), F.col("id"))
-    found = nearest(search.withColumn("id", tag), k=k, **options).select("id", F.explode("near").alias("n")).select("id", "n.d", F.col("n.id").alias("rep"))
-    # each found class stands for its members; a class of one needs no expansion but takes the same way
-    many = classes.filter(F.size("ids") > 1).select(F.concat(F.lit("c"), "rep").alias("rep"), "ids")
-    opened = found.join(many, "rep", "left").select("id", "d", F.explode(F.coalesce("ids", F.array(F.expr("substring(rep, 2)")))).alias("near_id"))
-    rep_of = keyed.filter("is_chunk").join(classes.filter(F.size("ids") > 1).select("space", "h", "vec", "rep", "ids"), ["space", "h", "vec"])
-    copies = rep_of.select(F.concat(F.lit("c"), "id").alias("id"), F.lit(0.0).cast("float").alias("d"), F.explode("ids").alias("near_id"), F.concat(F.lit("c"), "rep").alias("rep"))
-    spread = copies.select("id", "rep").distinct().join(opened.withColumnRenamed("id", "rep"), "rep").select("id", "d", "near_id").filter("substring(id, 2) <> substring(rep, 2)")
-    everything = opened.unionByName(copies.select("id", "d", "near_id")).unionByName(spread)
-    everything = everything.filter(~((F.substring("id", 1, 1) == "c") & (F.expr("substring(id, 2)") == F.col("near_id"))))
-    top = everything.groupBy("id").agg(F.slice(F.array_sort(F.collect_set(F.struct("d", "near_id"))), 1, k).alias("near"))  # at most k classes of k + 1
-    return top.select(F.expr("substring(id, 2)").alias("id"), (F.substring("id", 1, 1) == "c").alias("is_chunk"), F.posexplode("near").alias("rank", "n")).select("id", "is_chunk", F.col("n.near_id").alias("near_id"), (F.col("rank") + 1).alias("rank"), F.round(1 - F.col("n.d").cast("double") / 2, 6).alias("cosine"))
+    found = nearest(search.select(tag.alias("id"), "is_chunk", "space", "vec"), k=k, **options)
+    hits = found.select("id", F.explode("near").alias("n")).select("id", "n.d", F.expr("substring(n.id, 2)").alias("rep"))
+    # each found class stands for its members
+    opened = hits.join(classes, "rep", "left").select("id", "d", F.explode(F.coalesce("ids", F.array("rep"))).alias("near_id"))
+    best = F.slice(F.array_sort(F.collect_set(F.struct("d", "near_id"))), 1, k)  # of at most k classes of k + 1
+    top = opened.groupBy("id").agg(best.alias("near"))
+    # a copy has its own class before what its representative found
+    own = copies.join(classes, "rep").select("id", "rep", F.explode("ids").alias("near_id")).select("id", "rep", F.lit(0.0).cast("float").alias("d"), "near_id")
+    lent = copies.join(top.select(F.expr("substring(id, 2)").alias("rep"), "near", F.substring("id", 1, 1).alias("t")).filter("t = 'c'"), "rep").select("id", "rep", F.explode("near").alias("n")).select("id", "rep", "n.d", "n.near_id")
+    for_copies = own.unionByName(lent).filter(F.col("id") != F.col("near_id")).groupBy("id").agg(best.alias("near")).select(F.concat(F.lit("c"), "id").alias("id"), "near")
+    rest = top.join(copies.select(F.concat(F.lit("c"), "id").alias("id")), "id", "left_anti")
+    out = rest.unionByName(for_copies).select("id", F.explode("near").alias("n"))
+    return out.select(F.expr("substring(id, 2)").alias("id"), (F.substring("id", 1, 1) == "c").alias("is_chunk"), "n.near_id", F.round(1 - F.col("n.d").cast("double") / 2, 6).alias("cosine"))
 
 
 def similar_pairs(chunks: DataFrame, queries: DataFrame | None = None, k: int = 5, **options) -> DataFrame:
