@@ -1 +1 @@
-
+"""Whole pipelines and their queries."""
