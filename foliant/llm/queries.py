@@ -69,11 +69,11 @@ def oracle_sql() -> dict[str, str]:
         "p1_statistics": r"""
             WITH t AS (SELECT page_id, regexp_replace(coalesce(best_text, ''), '^\s+|\s+$', '', 'g') AS t FROM pages),
             m AS (SELECT page_id, t, length(t) AS c, len(regexp_extract_all(t, '[\p{L}\p{N}]+(?:[-''][\p{L}\p{N}]+)*')) AS w,
-                         list_filter(string_split(t, chr(10)), x -> trim(x) <> '') AS lines,
+                         list_filter(string_split(t, chr(10)), lambda x: trim(x) <> '') AS lines,
                          length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS a FROM t),
             s AS (SELECT page_id, c AS character_count, w AS word_count, len(lines) AS line_count,
                          CASE WHEN c = 0 THEN 0.0 ELSE round(a / c, 4) END AS alpha_ratio,
-                         CASE WHEN len(lines) = 0 THEN 1.0 ELSE round(len(list_filter(lines, x -> length(trim(x)) <= 4)) / len(lines), 4) END AS short_line_ratio FROM m)
+                         CASE WHEN len(lines) = 0 THEN 1.0 ELSE round(len(list_filter(lines, lambda x: length(trim(x)) <= 4)) / len(lines), 4) END AS short_line_ratio FROM m)
             SELECT page_id, character_count, word_count, line_count, alpha_ratio, short_line_ratio,
                    CASE WHEN character_count < 8 THEN 'empty' WHEN character_count < 120 OR word_count < 18 THEN 'low_text' WHEN short_line_ratio > 0.38 THEN 'fragmented' ELSE 'usable' END AS quality FROM s""",
         "p5_found": f"""
@@ -81,12 +81,12 @@ def oracle_sql() -> dict[str, str]:
             WHERE target_token_units IS NOT NULL AND len(regexp_extract_all(source_text, '{unit}')) > target_token_units""",
         "p7_found": r"""
             WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
-            dg AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w) - 12), i -> array_to_string(w[i:i+12], ' '))) AS g FROM dw WHERE len(w) >= 13),
+            dg AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w) - 12), lambda i: array_to_string(w[i:i+12], ' '))) AS g FROM dw WHERE len(w) >= 13),
             iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE lang <> 'zh'),
-            ig AS (SELECT item_id, unnest(list_transform(generate_series(1, len(w) - 12), i -> array_to_string(w[i:i+12], ' '))) AS g FROM iw WHERE len(w) >= 13),
+            ig AS (SELECT item_id, unnest(list_transform(generate_series(1, len(w) - 12), lambda i: array_to_string(w[i:i+12], ' '))) AS g FROM iw WHERE len(w) >= 13),
             dc AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS c FROM documents),
-            dz AS (SELECT doc_id, unnest(list_transform(generate_series(1, length(c) - 23), i -> substring(c, i, 24))) AS g FROM dc WHERE length(c) >= 24),
+            dz AS (SELECT doc_id, unnest(list_transform(generate_series(1, length(c) - 23), lambda i: substring(c, i, 24))) AS g FROM dc WHERE length(c) >= 24),
             ic AS (SELECT item_id, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS c FROM eval_items WHERE lang = 'zh'),
-            iz AS (SELECT item_id, unnest(list_transform(generate_series(1, length(c) - 23), i -> substring(c, i, 24))) AS g FROM ic WHERE length(c) >= 24)
+            iz AS (SELECT item_id, unnest(list_transform(generate_series(1, length(c) - 23), lambda i: substring(c, i, 24))) AS g FROM ic WHERE length(c) >= 24)
             SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g) UNION SELECT DISTINCT doc_id, item_id FROM dz JOIN iz USING (g)""",
     }
