@@ -101,8 +101,27 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return c.astype(np.float32)
 
 
-def _fit(vectors: DataFrame, list_rows: int, max_lists: int, sample_rows: int, group_rows: int, seed: int) -> dict:
-    """Per space its centroids and the group of each list, from a bounded sample of its rows."""
+def _halves(centroids: np.ndarray, weight: np.ndarray, most: float) -> np.ndarray:
+    """Groups of neighbouring lists of about equal weight: halved along the widest direction until none exceeds ``most``."""
+    group = np.zeros(len(centroids), dtype=np.int64)
+    todo, names = [np.arange(len(centroids))], 0
+    while todo:
+        at = todo.pop()
+        if len(at) < 2 or weight[at].sum() <= most:
+            group[at] = names
+            names += 1
+            continue
+        x = centroids[at] - centroids[at].mean(0)
+        axis = np.linalg.eigh(x.T @ x)[1][:, -1]
+        order = at[np.argsort(x @ axis, kind="stable")]
+        half = np.cumsum(weight[order])
+        cut = int(np.clip(np.searchsorted(half, half[-1] / 2) + 1, 1, len(order) - 1))
+        todo += [order[:cut], order[cut:]]
+    return group
+
+
+def _fit(vectors: DataFrame, k: int, epsilon: float, list_rows: int, max_lists: int, sample_rows: int, group_rows: int, seed: int) -> dict:
+    """Per space its centroids, the group of each list and the margin within which other lists are probed, from a bounded sample of its rows."""
     counts = {r["space"]: r["n"] for r in vectors.filter("is_chunk").groupBy("space").agg(F.count("*").alias("n")).collect()}
     model: dict[str, dict] = {}
     base = 0
@@ -113,11 +132,18 @@ def _fit(vectors: DataFrame, list_rows: int, max_lists: int, sample_rows: int, g
             share = 1.1 * sample_rows / n
             rows = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(sample_rows)
         x = np.frombuffer(b"".join(r[0] for r in rows.select("vec").collect()), dtype=np.float32).reshape(-1, dim)
-        k = max(1, min(max_lists, round(n / list_rows)))
-        centroids = _kmeans(x, k, 8, seed)
-        groups = max(1, min(len(centroids), round(n / group_rows)))
-        of = (centroids @ _kmeans(centroids, groups, 12, seed).T).argmax(1)
-        model[space] = {"dim": dim, "centroids": centroids, "group": (of + base).astype(np.int64)}
+        centroids = _kmeans(x, max(1, min(max_lists, round(n / list_rows))), 8, seed)
+        near = np.concatenate([(x[i : i + 4096] @ centroids.T).argmax(1) for i in range(0, len(x), 4096)])
+        weight = np.bincount(near, minlength=len(centroids)) * (n / len(x))
+        of = _halves(centroids, weight, group_rows)
+        # a neighbour at distance t lies across a border at distance m only if its step along one direction reaches m;
+        # by chance a step of t is about t / sqrt(dim) there. Distances within the sample are no shorter than those in all rows.
+        probe = x[:: max(1, len(x) // 1000)]
+        sims = probe @ x.T
+        kth = -np.partition(-sims, min(k, len(x) - 1), axis=1)[:, min(k, len(x) - 1)]
+        reach = float(np.quantile(np.sqrt(np.maximum(2 - 2 * kth, 0)), 0.9))
+        gap = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 1e-6)).astype(np.float32)
+        model[space] = {"dim": dim, "centroids": centroids, "group": of + base, "margin": epsilon * reach / np.sqrt(dim), "gap": gap}
         base += int(of.max()) + 1
     return model
 
@@ -198,19 +224,19 @@ def scan_lists(members: np.ndarray, lists: np.ndarray, queries: np.ndarray, prob
     return best, rows
 
 
-def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, least_probes: int = 3, spread: float = 1.5, list_rows: int = 400, max_lists: int = 4096, sample_rows: int = 40_000, group_rows: int = 6000, task_rows: int = 60_000, seed: int = 11) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, epsilon: float = 2.1, list_rows: int = 400, max_lists: int = 4096, sample_rows: int = 40_000, group_rows: int = 6000, task_rows: int = 60_000, seed: int = 11) -> DataFrame:
     """For every row of ``vectors`` (``id, is_chunk, space, vec``) its nearest chunk rows of the space: ``id, near``
     (squared distance and id, nearest first, at most ``k``). Ids are unique and no two chunk rows of a space are equal vectors.
 
-    A vector probes its ``least_probes`` nearest lists, and up to ``probes`` of those whose centroid is at most ``spread`` times as far
-    (in squared distance) as the nearest.
+    A vector probes its own list, and up to ``probes`` lists in all whose border it is near: a hypothesis test with the same ``epsilon``
+    as that of the scan tells how near a border must be for neighbours to be expected beyond it.
 
     Fitted on at most ``sample_rows`` rows a space; the index has at most ``max_lists`` lists, so the broadcast is at most
-    ``max_lists`` x dimension floats a space. Where groups exceed ``task_rows`` members or queries they're cut
+    ``max_lists`` x (dimension + ``max_lists``) floats a space. Where groups exceed ``task_rows`` members or queries they're cut
     into blocks that meet pairwise, so a task's input stays bounded.
     """
     spark = vectors.sparkSession
-    model = _fit(vectors, list_rows, max_lists, sample_rows, group_rows, seed)
+    model = _fit(vectors, k, epsilon, list_rows, max_lists, sample_rows, group_rows, seed)
     shared = spark.sparkContext.broadcast(model)
 
     def probed(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, dict]]:
@@ -226,9 +252,10 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, least_probes: int
             r = min(probes, sims.shape[1])
             top = np.argpartition(-sims, r - 1, axis=1)[:, :r]
             lists = np.take_along_axis(top, np.argsort(-np.take_along_axis(sims, top, 1), axis=1), 1)
-            far = 1 - np.take_along_axis(sims, lists, 1)  # half the squared distance to a unit centroid
-            skip = far > spread * np.maximum(far[:, :1], 0.02)
-            skip[:, :least_probes] = False
+            own = lists[:, :1]
+            far = (np.take_along_axis(sims, own, 1) - np.take_along_axis(sims, lists, 1)) / m["gap"][own, lists]
+            skip = far > m["margin"]
+            skip[:, 0] = False
             yield at, x, np.where(skip, -1, lists), m
 
     def loads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +311,7 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, least_probes: int
         m_rows, q_rows = np.nonzero(is_m)[0], np.nonzero(is_q)[0]
         at = np.full(table.num_rows, -1, dtype=np.int64)
         at[m_rows] = np.arange(len(m_rows))
-        best, rows = scan_lists(x[m_rows], p[m_rows, 0], x[q_rows], [p[q_rows, r] for r in range(p.shape[1])], k, at[q_rows])
+        best, rows = scan_lists(x[m_rows], p[m_rows, 0], x[q_rows], [p[q_rows, r] for r in range(p.shape[1])], k, at[q_rows], epsilon)
         order = np.argsort(best, axis=1, kind="stable")
         best, rows = np.take_along_axis(best, order, 1), np.take_along_axis(rows, order, 1)
         ok = rows >= 0
