@@ -35,6 +35,7 @@ _JOINED_SCRIPTS = re.compile("[؀-޿ऀ-࿿ក-᢯]")
 _CJK = re.compile("[぀-ヿ㐀-鿿가-힯豈-﫿]")
 _WORD = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile("[A-Za-zÀ-ɏḀ-ỿ]")
+_LOOK = re.compile("[" + "".join(LOOKALIKES) + "]")
 _MARKS = re.compile("[̀-ͯ]")
 #: the same classes for Catalyst, wide enough to let every case through
 SUSPECT_SQL = (
@@ -79,17 +80,24 @@ def plain_form(text: str) -> tuple[str, list[str]]:
 
 def foreign_tokens(text: str) -> list[tuple[str, str, bool]]:
     """Tokens holding look-alikes of another script: (token, in Latin letters, whether it has Latin letters too)."""
-    out = {}
     if text.isascii():
         return []
-    for m in _WORD.finditer(text):
-        w = m[0]
-        if w.isascii() or w in out or not any(c in LOOKALIKES for c in w):
+    out = {}
+    done = 0
+    for m in _LOOK.finditer(text):
+        if m.start() < done:
             continue
-        latin = bool(_LATIN.search(w))
-        mapped = "".join(LOOKALIKES.get(c, c) for c in w)
-        if all(_LATIN.match(c) for c in mapped):
-            out[w] = (w, mapped, latin)
+        a, b = m.span()
+        while a > 0 and text[a - 1].isalpha():
+            a -= 1
+        while b < len(text) and text[b].isalpha():
+            b += 1
+        done = b
+        w = text[a:b]
+        if w not in out:
+            mapped = "".join(LOOKALIKES.get(c, c) for c in w)
+            if all(_LATIN.match(c) for c in mapped):
+                out[w] = (w, mapped, bool(_LATIN.search(w)))
     return list(out.values())
 
 
