@@ -136,12 +136,13 @@ def _fit(vectors: DataFrame, k: int, epsilon: float, list_rows: int, max_lists:
         near = np.concatenate([(x[i : i + 4096] @ centroids.T).argmax(1) for i in range(0, len(x), 4096)])
         weight = np.bincount(near, minlength=len(centroids)) * (n / len(x))
         of = _halves(centroids, weight, group_rows)
-        # a neighbour at distance t lies across a border at distance m only if its step along one direction reaches m;
-        # by chance a step of t is about t / sqrt(dim) there. Distances within the sample are no shorter than those in all rows.
+        # A neighbour at distance t lies across a border at distance m only if its step along one direction reaches m;
+        # by chance a step of t is about t / sqrt(dim) there. Of k neighbours the sample holds its share.
         probe = x[:: max(1, len(x) // 1000)]
         sims = probe @ x.T
-        kth = -np.partition(-sims, min(k, len(x) - 1), axis=1)[:, min(k, len(x) - 1)]
-        reach = float(np.quantile(np.sqrt(np.maximum(2 - 2 * kth, 0)), 0.9))
+        rank = min(max(1, -(-k * len(x) // n)), len(x) - 1)
+        kth = -np.partition(-sims, rank, axis=1)[:, rank]
+        reach = float(np.quantile(np.sqrt(np.maximum(2 - 2 * kth, 0)), 0.75))
         gap = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 1e-6)).astype(np.float32)
         model[space] = {"dim": dim, "centroids": centroids, "group": of + base, "margin": epsilon * reach / np.sqrt(dim), "gap": gap}
         base += int(of.max()) + 1
