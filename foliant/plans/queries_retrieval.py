@@ -1 +1,202 @@
-"""Queries over whole tables."""
+"""Queries of retrieval: lexical, vector, hybrid, and their evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliant.functions import text as tx
+from foliant.operators import retrieval as rt
+from foliant.operators import tables as tb
+from foliant.registry import query
+from foliant.session import read_table
+
+_FOLD = f"translate(lower(coalesce({{c}}, '')), '{tx.DIACRITICS}', '{tx.FOLDED}')"
+# one row per chunk: deliveries of a chunk are equal but for their arrival
+_CHUNKS = "SELECT chunk_id, max_by({'parent': coalesce(parent_chunk_id, chunk_id), 'record': record_id, 'space': vector_space_id, 'dims': dimensions, 'name': scientific_name, 'text': source_text, 'vec': embedding_json}, ingested_at) AS r FROM embedding_chunks GROUP BY chunk_id"
+_QUERY_TERMS = rf"""
+    qt AS (SELECT query_id, unnest(list_distinct(list_concat(regexp_extract_all(f, '[a-z0-9]{{3,}}'),
+             flatten(list_transform(regexp_extract_all(f, '[\x{{3400}}-\x{{9fff}}]{{2,}}'), lambda r: CASE WHEN length(r) <= 6 THEN [r] ELSE
+               list_concat(list_transform(generate_series(1, length(r) - 3), lambda i: substring(r, i, 4)), list_concat(list_transform(generate_series(1, length(r) - 2), lambda i: substring(r, i, 3)), list_transform(generate_series(1, length(r) - 1), lambda i: substring(r, i, 2)))) END))))) AS term
+           FROM (SELECT query_id, {_FOLD.format(c="question")} AS f FROM embedding_queries))"""
+_BM25 = rf"""
+    WITH c AS ({_CHUNKS}),
+    t AS (SELECT chunk_id AS doc, regexp_extract_all({_FOLD.format(c="concat_ws(' ', r.name, r.text)")}, '[\p{{L}}\p{{N}}]+') AS t FROM c),
+    p AS (SELECT doc, len(t) AS dl, unnest(t) AS term FROM t WHERE len(t) > 0), i AS (SELECT doc, term, count(*) AS tf, any_value(dl) AS dl FROM p GROUP BY ALL),
+    g AS (SELECT count(*) AS n, avg(dl) AS a FROM (SELECT DISTINCT doc, dl FROM i)), d AS (SELECT term, count(*) AS df FROM i GROUP BY 1), {_QUERY_TERMS},
+    s AS (SELECT query_id AS query, doc, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / a))), 6) AS score FROM qt JOIN i USING (term) JOIN d USING (term), g GROUP BY ALL),
+    l AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) AS rank FROM s QUALIFY rank <= {{k}})"""
+_VECTORS = f"""
+    cv AS (SELECT chunk_id, r.parent AS parent, r.record AS record, r.space AS space, TRY_CAST(r.vec AS DOUBLE[]) AS v, r.dims AS dims FROM ({_CHUNKS})),
+    qv AS (SELECT query_id, vector_space_id AS space, TRY_CAST(embedding_json AS DOUBLE[]) AS v, dimensions AS dims FROM embedding_queries),
+    okc AS (SELECT * FROM cv WHERE len(v) = dims AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    okq AS (SELECT * FROM qv WHERE len(v) = dims AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    sem AS (SELECT query_id AS query, chunk_id AS item, parent, record, round(list_cosine_similarity(q.v, c.v), 6) AS cosine FROM okq q JOIN okc c ON q.space = c.space AND len(q.v) = len(c.v)),
+    vs AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY cosine DESC, item) AS rank FROM sem QUALIFY rank <= {{k}})"""
+_TOP = 40
+
+
+def chunks_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "embedding_chunks").withColumn("parent", F.coalesce("parent_chunk_id", "chunk_id"))
+    return tb.latest(c.select("chunk_id", "parent", "record_id", "vector_space_id", "dimensions", "scientific_name", "source_text", "embedding_json", "ingested_at"), ["chunk_id"], ["ingested_at"])
+
+
+def lexical_hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    c = chunks_once(spark, sf_dir).select("chunk_id", F.concat_ws(" ", "scientific_name", "source_text").alias("t"))
+    return rt.bm25(rt.inverted_index(c, "chunk_id", "t"), read_table(spark, sf_dir, "embedding_queries"), "query_id", "question", k)
+
+
+def semantic_hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    pick = lambda t, key: t.withColumn("v", rt.json_vector(F.col("embedding_json"))).filter(rt.usable_vector(F.col("v"), F.col("dimensions"))).select(key, "v", "vector_space_id")
+    return rt.vector_search(pick(chunks_once(spark, sf_dir), "chunk_id"), pick(read_table(spark, sf_dir, "embedding_queries"), "query_id"), "chunk_id", "v", "query_id", "v", k, ["vector_space_id"])
+
+
+@query(_BM25.replace("{k}", "5") + " SELECT query, doc, score, rank FROM l")
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_hits(spark, sf_dir, 5).select("query", "doc", "score", F.col("rank").cast("long").alias("rank"))
+
+
+@query(_BM25.replace("{k}", "80") + " SELECT query, doc, round(1.0 / rank, 6) AS lexical FROM l")
+def bm25_reciprocal_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_hits(spark, sf_dir, 80).select("query", "doc", F.round(1 / F.col("rank"), 6).alias("lexical"))
+
+
+@query(f"WITH {_QUERY_TERMS} SELECT query_id, count(*) AS n_terms, count(*) FILTER (regexp_matches(term, '^[a-z0-9]')) AS latin FROM qt GROUP BY 1")
+def lexical_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = read_table(spark, sf_dir, "embedding_queries").select("query_id", F.explode(tx.query_terms(F.col("question"), 1000)).alias("term"))
+    return t.groupBy("query_id").agg(F.count("*").alias("n_terms"), F.count_if(F.col("term").rlike("^[a-z0-9]")).alias("latin"))
+
+
+@query("""
+    WITH s AS (SELECT q.vec_id AS query, b.vec_id AS item, round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM embeddings q, embeddings b WHERE q.vec_id % 50 = 0 AND q.vec_id <> b.vec_id)
+    SELECT query, item, cosine, row_number() OVER (PARTITION BY query ORDER BY cosine DESC, CAST(item AS VARCHAR)) AS rank FROM s QUALIFY rank <= 10""")
+def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings")
+    h = rt.vector_search(e, e.filter("vec_id % 50 = 0"), "vec_id", "embedding", "vec_id", "embedding", 10, exclude_same=True)
+    return h.select(F.col("query").cast("long").alias("query"), F.col("item").cast("long").alias("item"), "cosine", F.col("rank").cast("long").alias("rank"))
+
+
+@query(f"WITH {_VECTORS.replace('{k}', '5')} SELECT query, item, cosine, rank FROM vs")
+def semantic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return semantic_hits(spark, sf_dir, 5).select("query", "item", "cosine", F.col("rank").cast("long").alias("rank"))
+
+
+@query(f"""
+    WITH {_VECTORS.replace('{k}', '1')}
+    SELECT space, count(*) AS vectors, count(*) FILTER (u) AS usable FROM (SELECT space, coalesce(len(v) = dims AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0, false) AS u FROM cv) GROUP BY 1""")
+def vector_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = chunks_once(spark, sf_dir).withColumn("v", rt.json_vector(F.col("embedding_json")))
+    return c.groupBy(F.col("vector_space_id").alias("space")).agg(F.count("*").alias("vectors"), F.count_if(rt.usable_vector(F.col("v"), F.col("dimensions"))).alias("usable"))
+
+
+@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 5) AS length, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 5) BETWEEN 0.95 AND 1.05 AS unit FROM embeddings")
+def vector_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.round(rt.norm(F.transform("embedding", lambda x: x.cast("double"))), 5)
+    return read_table(spark, sf_dir, "embeddings").select("vec_id", n.alias("length"), n.between(0.95, 1.05).alias("unit"))
+
+
+_HYBRID = _BM25.replace("{k}", "80") + "," + _VECTORS.replace("{k}", str(_TOP)) + ", h AS (SELECT vs.query, vs.item, vs.parent, vs.record, vs.cosine AS semantic, round(vs.cosine + 0.08 * coalesce(1.0 / l.rank, 0), 6) AS score FROM vs LEFT JOIN l ON l.query = vs.query AND l.doc = vs.item)"
+
+
+def hybrid_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = rt.fuse_weighted(semantic_hits(spark, sf_dir, _TOP), lexical_hits(spark, sf_dir, 80))
+    ids = chunks_once(spark, sf_dir).select(F.col("chunk_id").alias("item"), "parent", F.col("record_id").alias("record"))
+    return h.join(ids, "item")
+
+
+@query(_HYBRID + " SELECT query, item, semantic, score FROM h QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 10")
+def hybrid_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rt.top_k(rt.fuse_weighted(semantic_hits(spark, sf_dir, _TOP), lexical_hits(spark, sf_dir, 80)), "query", "score", "item", 10).select("query", "item", "semantic", "score")
+
+
+@query(_BM25.replace("{k}", "80") + "," + _VECTORS.replace("{k}", str(_TOP)) + """,
+    u AS (SELECT query, item, rank FROM vs UNION ALL SELECT query, doc, rank FROM l), f AS (SELECT query, item, round(sum(1.0 / (60 + rank)), 6) AS score FROM u GROUP BY ALL)
+    SELECT query, item, score FROM f QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 10""")
+def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = semantic_hits(spark, sf_dir, _TOP).select("query", "item", "rank")
+    lex = lexical_hits(spark, sf_dir, 80).select("query", F.col("doc").alias("item"), "rank")
+    return rt.top_k(rt.fuse_ranks([s, lex]), "query", "score", "item", 10).select("query", "item", "score")
+
+
+@query(_HYBRID + """, c2 AS (SELECT query, parent, max(score) AS score, min_by(item, {'s': -score, 'i': item}) AS item, string_agg(item, ' ' ORDER BY score DESC, item) AS children FROM h GROUP BY ALL)
+    SELECT query, parent, score, item, children FROM c2 QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 5""")
+def hybrid_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = rt.collapse(hybrid_hits(spark, sf_dir), "parent", 5)
+    return c.select("query", "parent", "score", "item", F.array_join("children", " ").alias("children"))
+
+
+@query(_HYBRID + """, c2 AS (SELECT query, parent, max(score) AS score, min_by(item, {'s': -score, 'i': item}) AS item, any_value(record) AS record FROM h GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM c2), dd AS (SELECT *, row_number() OVER (PARTITION BY query, record ORDER BY rank) AS rr FROM r WHERE rank <= 18)
+    SELECT query, parent, record, row_number() OVER (PARTITION BY query ORDER BY rank) AS final_rank FROM dd WHERE rr <= 2 QUALIFY final_rank <= 12""")
+def diversify_by_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = hybrid_hits(spark, sf_dir)
+    c = rt.collapse(h, "parent", 18).join(h.select("query", "parent", "record").distinct(), ["query", "parent"])
+    return rt.diversify(c, "record").select("query", "parent", "record", F.col("final_rank").cast("long").alias("final_rank"))
+
+
+@query(_HYBRID + " SELECT query, count(*) AS raw_hits, count(DISTINCT parent) AS parents, count(*) - count(DISTINCT parent) AS duplicates_removed FROM h GROUP BY 1")
+def duplicate_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hybrid_hits(spark, sf_dir).groupBy("query").agg(F.count("*").alias("raw_hits"), F.countDistinct("parent").alias("parents"), (F.count("*") - F.countDistinct("parent")).alias("duplicates_removed"))
+
+
+_RULES = [("contain", ["saponin", "resin", "contains"], 1), ("enthalten", ["saponin", "harz"], 2), ("wächst", ["steppe", "wiesen"], 3), ("grow", ["hedges", "gardens"], 4), ("dose", ["drops", "tincture"], 5), ("blüten", ["blütezeit", "flores"], 6)]
+
+
+def _rules(spark: SparkSession) -> DataFrame:
+    rows = [(tx_trigger, emits, p) for tx_trigger, emits, p in _RULES]
+    return spark.createDataFrame(rows, "raw string, emits array<string>, priority int").select(tx.fold(F.col("raw")).alias("trigger"), "emits", "priority")
+
+
+_RULE_SQL = " UNION ALL ".join(f"SELECT {_FOLD.format(c=repr(t))} AS trigger, {e!r} AS emits, {p} AS priority" for t, e, p in _RULES)
+
+
+@query(rf"""
+    WITH r AS ({_RULE_SQL}), w AS (SELECT DISTINCT query_id, unnest(regexp_extract_all({_FOLD.format(c="question")}, '[\p{{L}}\p{{N}}]+')) AS trigger FROM embedding_queries),
+    h AS (SELECT query_id, priority, unnest(emits) AS term, generate_subscripts(emits, 1) AS pos FROM w JOIN r USING (trigger)), f AS (SELECT query_id, term, min(priority * 1000 + pos) AS o FROM h GROUP BY ALL)
+    SELECT query_id, string_agg(term, ' ' ORDER BY o, term) AS expanded FROM f GROUP BY 1""")
+def query_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = rt.expand_terms(read_table(spark, sf_dir, "embedding_queries"), _rules(spark), "query_id", "question")
+    return x.select("query_id", F.array_join("expanded", " ").alias("expanded"))
+
+
+@query(rf"""
+    WITH l0 AS (SELECT query, item FROM (WITH {_VECTORS.replace('{k}', '10')} SELECT query, item FROM vs)), c AS ({_CHUNKS}), {_QUERY_TERMS}, t AS (SELECT query_id, list(term) AS ts FROM qt GROUP BY 1)
+    SELECT query, item, round(len(list_filter(ts, lambda x: contains({_FOLD.format(c='c.r.text')}, x))) / len(ts), 6) AS coverage FROM l0 JOIN c ON c.chunk_id = l0.item JOIN t ON t.query_id = l0.query""")
+def term_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = read_table(spark, sf_dir, "embedding_queries").select(F.col("query_id").alias("query"), tx.query_terms(F.col("question"), 1000).alias("ts")).filter(F.size("ts") > 0)
+    c = chunks_once(spark, sf_dir).select(F.col("chunk_id").alias("item"), "source_text")
+    return semantic_hits(spark, sf_dir, 10).join(q, "query").join(c, "item").select("query", "item", rt.term_coverage(F.col("source_text"), F.col("ts")).alias("coverage"))
+
+
+_EVAL = """
+    WITH s AS (SELECT q.vec_id AS query, b.vec_id AS item, q.label AS ql, b.label AS bl, round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM embeddings q, embeddings b WHERE q.vec_id % 50 = 0 AND q.vec_id <> b.vec_id),
+    k AS (SELECT *, ql = bl AS relevant, row_number() OVER (PARTITION BY query ORDER BY cosine DESC, CAST(item AS VARCHAR)) AS rank FROM s QUALIFY rank <= 20),
+    g AS (SELECT query, any_value(ql) AS label, min(rank) FILTER (relevant) AS first_relevant_rank, coalesce(max(cosine) FILTER (relevant), -1.0) AS b, coalesce(max(cosine) FILTER (NOT relevant), -1.0) AS o FROM k GROUP BY 1),
+    m AS (SELECT query, label, first_relevant_rank, round(coalesce(1.0 / first_relevant_rank, 0), 6) AS mrr, CAST(coalesce(first_relevant_rank <= 1, false) AS INTEGER) AS recall_at_1, CAST(coalesce(first_relevant_rank <= 3, false) AS INTEGER) AS recall_at_3, round(b - o, 6) AS margin FROM g)"""
+
+
+def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings")
+    h = rt.vector_search(e, e.filter("vec_id % 50 = 0"), "vec_id", "embedding", "vec_id", "embedding", 20, exclude_same=True)
+    labels = e.select(F.col("vec_id").cast("string").alias("id"), "label")
+    h = h.join(labels.withColumnsRenamed({"id": "query", "label": "ql"}), "query").join(labels.withColumnsRenamed({"id": "item", "label": "bl"}), "item")
+    m = rt.ranking_metrics(h.withColumn("relevant", F.col("ql") == F.col("bl")))
+    return m.join(labels.withColumnRenamed("id", "query"), "query").withColumn("query", F.col("query").cast("long")).withColumn("first_relevant_rank", F.col("first_relevant_rank").cast("long"))
+
+
+@query(_EVAL + " SELECT query, first_relevant_rank, mrr, recall_at_1, recall_at_3, margin FROM m")
+def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _evaluated(spark, sf_dir).select("query", "first_relevant_rank", "mrr", "recall_at_1", "recall_at_3", "margin")
+
+
+_SUMMARY = ", p AS (SELECT label, count(*) AS queries, round(avg(mrr), 6) AS mrr, round(avg(recall_at_1), 6) AS recall_at_1, round(avg(recall_at_3), 6) AS recall_at_3, round(avg(margin), 6) AS mean_margin FROM m GROUP BY 1)"
+
+
+@query(_EVAL + _SUMMARY + " SELECT * FROM p")
+def profile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rt.metrics_summary(_evaluated(spark, sf_dir), "label")
+
+
+@query(_EVAL + _SUMMARY + " SELECT * FROM p ORDER BY mrr DESC, recall_at_1 DESC, mean_margin DESC, label LIMIT 1")
+def profile_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rt.best_profile(rt.metrics_summary(_evaluated(spark, sf_dir), "label"), "label")
