@@ -13,6 +13,8 @@ from string import Template
 
 from pyspark.sql import DataFrame
 
+from foliant.session import cut_lineage
+
 # A token is an ideograph, kana or Thai sign; a word; a number; a run of line ends; another sign.
 TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}]+|\p{N}+|\n+|[^\s\p{L}\p{M}\p{N}]"
 # A whole end: a stop, perhaps with closing signs or citations after it.
@@ -46,11 +48,17 @@ FROM (SELECT same, inline(flatten(transform(sequence(0, size(t) - 1), i -> array
       FROM $tokens WHERE size(t) > 0)
 WHERE g IS NOT NULL"""
 
-# Of each final gram: how often it stands inside lines, and how often it ends a line or another open text;
-# the end in question is left out, and equal texts count once.
+# The grams that some end asks about, each with what follows it and how often; equal open texts count once.
+_HITS = """
+SELECT g, k, follows, open_end, count(*) AS n FROM $grams
+LEFT SEMI JOIN (SELECT DISTINCT explode(array_compact(array(tri, bi, uni, before))) AS f FROM $ends) ON g = f
+GROUP BY g, k, follows, open_end"""
+
+# Of each final gram: how often it stands inside lines, and how often it ends a line or another open text; the end in question is left out.
 _COUNTS = """
-SELECT g, count(follows) AS inside, count_if(follows IS NULL AND open_end IS NULL) + greatest(count(DISTINCT open_end) - 1, 0) AS terminal
-FROM $grams LEFT SEMI JOIN (SELECT DISTINCT $column AS f FROM $ends) ON g = f WHERE k = $k GROUP BY g"""
+SELECT g, sum(CASE WHEN follows IS NOT NULL THEN n ELSE 0 END) AS inside,
+       sum(CASE WHEN follows IS NULL AND open_end IS NULL THEN n ELSE 0 END) + greatest(count(open_end) - 1, 0) AS terminal
+FROM $hits WHERE k = $k GROUP BY g"""
 
 _WORDS = r"""
 SELECT w, count(*) AS n FROM (SELECT explode(if(whole, t, slice(t, 1, size(t) - 1))) AS w FROM $tokens WHERE size(t) > 0)
@@ -67,7 +75,7 @@ _KNOWN = "SELECT w AS last, n AS as_word FROM $words LEFT SEMI JOIN (SELECT DIST
 _GOES_ON = """
 SELECT before, last, sum(n) AS longer_here
 FROM (SELECT DISTINCT before, last FROM $ends WHERE before IS NOT NULL) e
-JOIN (SELECT g, follows, count(*) AS n FROM $grams WHERE k = 3 AND follows IS NOT NULL GROUP BY g, follows) ON g = before
+JOIN (SELECT g, follows, sum(n) AS n FROM $hits WHERE k = 3 AND follows IS NOT NULL GROUP BY g, follows) ON g = before
 WHERE startswith(follows, last) AND follows <> last GROUP BY before, last"""
 
 # Lengths at which the texts of a source pile up: far more than lengths a little shorter, near the greatest.
@@ -122,12 +130,13 @@ def judged_ends(
         return out
 
     step("docs", df=documents.select("doc_id", "source", "text"))
-    step("tokens", _TOKENS)
+    step("tokens", df=cut_lineage(spark.sql(Template(_TOKENS).substitute(names))))  # read several times
     step("ends", _ENDS)
     step("grams", _GRAMS)
-    step("tri", _COUNTS, column="tri", k=3)
-    step("bi", _COUNTS, column="bi", k=2)
-    step("uni", _COUNTS, column="uni", k=1)
+    step("hits", df=cut_lineage(spark.sql(Template(_HITS).substitute(names))))
+    step("tri", _COUNTS, k=3)
+    step("bi", _COUNTS, k=2)
+    step("uni", _COUNTS, k=1)
     step("words", _WORDS)
     step("stubs", _STUBS)
     step("known", _KNOWN)
