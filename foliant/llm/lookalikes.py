@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliant.session import cut_lineage
+
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = {
     **dict(zip("АВЕЅІЈКМНОРСТУХҮҒԌԚԜ", "ABESIJKMHOPCTYXYFGQW")),
@@ -135,7 +137,7 @@ def unify(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
                 names=["table_name", "row_key", "field_name", "plain", "kinds", "tokens"],
             )
 
-    found = suspects.mapInArrow(first, FIRST_SCHEMA).filter((F.size("kinds") > 0) | (F.size("tokens") > 0))
+    found = cut_lineage(suspects.mapInArrow(first, FIRST_SCHEMA).filter((F.size("kinds") > 0) | (F.size("tokens") > 0)))  # used three times
     looks = found.select(F.explode("tokens").alias("t")).select("t.token", "t.mapped", "t.mixed").distinct()
     known = looks.join(vocabulary.select(F.col("word").alias("w")), F.lower("mapped") == F.col("w"), "left")
     loose = F.col("token").rlike("[" + "".join(sorted(_LOOSE)) + "]")
