@@ -355,22 +355,26 @@ def most_similar(chunks: DataFrame, queries: DataFrame | None = None, k: int = 5
     copies = cut_lineage(v.filter("is_chunk").select("id", *same).join(many, same).select("id", "rep"))
     first = copies.withColumn("rn", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("rn") <= k + 1)
     classes = first.groupBy("rep").agg(F.collect_list("id").alias("ids"))  # at most k + 1 of a class
-    search = v.join(copies.filter("id <> rep").select("id", F.lit(True).alias("is_chunk")), ["id", "is_chunk"], "left_anti")
+    equal = not copies.isEmpty()  # without equal vectors the joins below would change nothing
+    search = v.join(copies.filter("id <> rep").select("id", F.lit(True).alias("is_chunk")), ["id", "is_chunk"], "left_anti") if equal else v
     # ids of chunks and queries are kept apart while they're searched together
     tag = F.concat(F.when(F.col("is_chunk"), "c").otherwise("q"), F.col("id"))
     found = nearest(search.select(tag.alias("id"), "is_chunk", "space", "vec"), k=k, **options)
     hits = found.select("id", F.explode("near").alias("n")).select("id", "n.d", F.expr("substring(n.id, 2)").alias("rep"))
-    # each found class stands for its members
-    opened = hits.join(classes, "rep", "left").select("id", "d", F.explode(F.coalesce("ids", F.array("rep"))).alias("near_id"))
     best = F.slice(F.array_sort(F.collect_set(F.struct("d", "near_id"))), 1, k)  # of at most k classes of k + 1
-    top = opened.groupBy("id").agg(best.alias("near"))
-    # a copy has its own class before what its representative found
-    own = copies.join(classes, "rep").select("id", "rep", F.explode("ids").alias("near_id")).select("id", "rep", F.lit(0.0).cast("float").alias("d"), "near_id")
-    lent = copies.join(top.select(F.expr("substring(id, 2)").alias("rep"), "near", F.substring("id", 1, 1).alias("t")).filter("t = 'c'"), "rep").select("id", "rep", F.explode("near").alias("n")).select("id", "rep", "n.d", "n.near_id")
-    for_copies = own.unionByName(lent).filter(F.col("id") != F.col("near_id")).groupBy("id").agg(best.alias("near")).select(F.concat(F.lit("c"), "id").alias("id"), "near")
-    rest = top.join(copies.select(F.concat(F.lit("c"), "id").alias("id")), "id", "left_anti")
-    out = rest.unionByName(for_copies).select("id", F.explode("near").alias("n"))
-    return out.select(F.expr("substring(id, 2)").alias("id"), (F.substring("id", 1, 1) == "c").alias("is_chunk"), "n.near_id", F.round(1 - F.col("n.d").cast("double") / 2, 6).alias("cosine"))
+    if equal:
+        # each found class stands for its members
+        opened = hits.join(classes, "rep", "left").select("id", "d", F.explode(F.coalesce("ids", F.array("rep"))).alias("near_id"))
+        top = opened.groupBy("id").agg(best.alias("near"))
+        # a copy has its own class before what its representative found
+        own = copies.join(classes, "rep").select("id", "rep", F.explode("ids").alias("near_id")).select("id", "rep", F.lit(0.0).cast("float").alias("d"), "near_id")
+        lent = copies.join(top.select(F.expr("substring(id, 2)").alias("rep"), "near", F.substring("id", 1, 1).alias("t")).filter("t = 'c'"), "rep").select("id", "rep", F.explode("near").alias("n")).select("id", "rep", "n.d", "n.near_id")
+        for_copies = own.unionByName(lent).filter(F.col("id") != F.col("near_id")).groupBy("id").agg(best.alias("near")).select(F.concat(F.lit("c"), "id").alias("id"), "near")
+        rest = top.join(copies.select(F.concat(F.lit("c"), "id").alias("id")), "id", "left_anti")
+        out = rest.unionByName(for_copies).select("id", F.explode("near").alias("n")).select("id", "n.d", "n.near_id")
+    else:
+        out = hits.select("id", "d", F.col("rep").alias("near_id"))
+    return out.select(F.expr("substring(id, 2)").alias("id"), (F.substring("id", 1, 1) == "c").alias("is_chunk"), "near_id", F.round(1 - F.col("d").cast("double") / 2, 6).alias("cosine"))
 
 
 def similar_pairs(chunks: DataFrame, queries: DataFrame | None = None, k: int = 5, **options) -> DataFrame:
