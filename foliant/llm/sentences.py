@@ -109,6 +109,7 @@ class Model:
     abbreviations: set = field(default_factory=set)
     starters: set = field(default_factory=set)
     collocations: set = field(default_factory=set)
+    anywhere: set = field(default_factory=set)  # abbreviations of any language
 
 
 def model_rows(texts: DataFrame, text: str, starter_llr: float = 30.0, abbreviation_llr: float = 12.0, collocation_llr: float = 7.88) -> DataFrame:
@@ -165,6 +166,7 @@ def learn(texts: DataFrame, text: str, max_words: int = 500_000, **thresholds) -
             m.starters.add((lang, word))
         elif kind == "abbreviation":
             m.abbreviations.add((lang, word))
+            m.anywhere.add(word)
         else:
             m.collocations.add((lang, word, after))
     return m
@@ -189,8 +191,8 @@ def _breaks_after_dot(line: str, at: int, nxt: int, lang: str, model: Model) ->
     after = m[0]
     if after[0].islower():
         return False
-    if after[0].isdigit():
-        return not abbreviation
+    if after[0].isdigit():  # a line may be too short to tell its language
+        return w not in model.anywhere
     a = after.lower()
     if number:
         return (lang, "#", a) not in model.collocations
