@@ -9,7 +9,7 @@ from foliant.functions import text as tx
 from foliant.operators import retrieval as rt
 from foliant.operators import tables as tb
 from foliant.registry import query
-from foliant.session import read_table
+from foliant.session import cut_lineage, read_table
 
 _FOLD = f"translate(lower(coalesce({{c}}, '')), '{tx.DIACRITICS}', '{tx.FOLDED}')"
 # one row per chunk: deliveries of a chunk are equal but for their arrival
@@ -43,7 +43,8 @@ def chunks_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexical_hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     c = chunks_once(spark, sf_dir).select("chunk_id", F.concat_ws(" ", "scientific_name", "source_text").alias("t"))
-    return rt.bm25(rt.inverted_index(c, "chunk_id", "t"), read_table(spark, sf_dir, "embedding_queries"), "query_id", "question", k)
+    index = cut_lineage(rt.inverted_index(c, "chunk_id", "t"))  # an index is a stored table
+    return rt.bm25(index, read_table(spark, sf_dir, "embedding_queries"), "query_id", "question", k)
 
 
 def semantic_hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
