@@ -124,8 +124,10 @@ def model_rows(texts: DataFrame, text: str, starter_llr: float = 30.0, abbreviat
     w = by_word.join(totals, "lang")
     # a starter opens lines more often than capitals do in general
     starters = w.filter((F.col("s") >= 3) & (F.col("s") / F.col("c") > F.col("all_s") / F.col("all_c")) & (_llr(F.col("s"), F.col("c"), F.col("all_s") - F.col("s"), F.col("all_c") - F.col("c")) > starter_llr)).select("lang", "word")
+    starters = cut_lineage(starters)
     dots = counts.filter("kind = 'dot'").join(starters.select("lang", F.col("word").alias("after"), F.lit(1.0).alias("starts")), ["lang", "after"], "left")
     per_type = dots.groupBy("lang", "word").agg(F.sum("n").alias("d"), F.sum(F.col("n") * F.coalesce("starts", F.lit(0.0))).alias("b"), F.sum(F.when(F.col("after").isin("%a", "%0"), F.col("n")).otherwise(0.0)).alias("g"))
+    per_type = cut_lineage(per_type)
     all_dots = per_type.groupBy("lang").agg(F.sum("d").alias("all_d"), F.sum("b").alias("all_b"), F.sum("g").alias("all_g"))
     t = per_type.join(all_dots, "lang")
     # an abbreviation's full stop is followed by a starter less often than full stops are in general, or by a small letter or figure more often
@@ -134,6 +136,7 @@ def model_rows(texts: DataFrame, text: str, starter_llr: float = 30.0, abbreviat
     no_start = (share("b", "d") < 0.5 * share("all_b", "all_d")) & apart("b", "all_b")
     goes_on = (share("g", "d") > 0.5) & (share("g", "d") > share("all_g", "all_d")) & apart("g", "all_g")
     abbreviations = t.filter((F.col("word") != "#") & (F.col("d") >= 3) & (no_start | goes_on)).select("lang", "word")
+    abbreviations = cut_lineage(abbreviations)
     # figures and abbreviations that a capital word follows far more often than it follows other full stops
     special = abbreviations.unionByName(all_dots.select("lang", F.lit("#").alias("word")))
     capitals = dots.filter(F.col("after").rlike(r"^\p{L}"))
