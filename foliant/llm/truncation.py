@@ -22,9 +22,9 @@ WHOLE_END = r"[.!?…。！？؟।॥][\x22\x27”“’»」』）)\]\s]*(?:\[
 
 # Tokens of every text, numbers and line ends made alike.
 _TOKENS = r"""
-SELECT doc_id, source, length(text) AS n_len, octet_length(text) AS n_bytes, xxhash64(text) AS same, text RLIKE r'$whole_end' AS whole,
+SELECT doc_id, source, n_len, n_bytes, xxhash64(text) AS same, text RLIKE r'$whole_end' AS whole,
        transform(regexp_extract_all(text, r'$token', 0), x -> CASE WHEN x RLIKE r'^\p{N}' THEN '#' WHEN x RLIKE r'^\n' THEN '¶' ELSE x END) AS t
-FROM (SELECT doc_id, source, regexp_replace(text, r'(?U)\s+$$', '') AS text FROM $docs WHERE text IS NOT NULL)
+FROM (SELECT doc_id, source, length(text) AS n_len, octet_length(text) AS n_bytes, regexp_replace(text, r'(?U)\s+$$', '') AS text FROM $docs WHERE text IS NOT NULL)
 WHERE text <> ''"""
 
 # Ends of the texts that don't end a sentence: the last three, two and one tokens, and the three before the last.
@@ -78,7 +78,8 @@ FROM (SELECT DISTINCT before, last FROM $ends WHERE before IS NOT NULL) e
 JOIN (SELECT g, follows, sum(n) AS n FROM $hits WHERE k = 3 AND follows IS NOT NULL GROUP BY g, follows) ON g = before
 WHERE startswith(follows, last) AND follows <> last GROUP BY before, last"""
 
-# Lengths at which the texts of a source pile up: far more than lengths a little shorter, near the greatest.
+# Lengths at which the texts of a source pile up: far more than at lengths a little shorter. A limit in bytes may leave up to
+# three of them empty, where the next character didn't fit.
 _LIMITS = """
 SELECT source, kind, size FROM (
   SELECT source, kind, size, n, sum(n) OVER (PARTITION BY source, kind ORDER BY size RANGE BETWEEN $near PRECEDING AND 1 PRECEDING) / $near AS level
@@ -105,7 +106,7 @@ FROM (
   LEFT JOIN $known v ON v.last = e.last
   LEFT JOIN $goes_on o ON o.before = e.before AND o.last = e.last
   LEFT JOIN (SELECT * FROM $limits WHERE kind = 'chars') c ON c.source <=> e.source AND c.size = e.n_len
-  LEFT JOIN (SELECT * FROM $limits WHERE kind = 'bytes') y ON y.source <=> e.source AND y.size = e.n_bytes)"""
+  LEFT JOIN (SELECT DISTINCT source, explode(sequence(size - 3, size)) AS size FROM $limits WHERE kind = 'bytes') y ON y.source <=> e.source AND y.size = e.n_bytes)"""
 
 
 def judged_ends(
