@@ -17,11 +17,16 @@ def headings(pages: DataFrame, text: str = "best_text", marker: str = "Familie:"
     return pages.filter((at >= 1) & (at <= window + 1)).withColumn("heading_excerpt", cut).withColumn("taxon", F.regexp_extract(cut, tx.BINOMIAL, 0))
 
 
-def spans_to_next(rows: DataFrame, key: str, start: str, ends: DataFrame, end: str) -> DataFrame:
-    """From each start to the row before the next one of its key, the last to the key's end."""
-    w = Window.partitionBy(key).orderBy(start)
-    nxt = F.lead(start).over(w)
-    return rows.withColumn("next_start", nxt).join(ends, key).withColumn("end_page", F.coalesce(F.col("next_start") - 1, F.col(end))).drop(end)
+def spans_to_next(rows: DataFrame, key: str, start: str, ends: DataFrame, end: str, width: int = 256) -> DataFrame:
+    """From each start to the row before the next one of its key, the last to the key's end. Starts of a key are unique.
+
+    Starts fall into buckets of ``width``: windows run within (key, bucket) and over one row per bucket, so no task holds a whole key."""
+    b = rows.withColumn("__b", F.floor(F.col(start) / F.lit(width)))
+    inside = b.withColumn("__n", F.lead(start).over(Window.partitionBy(key, "__b").orderBy(start)))
+    first = b.groupBy(key, "__b").agg(F.min(start).alias("__f"))
+    after = first.withColumn("__a", F.lead("__f").over(Window.partitionBy(key).orderBy("__b"))).drop("__f")
+    nxt = inside.join(after, [key, "__b"]).withColumn("next_start", F.coalesce("__n", "__a")).drop("__b", "__n", "__a")
+    return nxt.join(ends, key).withColumn("end_page", F.coalesce(F.col("next_start") - 1, F.col(end))).drop(end)
 
 
 def range_owner(points: DataFrame, ranges: DataFrame, key: str, at: str, start: str, end: str, width: int = 64) -> DataFrame:

@@ -90,7 +90,7 @@ def pending_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def round_robin_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the head of the queue is the feature: the next 200 items, one of each shard in turn
     w = Window.partitionBy("owner_shard").orderBy("start_pdf_page", "entry_id")
-    e = read_table(spark, sf_dir, "entries").select("entry_id", "owner_shard", F.row_number().over(w).cast("long").alias("turn"))
+    e = read_table(spark, sf_dir, "entries").select("entry_id", "owner_shard", F.row_number().over(w).alias("turn")).filter("turn <= 200").withColumn("turn", F.col("turn").cast("long"))
     head = e.orderBy("turn", "owner_shard", "entry_id").limit(200)
     return head.withColumn("place", F.row_number().over(Window.orderBy("turn", "owner_shard", "entry_id")).cast("long"))
 
@@ -123,7 +123,7 @@ def display_name_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT record_id, ordinal, 'E' || ordinal || ' = ' || chunk_id AS label FROM w JOIN e USING (record_id, ordinal)""")
 def evidence_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("record_id").orderBy("pdf_page", "chunk_id")
-    e = read_table(spark, sf_dir, "embedding_chunks").select("record_id", "chunk_id", "pdf_page").distinct().withColumn("ordinal", F.row_number().over(w)).filter("ordinal IN (1, 3)")
+    e = read_table(spark, sf_dir, "embedding_chunks").select("record_id", "chunk_id", "pdf_page").distinct().withColumn("ordinal", F.row_number().over(w)).filter("ordinal <= 3")
     wanted = read_table(spark, sf_dir, "record_name_metadata").select("record_id", F.explode(F.array(F.lit(1), F.lit(3))).alias("ordinal"))
     return wanted.join(e, ["record_id", "ordinal"]).select("record_id", "ordinal", F.concat(F.lit("E"), F.col("ordinal").cast("string"), F.lit(" = "), "chunk_id").alias("label"))
 

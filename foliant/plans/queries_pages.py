@@ -200,12 +200,10 @@ def candidate_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-    WITH b AS (SELECT source_id, string_agg(best_text, chr(12) ORDER BY page_id) || chr(12) AS body FROM (SELECT source_id, page_id, coalesce(best_text, '') AS best_text FROM pages) GROUP BY 1),
-    x AS (SELECT source_id, string_split(substring(body, 1, length(body) - 1), chr(12)) AS ps FROM b)
-    SELECT source_id, i AS pdf_page, md5(ps[i]) AS page_md5 FROM (SELECT source_id, ps, unnest(generate_series(1, len(ps))) AS i FROM x)""")
+    WITH x AS (SELECT doc_id, string_split(replace(text, chr(10) || chr(10), chr(12)), chr(12)) AS ps FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, i AS pdf_page, md5(ps[i]) AS page_md5 FROM (SELECT doc_id, ps, unnest(generate_series(1, len(ps))) AS i FROM x)""")
 def form_feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # volumes as one text each, as a text extractor writes them; a volume is bounded by its book
-    p = read_table(spark, sf_dir, "pages").groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("page_id", F.coalesce("best_text", F.lit("")).alias("t")))).alias("ps"))
-    body = p.select("source_id", F.concat(F.array_join(F.transform("ps", lambda x: x["t"]), "\f"), F.lit("\f")).alias("body"))
-    out = pg.form_feed_pages(body, "source_id", "body")
-    return out.select("source_id", F.col("pdf_page").cast("long").alias("pdf_page"), F.md5("page_text").alias("page_md5"))
+    # paragraphs stand for pages: texts as an extractor writes them, one page after another
+    d = read_table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", F.replace("text", F.lit("\n\n"), F.lit("\f")).alias("body"))
+    out = pg.form_feed_pages(d, "doc_id", "body")
+    return out.select("doc_id", F.col("pdf_page").cast("long").alias("pdf_page"), F.md5("page_text").alias("page_md5"))

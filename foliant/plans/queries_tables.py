@@ -139,17 +139,6 @@ def rate_limit_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.fixed_window_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", 600, 10)
 
 
-@query("""
-    WITH e AS (SELECT user_id, ts, event_id, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) <= 1800 * 1000000 THEN 0 ELSE 1 END AS new FROM events),
-    s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM e)
-    SELECT user_id, session, min(ts) AS began, max(ts) AS ended, count(*) AS n FROM s GROUP BY user_id, session""")
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lag(F.col("ts").cast("timestamp")).over(w))
-    e = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(gap <= 1800 * 1000000, 0).otherwise(1).alias("new"))
-    return e.withColumn("session", F.sum("new").over(w)).groupBy("user_id", "session").agg(F.min("ts").alias("began"), F.max("ts").alias("ended"), F.count("*").alias("n"))
-
-
 # Coverage of the engine on the relational tables; not operators of the surveyed pipeline.
 @query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 def rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,3 +167,14 @@ def test_metrics_and_selection(spark):
     m = {r.query: r for r in rt.ranking_metrics(h).collect()}
     assert (m["a"].mrr, m["a"].recall_at_1, m["a"].recall_at_3, m["a"].margin) == (0.5, 0, 1, -0.1)
     assert (m["b"].mrr, m["b"].first_relevant_rank, m["b"].margin) == (0.0, None, -1.7)
+
+
+def test_spans_to_next(spark):
+    rng = random.Random(9)
+    starts = {k: sorted(rng.sample(range(2000), 40)) for k in "ab"}
+    df = spark.createDataFrame([(k, p) for k, ps in starts.items() for p in ps], "k string, p int")
+    ends = spark.createDataFrame([("a", 2500), ("b", 2600)], "k string, last int")
+    got = {(r.k, r.p): (r.next_start, r.end_page) for r in spans.spans_to_next(df, "k", "p", ends, "last", width=64).collect()}
+    for k, ps in starts.items():
+        for p, n in zip(ps, [*ps[1:], None]):
+            assert got[k, p] == (n, n - 1 if n else {"a": 2500, "b": 2600}[k])
