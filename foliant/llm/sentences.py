@@ -153,16 +153,8 @@ def model_rows(texts: DataFrame, text: str, starter_llr: float = 30.0, abbreviat
     )
 
 
-def learn(texts: DataFrame, text: str, max_words: int = 500_000, **thresholds) -> Model:
-    """The model of a corpus. It holds accepted words only; should these ever exceed ``max_words`` (a documented
-    bound on the broadcast), the tests are made stricter, all alike, until they fit."""
-    scale = 1.0
-    while True:
-        limits = {k: v * scale for k, v in ({"starter_llr": 30.0, "abbreviation_llr": 12.0, "collocation_llr": 7.88} | thresholds).items()}
-        rows = model_rows(texts, text, **limits).limit(max_words + 1).collect()
-        if len(rows) <= max_words:
-            break
-        scale *= 4
+def as_model(rows: list) -> Model:
+    """A model of rows ``lang, kind, word, after``."""
     m = Model()
     for lang, kind, word, after in rows:
         if kind == "starter":
@@ -175,6 +167,11 @@ def learn(texts: DataFrame, text: str, max_words: int = 500_000, **thresholds) -
     return m
 
 
+def learn(texts: DataFrame, text: str, **thresholds) -> Model:
+    """The model of a corpus, on the driver."""
+    return as_model(model_rows(texts, text, **thresholds).collect())
+
+
 _BEFORE = re.compile(r"[^\W_]+(?:\.[^\W_]+)*$")
 _AFTER = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 
@@ -268,22 +265,51 @@ def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
     return [(a, a + len(text[a:b].rstrip())) for a, b in zip(starts, ends)]
 
 
-def sentences(texts: DataFrame, key: str, text: str, model: Model | None = None, broadcast: bool = True) -> DataFrame:
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each text that its full stops ask the model about: before a stop, with the word after it, and after a stop."""
+    for b in batches:
+        cols: list[list] = [[], [], []]
+        for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            asked = set()
+            for line in t.split("\n"):
+                for m in _DOT.finditer(line):
+                    w, after = "#" if m[1].isdigit() else m[1].lower(), m[2].lower()
+                    asked |= {(w, after), (after, None)}
+            cols[0] += [k] * len(asked)
+            cols[1] += [w for w, _ in asked]
+            cols[2] += [a for _, a in asked]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["key", "word", "after"])
+
+
+def sentences(texts: DataFrame, key: str, text: str, model: Model | None = None, max_words: int = 500_000) -> DataFrame:
     """One row per sentence: ``key, sentence_index, sentence_start, sentence_end``, offsets in code points.
 
     Of rows with equal keys one is used (the smallest text). Null keys count as one key. Null, empty and blank
     texts give no rows. A line end ends a sentence, so texts are given unwrapped; whole texts are split, of any length.
-    ``model`` defaults to one learned from the same texts, repeated rows included.
+    ``model`` defaults to one learned from the same texts, repeated rows included. Up to ``max_words`` accepted words are broadcast; a
+    larger model is joined to the words that each text asks about, with the same result.
     """
-    model = learn(texts, text) if model is None else model
-    shared = texts.sparkSession.sparkContext.broadcast(model)
     one = texts.select(F.col(key).cast("string").alias("key"), F.col(text).alias("t")).filter(F.col("t").isNotNull()).groupBy("key").agg(F.min("t").alias("t"))
+    shared = None
+    if model is None:
+        rows = cut_lineage(model_rows(texts, text))
+        few = rows.limit(max_words + 1).collect()
+        if len(few) <= max_words:
+            model = as_model(few)
+    if model is not None:
+        shared = texts.sparkSession.sparkContext.broadcast(model)
+        ready = one.withColumn("own", F.lit(None).cast("array<struct<lang:string,kind:string,word:string,after:string>>"))
+    else:
+        asked = one.mapInArrow(_asked, "key string, word string, after string").withColumnRenamed("after", "next")
+        hit = asked.join(rows, "word").filter((F.col("kind") != "collocation") | F.col("after").eqNullSafe(F.col("next")))
+        own = hit.groupBy("key").agg(F.collect_set(F.struct("lang", "kind", "word", "after")).alias("own"))  # bounded by the text
+        ready = one.join(own.withColumnRenamed("key", "k"), F.col("key").eqNullSafe(F.col("k")), "left").select("key", "t", F.coalesce("own", F.array().cast("array<struct<lang:string,kind:string,word:string,after:string>>")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for b in batches:
             ks, i_s, ss, es = [], [], [], []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for k, t, own in zip(*(c.to_pylist() for c in b.columns)):
+                m = shared.value if shared else as_model([(x["lang"], x["kind"], x["word"], x["after"]) for x in own])
                 found = split_sentences(t, m)
                 ks += [k] * len(found)
                 i_s += range(len(found))
@@ -291,4 +317,4 @@ def sentences(texts: DataFrame, key: str, text: str, model: Model | None = None,
                 es += [e for _, e in found]
             yield pa.RecordBatch.from_arrays([pa.array(ks, pa.string()), pa.array(i_s, pa.int32()), pa.array(ss, pa.int32()), pa.array(es, pa.int32())], names=["key", "sentence_index", "sentence_start", "sentence_end"])
 
-    return one.mapInArrow(run, SENTENCE_SCHEMA)
+    return ready.select("key", "t", "own").mapInArrow(run, SENTENCE_SCHEMA)

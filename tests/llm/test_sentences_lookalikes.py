@@ -45,6 +45,10 @@ def test_sentences(spark):
         assert [text[a:b] for a, b in sorted(got[f"t{i}"])] == [x.strip() for x in t.split("|")]
     assert not {"n", "m", "o"} & set(got)
     assert sentences.sentences(c.limit(0), "id", "t").count() == 0
+    joined = {}
+    for r in sentences.sentences(c, "id", "t", max_words=3).collect():  # a model too large to broadcast
+        joined.setdefault(r.key, []).append((r.sentence_start, r.sentence_end))
+    assert {k: sorted(v) for k, v in joined.items()} == {k: sorted(v) for k, v in got.items()}
 
 
 def test_learned_words(spark):
