@@ -20,38 +20,43 @@ TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}]+|\p{N}+
 # A whole end: a stop, perhaps with closing signs or citations after it.
 WHOLE_END = r"[.!?…。！？؟।॥][\x22\x27”“’»」』）)\]\s]*(?:\[\w+(?:,\s*\w+)*\][.\s]*)*$"
 
+# An escape, character name or tag that is begun and not ended, or a character cut in two.
+BROKEN_END = r"(?:\\(?:u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?|&(?:[A-Za-z]{1,8}|#x?[0-9A-Fa-f]{0,6})|</?[A-Za-z][A-Za-z0-9]{0,10}(?: [^<>]{0,60})?|</?|\x{FFFD})$"
+
 # Tokens of every text, numbers and line ends made alike.
 _TOKENS = r"""
-SELECT doc_id, source, n_len, n_bytes, xxhash64(text) AS same, text RLIKE r'$whole_end' AS whole,
+SELECT doc_id, source, n_len, n_bytes, xxhash64(text) AS same, text RLIKE r'$whole_end' AS whole, text RLIKE r'$broken_end' AS broken,
        transform(regexp_extract_all(text, r'$token', 0), x -> CASE WHEN x RLIKE r'^\p{N}' THEN '#' WHEN x RLIKE r'^\n' THEN '¶' ELSE x END) AS t
 FROM (SELECT doc_id, source, length(text) AS n_len, octet_length(text) AS n_bytes, regexp_replace(text, r'(?U)\s+$$', '') AS text FROM $docs WHERE text IS NOT NULL)
 WHERE text <> ''"""
 
-# Ends of the texts that don't end a sentence: the last three, two and one tokens, and the three before the last.
+# Ends of the texts that don't end a sentence: the last five (of numbers), three, two and one tokens, and the three before the last.
 # Fewer than three tokens tell nothing in a short last line: a name, a caption or an item of a list is whole.
 _ENDS = """
-SELECT doc_id, source, n_len, n_bytes, t[n-1] AS last,
+SELECT doc_id, source, n_len, n_bytes, broken, t[n-1] AS last, array_contains(slice(t, -least(n, 3), 3), '¶') AS line_start,
+       CASE WHEN n >= 5 AND t[n-1] = '#' THEN xxhash64(t[n-5], t[n-4], t[n-3], t[n-2], t[n-1]) END AS five,
        CASE WHEN n >= 3 THEN xxhash64(t[n-3], t[n-2], t[n-1]) END AS tri,
        CASE WHEN n >= $long_line AND NOT array_contains(slice(t, -$long_line, $long_line), '¶') THEN xxhash64(t[n-2], t[n-1]) END AS bi,
-       CASE WHEN n >= $long_line AND NOT array_contains(slice(t, -$long_line, $long_line), '¶') THEN xxhash64(t[n-1]) END AS uni,
+       xxhash64(t[n-1]) AS uni,
        CASE WHEN n >= 4 THEN xxhash64(t[n-4], t[n-3], t[n-2]) END AS before
 FROM (SELECT *, size(t) AS n FROM $tokens WHERE NOT whole AND size(t) > 0)"""
 
-# Every place of one to three tokens and what follows it: a token of the same line, none at the end of a line or text.
+# Every place of one to three tokens, or of five that end with a number, and what follows it: a token of the same line, none at the end of a line or text.
 # ``same`` tells equal texts apart from different ones.
 _GRAMS = """
 SELECT g, k, nullif(d, '¶') AS follows, CASE WHEN open_end THEN same END AS open_end
 FROM (SELECT same, inline(flatten(transform(sequence(0, size(t) - 1), i -> array(
         named_struct('g', xxhash64(t[i]), 'k', 1, 'd', get(t, i + 1), 'open_end', NOT whole AND i = size(t) - 1),
         named_struct('g', CASE WHEN i >= 1 THEN xxhash64(t[i-1], t[i]) END, 'k', 2, 'd', get(t, i + 1), 'open_end', NOT whole AND i = size(t) - 1),
-        named_struct('g', CASE WHEN i >= 2 THEN xxhash64(t[i-2], t[i-1], t[i]) END, 'k', 3, 'd', get(t, i + 1), 'open_end', NOT whole AND i = size(t) - 1)))))
+        named_struct('g', CASE WHEN i >= 2 THEN xxhash64(t[i-2], t[i-1], t[i]) END, 'k', 3, 'd', get(t, i + 1), 'open_end', NOT whole AND i = size(t) - 1),
+        named_struct('g', CASE WHEN i >= 4 AND t[i] = '#' THEN xxhash64(t[i-4], t[i-3], t[i-2], t[i-1], t[i]) END, 'k', 5, 'd', get(t, i + 1), 'open_end', NOT whole AND i = size(t) - 1)))))
       FROM $tokens WHERE size(t) > 0)
 WHERE g IS NOT NULL"""
 
 # The grams that some end asks about, each with what follows it and how often; equal open texts count once.
 _HITS = """
 SELECT g, k, follows, open_end, count(*) AS n FROM $grams
-LEFT SEMI JOIN (SELECT DISTINCT explode(array_compact(array(tri, bi, uni, before))) AS f FROM $ends) ON g = f
+LEFT SEMI JOIN (SELECT DISTINCT explode(array_compact(array(five, tri, bi, uni, before))) AS f FROM $ends) ON g = f
 GROUP BY g, k, follows, open_end"""
 
 # Of each final gram: how often it stands inside lines, and how often it ends a line or another open text; the end in question is left out.
@@ -78,27 +83,34 @@ FROM (SELECT DISTINCT before, last FROM $ends WHERE before IS NOT NULL) e
 JOIN (SELECT g, follows, sum(n) AS n FROM $hits WHERE k = 3 AND follows IS NOT NULL GROUP BY g, follows) ON g = before
 WHERE startswith(follows, last) AND follows <> last GROUP BY before, last"""
 
-# Lengths at which the texts of a source pile up: far more than at lengths a little shorter. A limit in bytes may leave up to
-# three of them empty, where the next character didn't fit.
+# Lengths at which the texts of a source pile up: far more than at lengths a little shorter, and hardly any longer. A limit in
+# bytes may leave up to three of them empty, where the next character didn't fit.
 _LIMITS = """
 SELECT source, kind, size FROM (
-  SELECT source, kind, size, n, sum(n) OVER (PARTITION BY source, kind ORDER BY size RANGE BETWEEN $near PRECEDING AND 1 PRECEDING) / $near AS level
+  SELECT source, kind, size, n, sum(n) OVER (PARTITION BY source, kind ORDER BY size RANGE BETWEEN $near PRECEDING AND 1 PRECEDING) / $near AS level,
+         1 - sum(n) OVER (PARTITION BY source, kind ORDER BY size) / sum(n) OVER (PARTITION BY source, kind) AS longer
   FROM (SELECT source, kind, size, count(*) AS n FROM $tokens LATERAL VIEW stack(2, 'chars', n_len, 'bytes', n_bytes) s AS kind, size GROUP BY source, kind, size))
-WHERE n >= $min_pile AND n >= $pile_ratio * coalesce(level, 0)"""
+WHERE n >= $min_pile AND n >= $pile_ratio * coalesce(level, 0) AND longer <= $max_longer"""
 
 _JUDGED = """
 SELECT doc_id, source, CASE
-    WHEN seen3 = 0 AND longer > 0 AND (as_word IS NULL OR 1000 * as_word < longer OR longer_here >= $min_inside) THEN 'word'
-    WHEN inside3 >= $min_inside AND terminal3 <= $max_share * seen3 THEN 'trigram'
+    WHEN broken THEN 'escape'
+    WHEN longer_here >= $min_inside AND seen3 <= $max_share * longer_here THEN 'word'
+    WHEN as_word IS NULL AND inside3_0 = 0 AND terminal3_0 <= $max_share * longer THEN 'word'
+    WHEN seen3 = 0 AND 1000 * as_word < longer THEN 'word'
+    WHEN inside5 >= $min_inside AND terminal5 <= $max_share * inside5 THEN 'number'
+    WHEN inside3 >= $min_inside AND terminal3 <= $max_share * seen3 AND (NOT line_start OR terminal1 <= $max_line_share * seen1) THEN 'trigram'
     WHEN terminal3_0 = 0 AND seen3 < $min_inside AND inside2 >= $min_inside AND terminal2 <= $max_share * seen2 THEN 'bigram'
-    WHEN terminal3_0 = 0 AND seen3 < $min_inside AND seen2 < $min_inside AND inside1 >= $min_inside AND terminal1 <= $max_share * seen1 THEN 'last word'
-    WHEN at_limit AND seen3 < $min_inside AND seen2 < $min_inside THEN 'limit' END AS evidence,
-    last, as_word, longer, longer_here, inside3, terminal3, inside2, terminal2
+    WHEN bi IS NOT NULL AND terminal3_0 = 0 AND seen3 < $min_inside AND seen2 < $min_inside AND inside1 >= $min_inside AND terminal1 <= $max_share * seen1 THEN 'last word'
+    WHEN at_limit AND terminal3_0 = 0 AND (bi IS NOT NULL OR seen3 < $min_inside AND seen2 < $min_inside) THEN 'limit' END AS evidence,
+    last, as_word, longer, longer_here, inside5, terminal5, inside3, terminal3, inside2, terminal2, inside1, terminal1
 FROM (
-  SELECT e.doc_id, e.source, e.last, v.as_word, s.longer, o.longer_here, a.inside AS inside3, a.terminal AS terminal3, b.inside AS inside2, b.terminal AS terminal2, d.inside AS inside1, d.terminal AS terminal1,
-         coalesce(a.terminal, 0) AS terminal3_0, coalesce(a.inside + a.terminal, 0) AS seen3, coalesce(b.inside + b.terminal, 0) AS seen2, coalesce(d.inside + d.terminal, 0) AS seen1,
+  SELECT e.doc_id, e.source, e.last, e.bi, e.broken, e.line_start, v.as_word, s.longer, o.longer_here, f.inside AS inside5, f.terminal AS terminal5, a.inside AS inside3, a.terminal AS terminal3,
+         b.inside AS inside2, b.terminal AS terminal2, d.inside AS inside1, d.terminal AS terminal1, coalesce(a.inside, 0) AS inside3_0, coalesce(a.terminal, 0) AS terminal3_0,
+         coalesce(a.inside + a.terminal, 0) AS seen3, coalesce(b.inside + b.terminal, 0) AS seen2, coalesce(d.inside + d.terminal, 0) AS seen1,
          c.size IS NOT NULL OR y.size IS NOT NULL AS at_limit
   FROM $ends e
+  LEFT JOIN $five f ON f.g = e.five
   LEFT JOIN $tri a ON a.g = e.tri
   LEFT JOIN $bi b ON b.g = e.bi
   LEFT JOIN $uni d ON d.g = e.uni
@@ -113,14 +125,16 @@ def judged_ends(
     documents: DataFrame,
     min_inside: int = 5,
     max_share: float = 0.02,
+    max_line_share: float = 0.05,
     long_line: int = 8,
     near: int = 50,
     min_pile: int = 8,
     pile_ratio: float = 20.0,
+    max_longer: float = 0.05,
 ) -> DataFrame:
     """Every text that doesn't end a sentence, with the counts and the ``evidence`` of a cut, null if there is none."""
     spark = documents.sparkSession
-    names: dict[str, object] = {"token": TOKEN, "whole_end": WHOLE_END, "min_inside": min_inside, "max_share": max_share, "long_line": long_line, "near": near, "min_pile": min_pile, "pile_ratio": pile_ratio}
+    names: dict[str, object] = {"token": TOKEN, "whole_end": WHOLE_END, "broken_end": BROKEN_END, "max_line_share": max_line_share, "max_longer": max_longer, "min_inside": min_inside, "max_share": max_share, "long_line": long_line, "near": near, "min_pile": min_pile, "pile_ratio": pile_ratio}
     made: list[str] = []
 
     def step(name: str, query: str | None = None, df: DataFrame | None = None, **more) -> DataFrame:
@@ -135,6 +149,7 @@ def judged_ends(
     step("ends", _ENDS)
     step("grams", _GRAMS)
     step("hits", df=cut_lineage(spark.sql(Template(_HITS).substitute(names))))
+    step("five", _COUNTS, k=5)
     step("tri", _COUNTS, k=3)
     step("bi", _COUNTS, k=2)
     step("uni", _COUNTS, k=1)
@@ -152,10 +167,11 @@ def judged_ends(
 def truncated(documents: DataFrame, **options) -> DataFrame:
     """One row per document that was cut, with the evidence: ``doc_id, source, evidence``.
 
-    ``evidence`` is ``word`` (the last token is no word but the beginning of one), ``trigram`` (the last three
-    tokens stand at least ``min_inside`` times inside texts and at most ``max_share`` of the time at an end without
-    a stop), ``bigram`` or ``last word`` (the same of fewer tokens where the longer run is hardly known) or ``limit`` (where no
-    run is known: the text has a length, in characters or bytes, at which at least ``min_pile`` texts of its source pile up). Null and empty texts aren't cut;
+    ``evidence`` is ``escape`` (an escape, character name or tag is begun and not ended), ``word`` (the last token is the beginning of
+    a longer word that goes on there elsewhere, or of known words and none itself), ``number`` or ``trigram`` (the last five tokens, the
+    last being a number, or three stand at least ``min_inside`` times inside lines and at most ``max_share`` of the time at an end without
+    a stop), ``bigram`` or ``last word`` (the same of fewer tokens where the longer run is hardly known) or ``limit`` (where the
+    last three tokens end no other line: the text has a length, in characters or bytes, at which at least ``min_pile`` texts of its source pile up). Null and empty texts aren't cut;
     repeated rows each come out; a null source is a source of its own. Line ends count as ends, so lists,
     captions, names and signatures, which end lines elsewhere too, aren't taken for cut texts.
     """

@@ -130,10 +130,13 @@ def test_truncation(spark):
     by = {r.source: (r.documents, r.cut_documents, r.cut_share) for r in truncation.truncation_by_source(d).collect()}
     assert by[None] == (2, 2, 1.0) and by["letters"] == (8, 0, 0.0)
     assert truncation.truncated(d.limit(0)).count() == 0
+    ends = [whole + " und s\\u00", whole + " und s&auml", whole + " und <i", whole + " \ufffd", whole + " &", whole + " a < b."]
+    e = spark.createDataFrame([(i, t, "s") for i, t in enumerate(ends)], "doc_id long, text string, source string")
+    assert {r.doc_id: r.evidence for r in truncation.truncated(e).collect()} == {0: "escape", 1: "escape", 2: "escape", 3: "escape"}
     rng = random.Random(5)
     words = ["".join(rng.choice("aeiourstln") for _ in range(rng.randint(4, 9))) for _ in range(300)]
     run = lambda n: " ".join(rng.choice(words) for _ in range(n))
-    limit = [(i, run(90)[:400].rstrip().ljust(400, "x"), "f") for i in range(30)] + [(500 + i, run(rng.randint(20, 60)) + ".", "f") for i in range(200)]
+    limit = [(i, run(90)[:400].rstrip().ljust(400, "x"), "f") for i in range(30)] + [(500 + i, run(rng.randint(15, 45)) + ".", "f") for i in range(200)]
     f = truncation.truncated(spark.createDataFrame(limit, "doc_id long, text string, source string"))
     assert {r.doc_id for r in f.collect()} == set(range(30))
     long = spark.createDataFrame([(1, whole * 3000, "s"), (2, whole * 300 + " Unter dem Mikro", "s")], "doc_id long, text string, source string")
