@@ -196,11 +196,27 @@ def _breaks_after_dot(line: str, at: int, nxt: int, lang: str, model: Model) ->
     a = after.lower()
     if number:
         return (lang, "#", a) not in model.collocations
-    if not abbreviation:
+    initials = bool(before) and all(len(x) == 1 and x.isupper() for x in before[0].split("."))
+    if not abbreviation and not initials:
         return True
     return (lang, a) in model.starters and (lang, w, a) not in model.collocations
 
 
+def _glued(line: str, at: int, nxt: int, kind: str) -> bool:
+    """Whether a new sentence may follow a stop without white space: a capital word, after a full stop only behind a word or figure that
+    isn't short."""
+    j = nxt
+    while j < len(line) and line[j] in _OPEN:
+        j += 1
+    if not line[j : j + 1].isupper() or not (line[j + 1 : j + 2].islower() or j > nxt):
+        return False
+    if kind != ".":
+        return True
+    before = _BEFORE.search(line, max(0, at - 60), at)
+    last = before[0].rpartition(".")[2] if before else ""
+    return line[at - 1 : at] in _CLOSERS if not last else len(last) > 2 or last.isdigit()
+
+
 def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
     """(start, end) of each sentence, white space at both ends left out."""
     cuts: list[int] = []
@@ -219,8 +235,8 @@ def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
                 quoted = False
                 while e < n:  # closing signs belong to the sentence, « and » after a space too
                     if line[e] in _CLOSERS:
-                        if line[e] in "\"'“«" and e + 1 < n and line[e + 1].isalnum() and (line[e - 1].isspace() or wide):
-                            break
+                        if line[e] in "\"'“«" and e + 1 < n and line[e + 1].isalnum() and (line[e - 1].isspace() or wide or line[e] == '"' and line.count('"', 0, e) % 2 == 0):
+                            break  # it opens the next sentence
                         quoted = True
                         e += 1
                     elif line[e].isspace() and e + 1 < n and line[e + 1] in "»›" and "«" in line[:s]:
@@ -232,7 +248,7 @@ def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
                 if nxt >= n:
                     continue
                 c = line[nxt]
-                if not gap and not wide and kind[0] not in "؟।॥۔":
+                if not gap and not wide and kind[0] not in "؟।॥۔" and not _glued(line, s, nxt, kind):
                     continue
                 if wide:
                     if quoted and line[nxt] in "とってな":  # the sentence goes on after its quotation

@@ -4,6 +4,9 @@ from foliant.llm import lookalikes, sentences
 
 # texts with their sentences; | marks a boundary
 TRUTH = [
+    "Auf dem Markt ist die Pflanze nicht selten.|Die Blätter sind grün.|„Das Kraut hilft sicher!“ schreibt der Sammler.",
+    "The roots of the plant are brown.|\"This herb never fails!\" wrote the collector.| Is it sold?|The seeds are red, e.g. those of A.B. Brown.",
+    "Selon M. Gontrup (p. 3), les graines sont dures.|On les trouve ici.",
     "Die Knollen gehören, s. o., zur Abt. XXI der Sammlung von Prof. Lobrecht.| Man gibt 3,1 g pro dosi, bzw. 24 Tropfen.",
     "„Das Kraut hilft sicher!“ schreibt der Sammler Jarmund und lobt den Tee.| Die Ernte beginnt am 11. November und dauert ca. 2 Wochen.",
     "Der Verfasser bemerkt: „Die Blätter sind ohne Wirkung.“| Auf dem Querschnitt erscheinen die Knollen purpurn.",
