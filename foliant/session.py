@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context, so that they find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_foliant_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="foliant-")) / "foliant.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(str(archive))
+    sc._foliant_shipped = True
+
+
 def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("foliant")
         .config("spark.driver.memory", memory)
@@ -21,9 +37,12 @@ def local_session(cpus: int = 8, memory: str = "12g") -> SparkSession:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
