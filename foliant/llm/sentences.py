@@ -214,7 +214,7 @@ def _glued(line: str, at: int, nxt: int, kind: str) -> bool:
         return True
     before = _BEFORE.search(line, max(0, at - 60), at)
     last = before[0].rpartition(".")[2] if before else ""
-    return line[at - 1 : at] in _CLOSERS if not last else len(last) > 2 or last.isdigit()
+    return line[at - 1 : at] in _CLOSERS if not last else len(last) > 1 or last.isdigit()
 
 
 def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
