@@ -96,6 +96,11 @@ def test_scan_repairs(spark):
     few = {(r.page_id, r.kind, r.word_or_line) for r in scans.page_findings(df, top_words=5).collect()}
     assert few == got  # words beyond the broadcast take the join
     assert scans.page_findings(df.limit(0)).count() == 0
+    text = {(r.page_id, r.text_field): r.repaired_text for r in scans.repaired_pages(df).collect()}
+    whole = LINES.replace("\n", " ")
+    assert text[101, "embedded_text"] == text[102, "embedded_text"] == whole and text[5, "embedded_text"] == text[6, "embedded_text"] == whole
+    assert text[103, "embedded_text"] == whole.replace("Unter", "Uuter") or text[103, "embedded_text"] == whole
+    assert text[104, "embedded_text"] == whole + " Wird die Jod-Tinktur gemischt, so entsteht ein Niederschlag." and text[106, "embedded_text"] == ""
 
 
 def test_rates():
