@@ -191,7 +191,11 @@ def exact_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.join(c, ["source_id", "pdf_page"]).filter(F.expr("instr(best_text, source_text) > 0")).select("page_id", "chunk_id")
 
 
-@query()
+@query("""
+    WITH r AS (SELECT chunk_id, unnest([CASE WHEN chunk_id IS NULL THEN 'id' END, CASE WHEN NOT coalesce(sha256(source_text) = text_sha256, false) THEN 'hash' END,
+      CASE WHEN NOT coalesce(char_end >= char_start, false) THEN 'order' END, CASE WHEN NOT coalesce(char_end - char_start = length(source_text), false) THEN 'length' END,
+      CASE WHEN NOT coalesce(target_token_units > overlap_token_units, false) THEN 'limit' END]) AS error FROM embedding_chunks)
+    SELECT error, count(DISTINCT chunk_id) AS chunks FROM r WHERE error IS NOT NULL GROUP BY 1""")
 def table_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "embedding_chunks")
     rules = {"id": F.col("chunk_id").isNotNull(), "hash": F.sha2("source_text", 256) == F.col("text_sha256"), "order": F.col("char_end") >= F.col("char_start"), "length": F.col("char_end") - F.col("char_start") == F.length("source_text"), "limit": F.col("target_token_units") > F.col("overlap_token_units")}
