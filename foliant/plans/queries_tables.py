@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from foliant.operators import tables as tb
 from foliant.registry import query
-from foliant.session import read_table
+from foliant.session import read_table, shared_folder
+from foliant.streaming import jobs
 
 
 @query("SELECT chunk_id, count(*) AS n FROM embedding_chunks GROUP BY 1 HAVING count(*) > 1")
@@ -139,6 +140,16 @@ def rate_limit_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.fixed_window_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", 600, 10)
 
 
+@query("SELECT user_id, time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS n, count(*) > 10 AS limited FROM events GROUP BY ALL")
+def stream_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the stream emits a window again whenever it changes; the last batch of each counts
+    folder = shared_folder(spark, "stream-rate-limit")
+    schema = read_table(spark, sf_dir, "events").schema
+    windows = jobs.request_windows(jobs.watch_parquet(spark, f"{sf_dir}/events.parquet", schema), "user_id", "ts", late="3650 days")
+    jobs.refresh(windows, f"{folder}/state", jobs.write_batches(f"{folder}/out"), output_mode="update").awaitTermination()
+    return tb.latest(spark.read.parquet(f"{folder}/out"), ["user_id", "window_start"], ["batch"]).drop("batch")
+
+
 # Coverage of the engine on the relational tables; not operators of the surveyed pipeline.
 @query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 def rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

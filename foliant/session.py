@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -56,6 +57,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="foliant-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, below the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)

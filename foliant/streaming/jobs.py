@@ -11,8 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def watch_parquet(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 64) -> DataFrame:
-    """New Parquet files of a folder as a stream. File sources remember what they have read in the query's checkpoint."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """New Parquet files of a folder as a stream. File sources remember what they have read in the query's checkpoint.
+
+    A path to one file is watched as that name in its folder."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and fs.getFileStatus(p).isFile():
+        return reader.option("pathGlobFilter", p.getName()).parquet(str(p.getParent().toString()))
+    return reader.parquet(path)
 
 
 def request_windows(events: DataFrame, who: str, at: str, window: str = "10 minutes", limit: int = 10, late: str = "10 minutes") -> DataFrame:
@@ -24,11 +31,11 @@ def request_windows(events: DataFrame, who: str, at: str, window: str = "10 minu
     return g.select(who, F.col("w.start").alias("window_start"), "n", (F.col("n") > limit).alias("limited"))
 
 
-def refresh(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], once: bool = True, every: str = "30 seconds") -> StreamingQuery:
+def refresh(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], once: bool = True, every: str = "30 seconds", output_mode: str = "append") -> StreamingQuery:
     """Run ``step`` on every batch of new rows. ``step`` must be idempotent for a batch number, as a batch is repeated after a failure.
 
     ``once`` works through what there is and ends; otherwise the query goes on."""
-    w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.outputMode(output_mode).foreachBatch(step).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=every)).start()
 
 
@@ -50,6 +57,15 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], version: str) -
     return latest(spark.read.parquet(path).drop("batch"), keys, [version])
 
 
+def write_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """A step that writes each batch to a folder of its number, so a repeated batch replaces itself."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return step
+
+
 def fingerprint_changes(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``key, change``: rows added, removed or changed between two states by a hash of ``columns``."""
     h = lambda df, n: df.select(key, F.xxhash64(*columns).alias(n))
