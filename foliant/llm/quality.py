@@ -39,6 +39,8 @@ THRESHOLDS = {
     "empty_chars": 8,
 }
 
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 STATISTICS = (
     "character_count word_count line_count alpha_ratio bytes_per_character short_line_ratio mean_word_length symbol_ratio "
     "punct_end_ratio bullet_ratio common_word_share structured_share distinct_word_share"
@@ -66,7 +68,8 @@ def _len(c: Column) -> Column:
 
 
 def _ratio(a: Column, b: Column) -> Column:
-    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    """Ratio to four digits, rounded by a floor: engines differ in rounding halves of binary fractions."""
+    return F.when(b > 0, F.floor(a * 10000.0 / b + 0.5) / 10000.0).otherwise(F.lit(0.0))
 
 
 def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") -> DataFrame:
@@ -78,7 +81,7 @@ def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") ->
     """
     p = lambda n: f"{prefix}{n}"
     raw = F.coalesce(F.col(text), F.lit(""))
-    df = df.withColumn("__t", F.btrim(raw, F.lit(" \t\n\r\f   ")))
+    df = df.withColumn("__t", F.btrim(raw, F.lit(WHITE)))
     t = F.col("__t")
     # furniture stands within the first and last characters only
     body = F.concat(
@@ -97,8 +100,8 @@ def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") ->
         .withColumn("__wl", _len(F.array_join(w, "")))
         .withColumn(p("line_count"), F.regexp_count(t, F.lit(r"(?m)^.*\S.*$")))
         .withColumn("__short", F.regexp_count(t, F.lit(r"(?m)^[^\S\n]*+\S(?:[^\n]{0,2}\S)?[^\S\n]*+$")))
-        .withColumn(p("alpha_ratio"), F.round(_ratio(letters, _len(t)), 4))
-        .withColumn(p("bytes_per_character"), F.round(_ratio(F.octet_length(t), F.length(t)), 4))
+        .withColumn(p("alpha_ratio"), _ratio(letters, _len(t)))
+        .withColumn(p("bytes_per_character"), _ratio(F.octet_length(t), F.length(t)))
         .withColumn("__punct_end", F.regexp_count(t, F.lit(r"(?m)[.!?:;。！？…][\"'”“»)\]]*[ ]*$")))
         .withColumn("__bullets", F.regexp_count(t, F.lit(rf"(?m)^[ ]*+(?:{_BULLET}|{_NUMBERED})$")))
         .withColumn("__common", F.size(F.filter(w, lambda x: x.isin(*COMMON_WORDS))))
@@ -107,18 +110,18 @@ def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") ->
     lines, n = F.col(p("line_count")), F.col(p("word_count"))
     symbols = _len(F.regexp_replace(t, r"[\p{L}\p{N}\s.,;:!?\"'„“”‚‘’«»()\-]+", ""))
     df = (
-        df.withColumn(p("short_line_ratio"), F.when(lines > 0, F.round(F.col("__short") / lines, 4)).otherwise(F.lit(1.0)))
-        .withColumn(p("mean_word_length"), F.round(_ratio(F.col("__wl"), n), 4))
-        .withColumn(p("symbol_ratio"), F.round(_ratio(symbols, _len(t)), 4))
-        .withColumn(p("punct_end_ratio"), F.round(_ratio(F.col("__punct_end"), lines), 4))
-        .withColumn(p("bullet_ratio"), F.round(_ratio(F.col("__bullets"), lines), 4))
-        .withColumn(p("common_word_share"), F.round(_ratio(F.col("__common"), n), 4))
+        df.withColumn(p("short_line_ratio"), F.when(lines > 0, _ratio(F.col("__short"), lines)).otherwise(F.lit(1.0)))
+        .withColumn(p("mean_word_length"), _ratio(F.col("__wl"), n))
+        .withColumn(p("symbol_ratio"), _ratio(symbols, _len(t)))
+        .withColumn(p("punct_end_ratio"), _ratio(F.col("__punct_end"), lines))
+        .withColumn(p("bullet_ratio"), _ratio(F.col("__bullets"), lines))
+        .withColumn(p("common_word_share"), _ratio(F.col("__common"), n))
     )
     common = F.col(p("common_word_share"))
     # lines of single cells count where running text is out of the question
     rest = F.when(common < THRESHOLDS["max_cell_common_share"], F.regexp_replace("__rest", _CELL_LINE, "")).otherwise(F.col("__rest"))
-    df = df.withColumn(p("structured_share"), F.round(_ratio(_len(b) - _len(rest), _len(b)), 4))
-    df = df.withColumn(p("distinct_word_share"), F.round(_ratio(F.col("__distinct"), n), 4))
+    df = df.withColumn(p("structured_share"), _ratio(_len(b) - _len(rest), _len(b)))
+    df = df.withColumn(p("distinct_word_share"), _ratio(F.col("__distinct"), n))
     made = [p(x) for x in STATISTICS]
     rest = [c for c in df.columns if c not in made and not c.startswith("__")]
     # through a generator no later filter is pushed down, where it would compute each statistic once more per rule

@@ -102,15 +102,15 @@ def oracle_sql() -> dict[str, str]:
     unit = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
     return {
         "p1_statistics": r"""
-            WITH t AS (SELECT page_id, regexp_replace(coalesce(best_text, ''), '^\s+|\s+$', '', 'g') AS t FROM pages),
+            WITH t AS (SELECT page_id, trim(coalesce(best_text, ''), '{white}') AS t FROM pages),
             m AS (SELECT page_id, t, length(t) AS c, len(regexp_extract_all(t, '[\p{L}\p{N}]+(?:[-''][\p{L}\p{N}]+)*')) AS w,
                          list_filter(string_split(t, chr(10)), lambda x: trim(x) <> '') AS lines,
                          length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS a FROM t),
             s AS (SELECT page_id, c AS character_count, w AS word_count, len(lines) AS line_count,
-                         CASE WHEN c = 0 THEN 0.0 ELSE round(a / c, 4) END AS alpha_ratio,
-                         CASE WHEN len(lines) = 0 THEN 1.0 ELSE round(len(list_filter(lines, lambda x: length(trim(x)) <= 4)) / len(lines), 4) END AS short_line_ratio FROM m)
+                         CASE WHEN c = 0 THEN 0.0 ELSE floor(10000.0 * a / c + 0.5) / 10000 END AS alpha_ratio,
+                         CASE WHEN len(lines) = 0 THEN 1.0 ELSE floor(10000.0 * len(list_filter(lines, lambda x: length(trim(x)) <= 4)) / len(lines) + 0.5) / 10000 END AS short_line_ratio FROM m)
             SELECT page_id, character_count, word_count, line_count, alpha_ratio, short_line_ratio,
-                   CASE WHEN character_count < 8 THEN 'empty' WHEN character_count < 120 OR word_count < 18 THEN 'low_text' WHEN short_line_ratio > 0.38 THEN 'fragmented' ELSE 'usable' END AS quality FROM s""",
+                   CASE WHEN character_count < 8 THEN 'empty' WHEN character_count < 120 OR word_count < 18 THEN 'low_text' WHEN short_line_ratio > 0.38 THEN 'fragmented' ELSE 'usable' END AS quality FROM s""".replace("{white}", quality.WHITE),
         "p5_found": f"""
             SELECT DISTINCT chunk_id FROM embedding_chunks
             WHERE target_token_units IS NOT NULL AND len(regexp_extract_all(source_text, '{unit}')) > target_token_units""",
