@@ -21,7 +21,9 @@ def stripped(c: Column) -> Column:
 
 
 def ratio(a: Column, b: Column, digits: int = 4, empty: float = 0.0) -> Column:
-    return F.when(b > 0, F.round(a / b, digits)).otherwise(F.lit(empty))
+    """Rounded by a floor, which every engine computes alike where decimal rounding of a binary fraction isn't."""
+    scale = float(10**digits)
+    return F.when(b > 0, F.floor(a * scale / b + 0.5) / scale).otherwise(F.lit(empty))
 
 
 def word_count(c: Column) -> Column:

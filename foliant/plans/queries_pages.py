@@ -15,8 +15,8 @@ _STRIP = r"regexp_replace(coalesce({c}, ''), '^\s+|\s+$', '', 'g')"
 _METRICS = r"""
     m AS (SELECT *, length(t) AS n_characters, len(regexp_extract_all(t, '[\p{L}\p{N}]+(?:[-''][\p{L}\p{N}]+)*')) AS n_words,
                  list_filter(string_split(t, chr(10)), lambda x: trim(x, ' ') <> '') AS ls, length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS n_letters FROM t),
-    s AS (SELECT *, len(ls) AS n_lines, CASE WHEN len(ls) = 0 THEN 1.0 ELSE round(len(list_filter(ls, lambda x: length(trim(x, ' ')) <= 4)) / len(ls), 4) END AS short_lines,
-                 CASE WHEN n_characters = 0 THEN 0.0 ELSE round(n_letters / n_characters, 4) END AS letters FROM m),
+    s AS (SELECT *, len(ls) AS n_lines, CASE WHEN len(ls) = 0 THEN 1.0 ELSE floor(10000.0 * len(list_filter(ls, lambda x: length(trim(x, ' ')) <= 4)) / len(ls) + 0.5) / 10000 END AS short_lines,
+                 CASE WHEN n_characters = 0 THEN 0.0 ELSE floor(10000.0 * n_letters / n_characters + 0.5) / 10000 END AS letters FROM m),
     q AS (SELECT *, CASE WHEN n_characters < 8 THEN 'empty' WHEN n_characters < 120 OR n_words < 18 THEN 'low_text' WHEN short_lines > 0.38 THEN 'fragmented' ELSE 'usable' END AS quality_class FROM s)"""
 _PAGES = "WITH t AS (SELECT *, " + _STRIP.format(c="best_text") + " AS t FROM pages)," + _METRICS
 _KIND = r"""CASE WHEN n_characters < 8 THEN 'blank_or_image'
@@ -69,7 +69,7 @@ def recognition_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
     WITH a AS (SELECT page_id, coalesce(embedded_text, '') AS e, coalesce(ocr_text, '') AS o FROM pages),
-    b AS (SELECT *, CASE WHEN length(e) = 0 THEN 0.0 ELSE round(length(regexp_replace(e, '[^\p{L}]', '', 'g')) / length(e), 4) END AS ae, CASE WHEN length(o) = 0 THEN 0.0 ELSE round(length(regexp_replace(o, '[^\p{L}]', '', 'g')) / length(o), 4) END AS ao FROM a)
+    b AS (SELECT *, CASE WHEN length(e) = 0 THEN 0.0 ELSE floor(10000.0 * length(regexp_replace(e, '[^\p{L}]', '', 'g')) / length(e) + 0.5) / 10000 END AS ae, CASE WHEN length(o) = 0 THEN 0.0 ELSE floor(10000.0 * length(regexp_replace(o, '[^\p{L}]', '', 'g')) / length(o) + 0.5) / 10000 END AS ao FROM a)
     SELECT page_id, CASE WHEN length(trim(o, ' ')) = 0 THEN 'no_text_detected' WHEN length(o) > 1.2 * length(e) AND ao >= ae THEN 'candidate_quality_gain' ELSE 'no_quality_gain' END AS gain FROM b""")
 def quality_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages").select("page_id", pg.quality_gain(F.col("embedded_text"), F.col("ocr_text")).alias("gain"))
