@@ -190,7 +190,7 @@ def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _evaluated(spark, sf_dir).select("query", "first_relevant_rank", "mrr", "recall_at_1", "recall_at_3", "margin")
 
 
-_SUMMARY = ", p AS (SELECT label, count(*) AS queries, round(avg(mrr), 6) AS mrr, round(avg(recall_at_1), 6) AS recall_at_1, round(avg(recall_at_3), 6) AS recall_at_3, round(avg(margin), 6) AS mean_margin FROM m GROUP BY 1)"
+_SUMMARY = ", p AS (SELECT label, count(*) AS queries, round(avg(mrr), 6) AS mrr, round(avg(recall_at_1), 6) AS recall_at_1, round(avg(recall_at_3), 6) AS recall_at_3, round(avg(margin), 4) AS mean_margin FROM m GROUP BY 1)"
 
 
 @query(_EVAL + _SUMMARY + " SELECT * FROM p")
