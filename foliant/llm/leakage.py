@@ -168,7 +168,7 @@ def leaked_spans(
         least = least_words if kind == "word" else least_chars
         sizes = {k: max(1, len(s)) for k, s in shard}
         # where each window of an item holds an ideograph, texts without any can't match
-        han = re.compile("[㐀-鿿豈-﫿\U00020000-\U0003ffff]")
+        han = re.compile("[㐀-鿿豈-\ufaff\U00020000-\U0003ffff]")
         skip = kind == "char" and all(han.search("".join(s[i : i + least])) for _, s in shard for i in range(len(s) - least + 1))
         shared = spark.sparkContext.broadcast((SuffixAutomaton(shard, least), sizes))
 

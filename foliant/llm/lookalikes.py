@@ -31,14 +31,14 @@ LOOKALIKES = {
 # Small capitals of Cyrillic and Greek that only resemble Latin letters loosely: used where the word is known.
 _LOOSE = set("кмтвнαικτυχγ")
 _SAME_LOOK = re.compile("[！-～ﬀ-ﬆ\U0001d400-\U0001d7ffⅠ-ⅿǄ-ǌǱ-ǳĲĳ]")
-_INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿\U000e0000-\U000e0fff]")
-_SPACES = re.compile("[   -   　]")
-_JOINED_SCRIPTS = re.compile("[؀-޿ऀ-࿿ក-᢯]")
-_CJK = re.compile("[぀-ヿ㐀-鿿가-힯豈-﫿]")
+_INVISIBLE = re.compile("[\u00ad\u034f\u061cᅟᅠ\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufe00-\ufe0f\ufeff\U000e0000-\U000e0fff]")
+_SPACES = re.compile("[\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]")
+_JOINED_SCRIPTS = re.compile("[\u0600-\u07bf\u0900-\u0fffក-\u18af]")
+_CJK = re.compile("[\u3040-ヿ㐀-鿿가-\ud7af豈-\ufaff]")
 _WORD = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile("[A-Za-zÀ-ɏḀ-ỿ]")
 _LOOK = re.compile("[" + "".join(LOOKALIKES) + "]")
-_MARKS = re.compile("[̀-ͯ]")
+_MARKS = re.compile("[\u0300-\u036f]")
 #: the same classes for Catalyst, wide enough to let every case through
 SUSPECT_SQL = (
     r"[\x{AD}\x{34F}\x{61C}\x{115F}\x{1160}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{E0000}-\x{E0FFF}"
@@ -57,12 +57,12 @@ def plain_form(text: str) -> tuple[str, list[str]]:
     cjk = bool(_CJK.search(text))
     if _INVISIBLE.search(text):
         keep = _JOINED_SCRIPTS.search(text)
-        new = _INVISIBLE.sub(lambda m: m[0] if keep and m[0] in "‌‍" else "", text)
+        new = _INVISIBLE.sub(lambda m: m[0] if keep and m[0] in "\u200c\u200d" else "", text)
         if new != text:
             kinds.append("invisible")
             text = new
     if _SPACES.search(text):
-        new = _SPACES.sub(lambda m: m[0] if cjk and m[0] == "　" else " ", text)
+        new = _SPACES.sub(lambda m: m[0] if cjk and m[0] == "\u3000" else " ", text)
         if new != text:
             kinds.append("space")
             text = new if text == new.strip() else new.strip(" ")

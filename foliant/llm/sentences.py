@@ -29,7 +29,7 @@ MARKERS = {
     "it": "il gli di e sono con per una nel della che non".split(),
 }
 _MARK = {w: tuple(lang for lang, ws in MARKERS.items() if w in ws) for ws in MARKERS.values() for w in ws}
-_SCRIPTS = (("ja", re.compile("[ぁ-ヿ]")), ("zh", re.compile("[㐀-鿿]")), ("ru", re.compile("[Ѐ-ӿ]{2}")), ("ar", re.compile("[؀-ۿ]{2}")), ("hi", re.compile("[ऀ-ॿ]")), ("th", re.compile("[฀-๿]")))
+_SCRIPTS = (("ja", re.compile("[ぁ-ヿ]")), ("zh", re.compile("[㐀-鿿]")), ("ru", re.compile("[Ѐ-ӿ]{2}")), ("ar", re.compile("[\u0600-ۿ]{2}")), ("hi", re.compile("[\u0900-ॿ]")), ("th", re.compile("[\u0e00-\u0e7f]")))
 _WORD = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile("[A-Za-zÀ-ɏ]{2}")
 #: a word or figure with its full stop, and what stands after it on the line
@@ -269,8 +269,8 @@ def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
                     lang = language_of(line)
                 if quoted or _breaks_after_dot(line, s, nxt, lang, model):
                     cuts.append(offset + nxt)
-            if "฀" <= max(line) and re.search("[฀-๿]", line):  # in Thai a space ends a sentence
-                cuts.extend(offset + g.end() for g in re.finditer(r"(?<=[฀-๿])[ \t 　]+(?=\S)", line))
+            if "\u0e00" <= max(line) and re.search("[\u0e00-\u0e7f]", line):  # in Thai a space ends a sentence
+                cuts.extend(offset + g.end() for g in re.finditer(r"(?<=[\u0e00-\u0e7f])[ \t\u00a0\u3000]+(?=\S)", line))
         offset += n + 1
     starts = []
     for c in sorted(set(cuts)):
