@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from foliant.functions import text as tx
 from foliant.operators import chunks as ch
 from foliant.operators import names as nm
-from foliant.operators import spans
 from foliant.operators import tables as tb
 from foliant.registry import query
 from foliant.session import read_table
