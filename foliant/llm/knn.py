@@ -230,7 +230,9 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, epsilon: float = 2
     (squared distance and id, nearest first, at most ``k``). Ids are unique and no two chunk rows of a space are equal vectors.
 
     A vector probes its own list, and up to ``probes`` lists in all whose border it is near: a hypothesis test with the same ``epsilon``
-    as that of the scan tells how near a border must be for neighbours to be expected beyond it.
+    as that of the scan tells how near a border must be for neighbours to be expected beyond it. Lists are counted first: however far their
+    borders, the nearest lists are probed until they hold ``k`` + 1 members, and lists without members don't count among ``probes``, so that
+    every vector finds ``k`` neighbours where its space has them.
 
     Fitted on at most ``sample_rows`` rows a space; the index has at most ``max_lists`` lists, so the broadcast is at most
     ``max_lists`` x (dimension + ``max_lists``) floats a space. Where groups exceed ``task_rows`` members or queries they're cut
@@ -238,25 +240,42 @@ def nearest(vectors: DataFrame, k: int = 5, probes: int = 12, epsilon: float = 2
     """
     spark = vectors.sparkSession
     model = _fit(vectors, k, epsilon, list_rows, max_lists, sample_rows, group_rows, seed)
-    shared = spark.sparkContext.broadcast(model)
+    fitted = spark.sparkContext.broadcast(model)
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[str, int], int] = {}
+        for b in batches:
+            for s, at in by_space(b):
+                x = _matrix(b.column("vec").take(pa.array(at)), fitted.value[s]["dim"])
+                for name, n in zip(*np.unique((x @ fitted.value[s]["centroids"].T).argmax(1), return_counts=True)):
+                    total[s, int(name)] = total.get((s, int(name)), 0) + int(n)
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in total], pa.string()), pa.array([x[1] for x in total], pa.int32()), pa.array(list(total.values()), pa.int64())], names=["space", "list", "n"])
+
+    def by_space(b: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+        """The row numbers of each space that has chunks."""
+        spaces = np.array(b.column("space").to_pylist(), dtype=object)
+        for s in set(spaces.tolist()) & fitted.value.keys():
+            yield s, np.nonzero(spaces == s)[0]
+
+    held = {s: np.zeros(len(m["centroids"]), dtype=np.int64) for s, m in model.items()}
+    for r in vectors.filter("is_chunk").select("space", "vec").mapInArrow(sizes, "space string, list int, n long").groupBy("space", "list").agg(F.sum("n").alias("n")).collect():
+        held[r["space"]][r["list"]] = r["n"]
+    shared = spark.sparkContext.broadcast({s: m | {"held": held[s]} for s, m in model.items()})
 
     def probed(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, dict]]:
         """(row numbers, matrix, probed lists nearest first, the space's model) for each space of a batch."""
-        spaces = np.array(b.column("space").to_pylist(), dtype=object)
-        for s in set(spaces.tolist()):
-            m = shared.value.get(s)
-            if m is None:  # queries of a space without chunks
-                continue
-            at = np.nonzero(spaces == s)[0]
+        for s, at in by_space(b):
+            m = shared.value[s]
             x = _matrix(b.column("vec").take(pa.array(at)), m["dim"])
             sims = x @ m["centroids"].T
-            r = min(probes, sims.shape[1])
+            sims[:, m["held"] == 0] = -np.inf
+            r = min(max(probes, k + 1), int((m["held"] > 0).sum()))  # so many lists hold k + 1 members if the space does
             top = np.argpartition(-sims, r - 1, axis=1)[:, :r]
             lists = np.take_along_axis(top, np.argsort(-np.take_along_axis(sims, top, 1), axis=1), 1)
             own = lists[:, :1]
             far = (np.take_along_axis(sims, own, 1) - np.take_along_axis(sims, lists, 1)) / m["gap"][own, lists]
-            skip = far > m["margin"]
-            skip[:, 0] = False
+            nearer = np.cumsum(m["held"][lists], axis=1) - m["held"][lists]
+            skip = (far > m["margin"]) & (nearer > k)
             yield at, x, np.where(skip, -1, lists), m
 
     def loads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
