@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.llm import knn, leakage, lookalikes, mixing, quality, scans, sentences, splitting, truncation
-from foliant.session import read_table
+from foliant.session import cut_lineage, read_table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(chunks, "chunk_id", "source_text").select(F.col("key").alias("chunk_id"), "sentence_start")
 
 
+def p6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "source_id", "pdf_page", "best_text")
+    # lines unwrapped and broken words joined first; read twice, to learn and to split
+    whole = cut_lineage(scans.repaired_pages(pages, ("best_text",)).select("page_id", "repaired_text"))
+    return sentences.sentences(whole, "page_id", "repaired_text", with_text=True).select(F.col("key").cast("long").alias("page_id"), "sentence_index", "sentence")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
@@ -60,7 +67,7 @@ def p9_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p3_found, p4_found, p5_found, p6_found, p7_found, p8_mixture, p9_found, p9_by_source)}
+    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p3_found, p4_found, p5_found, p6_found, p6_pages, p7_found, p8_mixture, p9_found, p9_by_source)}
 
 
 # The judgement of ``truncation`` in the dialect of the check, over rows of tokens and windows instead of arrays.

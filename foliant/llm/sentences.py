@@ -297,8 +297,8 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["key", "word", "after"])
 
 
-def sentences(texts: DataFrame, key: str, text: str, model: Model | None = None, max_words: int = 500_000) -> DataFrame:
-    """One row per sentence: ``key, sentence_index, sentence_start, sentence_end``, offsets in code points.
+def sentences(texts: DataFrame, key: str, text: str, model: Model | None = None, max_words: int = 500_000, with_text: bool = False) -> DataFrame:
+    """One row per sentence: ``key, sentence_index, sentence_start, sentence_end``, offsets in code points; ``with_text``: the ``sentence`` too.
 
     Of rows with equal keys one is used (the smallest text). Null keys count as one key. Null, empty and blank
     texts give no rows. A line end ends a sentence, so texts are given unwrapped; whole texts are split, of any length.
@@ -323,7 +323,7 @@ def sentences(texts: DataFrame, key: str, text: str, model: Model | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ks, i_s, ss, es = [], [], [], []
+            ks, i_s, ss, es, said = [], [], [], [], []
             for k, t, own in zip(*(c.to_pylist() for c in b.columns)):
                 m = shared.value if shared else as_model([(x["lang"], x["kind"], x["word"], x["after"]) for x in own])
                 found = split_sentences(t, m)
@@ -331,6 +331,8 @@ def sentences(texts: DataFrame, key: str, text: str, model: Model | None = None,
                 i_s += range(len(found))
                 ss += [a for a, _ in found]
                 es += [e for _, e in found]
-            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.string()), pa.array(i_s, pa.int32()), pa.array(ss, pa.int32()), pa.array(es, pa.int32())], names=["key", "sentence_index", "sentence_start", "sentence_end"])
+                said += [t[a:e] for a, e in found] if with_text else []
+            cols = [pa.array(ks, pa.string()), pa.array(i_s, pa.int32()), pa.array(ss, pa.int32()), pa.array(es, pa.int32()), *([pa.array(said, pa.string())] if with_text else [])]
+            yield pa.RecordBatch.from_arrays(cols, names=["key", "sentence_index", "sentence_start", "sentence_end", "sentence"][: len(cols)])
 
-    return ready.select("key", "t", "own").mapInArrow(run, SENTENCE_SCHEMA)
+    return ready.select("key", "t", "own").mapInArrow(run, SENTENCE_SCHEMA + (", sentence string" if with_text else ""))
