@@ -29,6 +29,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.page_findings(read_table(spark, sf_dir, "pages"))
 
 
+def p3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repaired_pages(read_table(spark, sf_dir, "pages"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = lookalikes.corpus_fields(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "embedding_chunks"))
     return lookalikes.unify(fields).select("table_name", "row_key", "field_name")
@@ -67,7 +71,7 @@ def p9_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p3_found, p4_found, p5_found, p6_found, p6_pages, p7_found, p8_mixture, p9_found, p9_by_source)}
+    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p3_found, p3_paragraphs, p4_found, p5_found, p6_found, p6_pages, p7_found, p8_mixture, p9_found, p9_by_source)}
 
 
 # The judgement of ``truncation`` in the dialect of the check, over rows of tokens and windows instead of arrays.
