@@ -176,19 +176,24 @@ _BEFORE = re.compile(r"[^\W_]+(?:\.[^\W_]+)*$")
 _AFTER = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 
 
-def _breaks_after_dot(line: str, at: int, nxt: int, lang: str, model: Model) -> bool:
-    """Whether the full stop at ``at`` ends a sentence, the next word starting at ``nxt``."""
+def _around(line: str, at: int, nxt: int) -> tuple[str, str]:
+    """The words before the full stop at ``at`` and from ``nxt`` on, empty where there is none."""
     before = _BEFORE.search(line, max(0, at - 60), at)
-    w = before[0].lower() if before else ""
-    number = w.isdigit()
-    abbreviation = (lang, w) in model.abbreviations
     j = nxt
     while j < len(line) and line[j] in _OPEN:
         j += 1
-    m = _AFTER.match(line, j)
-    if not m:
+    after = _AFTER.match(line, j)
+    return before[0] if before else "", after[0] if after else ""
+
+
+def _breaks_after_dot(line: str, at: int, nxt: int, lang: str, model: Model) -> bool:
+    """Whether the full stop at ``at`` ends a sentence, the next word starting at ``nxt``."""
+    said, after = _around(line, at, nxt)
+    w = said.lower()
+    number = w.isdigit()
+    abbreviation = (lang, w) in model.abbreviations
+    if not after:
         return not abbreviation
-    after = m[0]
     if after[0].islower():
         return False
     if after[0].isdigit():  # a line may be too short to tell its language
@@ -196,7 +201,7 @@ def _breaks_after_dot(line: str, at: int, nxt: int, lang: str, model: Model) ->
     a = after.lower()
     if number:
         return (lang, "#", a) not in model.collocations
-    initials = bool(before) and all(len(x) == 1 and x.isupper() for x in before[0].split("."))
+    initials = bool(said) and all(len(x) == 1 and x.isupper() for x in said.split("."))
     if not abbreviation and not initials:
         return True
     return (lang, a) in model.starters and (lang, w, a) not in model.collocations
@@ -217,6 +222,51 @@ def _glued(line: str, at: int, nxt: int, kind: str) -> bool:
     return line[at - 1 : at] in _CLOSERS if not last else len(last) > 1 or last.isdigit()
 
 
+def _stops(line: str) -> Iterator[tuple[int, int | None]]:
+    """(start of the next sentence, full stop that the model is asked about) of each place where a sentence of the line may end; None where it surely ends."""
+    n = len(line)
+    for m in _END.finditer(line):
+        s, e = m.span()
+        if e >= n:
+            break
+        kind = m[0]
+        wide = kind[0] in "。！？｡"
+        quoted = False
+        while e < n:  # closing signs belong to the sentence, « and » after a space too
+            if line[e] in _CLOSERS:
+                if line[e] in "\"'“«" and e + 1 < n and line[e + 1].isalnum() and (line[e - 1].isspace() or wide or line[e] == '"' and line.count('"', 0, e) % 2 == 0):
+                    break  # it opens the next sentence
+                quoted = True
+                e += 1
+            elif line[e].isspace() and e + 1 < n and line[e + 1] in "»›" and "«" in line[:s]:
+                e += 1
+            else:
+                break
+        gap = _SPACE.match(line, e)
+        nxt = gap.end() if gap else e
+        if nxt >= n:
+            continue
+        c = line[nxt]
+        if not gap and not wide and kind[0] not in "؟।॥۔" and not _glued(line, s, nxt, kind):
+            continue
+        if wide:
+            if quoted and line[nxt] in "とってな":  # the sentence goes on after its quotation
+                continue
+            yield nxt, None
+            continue
+        if kind[0] in "!?…" or kind[-1] in "!?":
+            if c.islower():
+                continue
+            yield nxt, None
+            continue
+        if kind[0] != "." or len(kind) > 1 and not c.islower():
+            yield nxt, None
+            continue
+        if c.islower():
+            continue
+        yield nxt, None if quoted else s
+
+
 def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
     """(start, end) of each sentence, white space at both ends left out."""
     cuts: list[int] = []
@@ -226,48 +276,10 @@ def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
         if line and not line.isspace():
             cuts.append(offset)
             lang = None
-            for m in _END.finditer(line):
-                s, e = m.span()
-                if e >= n:
-                    break
-                kind = m[0]
-                wide = kind[0] in "。！？｡"
-                quoted = False
-                while e < n:  # closing signs belong to the sentence, « and » after a space too
-                    if line[e] in _CLOSERS:
-                        if line[e] in "\"'“«" and e + 1 < n and line[e + 1].isalnum() and (line[e - 1].isspace() or wide or line[e] == '"' and line.count('"', 0, e) % 2 == 0):
-                            break  # it opens the next sentence
-                        quoted = True
-                        e += 1
-                    elif line[e].isspace() and e + 1 < n and line[e + 1] in "»›" and "«" in line[:s]:
-                        e += 1
-                    else:
-                        break
-                gap = _SPACE.match(line, e)
-                nxt = gap.end() if gap else e
-                if nxt >= n:
-                    continue
-                c = line[nxt]
-                if not gap and not wide and kind[0] not in "؟।॥۔" and not _glued(line, s, nxt, kind):
-                    continue
-                if wide:
-                    if quoted and line[nxt] in "とってな":  # the sentence goes on after its quotation
-                        continue
-                    cuts.append(offset + nxt)
-                    continue
-                if kind[0] in "!?…" or kind[-1] in "!?":
-                    if c.islower():
-                        continue
-                    cuts.append(offset + nxt)
-                    continue
-                if kind[0] != "." or len(kind) > 1 and not c.islower():
-                    cuts.append(offset + nxt)
-                    continue
-                if c.islower():
-                    continue
-                if lang is None:
+            for nxt, dot in _stops(line):
+                if dot is not None and lang is None:
                     lang = language_of(line)
-                if quoted or _breaks_after_dot(line, s, nxt, lang, model):
+                if dot is None or _breaks_after_dot(line, dot, nxt, lang, model):
                     cuts.append(offset + nxt)
             if "\u0e00" <= max(line) and re.search("[\u0e00-\u0e7f]", line):  # in Thai a space ends a sentence
                 cuts.extend(offset + g.end() for g in re.finditer(r"(?<=[\u0e00-\u0e7f])[ \t\u00a0\u3000]+(?=\S)", line))
@@ -288,9 +300,10 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             asked = set()
             for line in t.split("\n"):
-                for m in _DOT.finditer(line):
-                    w, after = "#" if m[1].isdigit() else m[1].lower(), m[2].lower()
-                    asked |= {(w, after), (after, None)}
+                for nxt, dot in _stops(line):
+                    if dot is not None:
+                        w, after = (x.lower() for x in _around(line, dot, nxt))
+                        asked |= {("#" if w.isdigit() else w, after), (after, None)}
             cols[0] += [k] * len(asked)
             cols[1] += [w for w, _ in asked]
             cols[2] += [a for _, a in asked]
