@@ -2,8 +2,8 @@
 
 Catalyst picks the rows that hold any suspicious character; only those reach Python. There widths,
 ligatures, accents, spaces and invisible characters are unified. Letters of another script are decided per
-token: its dominant script is found, and look-alikes are put back where the result is a word of the
-corpus, counted over all texts; see ``unify`` for tokens the corpus can't tell about.
+token: its dominant script is determined, and the look-alikes of a token of mixed scripts are put back, into that script before others,
+where the result is a word of the corpus, counted over all texts; see ``unify`` for tokens the corpus can't tell about.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ LOOKALIKES = {
     **dict(zip("ϲϳѵԍ", "cjvg")),
     **dict(zip("օսհոցյ", "ouhngj")),
 }
+_RANGES = (("latin", "A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u1e00-\u1eff"), ("cyrillic", "\u0400-\u052f"), ("greek", "\u0370-\u03ff\u1f00-\u1fff"), ("armenian", "\u0531-\u058f"))
+_SCRIPTS = [(name, re.compile(f"[{chars}]")) for name, chars in _RANGES]
 # Small capitals of Cyrillic and Greek that only resemble Latin letters loosely: used where the word is known.
 _LOOSE = set("кмтвнαικτυχγ")
 _SAME_LOOK = re.compile("[！-～ﬀ-ﬆ\U0001d400-\U0001d7ffⅠ-ⅿǄ-ǌǱ-ǳĲĳ]")
@@ -37,6 +39,9 @@ _JOINED_SCRIPTS = re.compile("[\u0600-\u07bf\u0900-\u0fffក-\u18af]")
 _CJK = re.compile("[\u3040-ヿ㐀-鿿가-\ud7af豈-\ufaff]")
 _WORD = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile("[A-Za-zÀ-ɏḀ-ỿ]")
+_FOREIGN = re.compile("[\u0370-\u052f\u0531-\u058f\u1f00-\u1fff]")
+#: per script the letters of other scripts that look like one of its own, Latin ones from the table, the others by its inverse
+_TO = {"latin": LOOKALIKES} | {name: {b: a for a, b in reversed(LOOKALIKES.items()) if pattern.match(a)} for name, pattern in _SCRIPTS if name in ("cyrillic", "greek")}
 _LOOK = re.compile("[" + "".join(LOOKALIKES) + "]")
 _MARKS = re.compile("[\u0300-\u036f]")
 #: the same classes for Catalyst, wide enough to let every case through
@@ -45,10 +50,10 @@ SUSPECT_SQL = (
     r"\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}\x{300}-\x{36F}"
     r"\x{370}-\x{52F}\x{531}-\x{58F}\x{FF01}-\x{FF5E}\x{FB00}-\x{FB06}\x{1D400}-\x{1D7FF}\x{2160}-\x{217F}\x{1C4}-\x{1CC}\x{1F1}-\x{1F3}\x{132}\x{133}]"
 )
-WORD_SQL = r"\p{IsLatin}{2,}"
-TOKEN_TYPE = "array<struct<token:string,mapped:string,mixed:boolean>>"
+WORD_SQL = r"(?<!\p{L})(?:\p{IsLatin}{2,}|\p{IsCyrillic}{2,}|\p{IsGreek}{2,})(?!\p{L})"
+TOKEN_TYPE = "array<struct<token:string,mapped:string,script:string,dominant:string,mixed:boolean,close:boolean>>"
 FIRST_SCHEMA = f"table_name string, row_key string, field_name string, plain string, kinds array<string>, tokens {TOKEN_TYPE}"
-OUT_SCHEMA = "table_name string, row_key string, field_name string, kinds array<string>, unified string"
+OUT_SCHEMA = "table_name string, row_key string, field_name string, kinds array<string>, unified string, unresolved array<string>"
 
 
 def plain_form(text: str) -> tuple[str, list[str]]:
@@ -103,21 +108,56 @@ def foreign_tokens(text: str) -> list[tuple[str, str, bool]]:
     return list(out.values())
 
 
+def _script(c: str) -> str:
+    return next((name for name, pattern in _SCRIPTS if pattern.match(c)), "other")
+
+
+def token_readings(text: str) -> list[dict]:
+    """What tokens with letters of Greek, Cyrillic or Armenian may stand for, one row per token and script it can be written in wholly.
+
+    A token of mixed scripts has a reading in each script into which all its other letters look; if there is none it has one row without ``mapped``.
+    A token of one foreign script has its Latin reading only, if all its letters look Latin. ``dominant`` is the script of most of
+    its letters, of equally many the one with more letters that look like none of another, then the foreign one; ``close``: its foreign letters are no loose look-alikes."""
+    if text.isascii() or not _FOREIGN.search(text):
+        return []
+    out: dict[str, list[dict]] = {}
+    for m in _WORD.finditer(text):
+        w = m[0]
+        if w in out or w.isascii() or not _FOREIGN.search(w):
+            continue
+        scripts = [_script(c) for c in w]
+        names = sorted(set(scripts))
+        mixed = len(names) > 1
+        own = {n: sum(1 for c, x in zip(w, scripts) if x == n and not any(c in to for to in _TO.values())) for n in names}
+        dominant = max(names, key=lambda n: (scripts.count(n), own[n], n != "latin"))
+        close = not any(c in _LOOSE for c in w) and all(x == "latin" or c in LOOKALIKES for c, x in zip(w, scripts))
+        rows = []
+        for target in _TO if mixed else ("latin",):
+            mapped = [c if x == target else _TO[target].get(c) for c, x in zip(w, scripts)]
+            if all(mapped) and "".join(mapped) != w:
+                rows.append({"token": w, "mapped": "".join(mapped), "script": target, "dominant": dominant, "mixed": mixed, "close": close})
+        if mixed and not rows:
+            rows.append({"token": w, "mapped": None, "script": None, "dominant": dominant, "mixed": True, "close": close})
+        out[w] = rows
+    return [r for rows in out.values() for r in rows]
+
+
 def corpus_words(texts: DataFrame, least: int = 1) -> DataFrame:
-    """Lower-cased Latin words of all texts with the number of texts that hold them."""
+    """Lower-cased words of one script (Latin, Cyrillic or Greek) of all texts with the number of texts that hold them."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(WORD_SQL), F.lit(0)))
     return texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("texts")).filter(F.col("texts") >= least)
 
 
 def unify(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """One row per text that was changed: the ``kinds`` of disguise and the ``unified`` text.
+    """One row per text in disguise: its ``kinds``, the ``unified`` text and the tokens that stay ``unresolved``.
 
     ``texts`` has ``table_name, row_key, field_name, text``; other columns don't come out. Null and empty
     texts and texts in one form give no row; each key and field gives one row, whichever delivery of it holds the disguise.
-    Words wholly of another script are left alone unless their look is a corpus word. A token of mixed scripts gets
-    its look-alikes replaced where the result is a corpus word; where it isn't (a word cut by a line end, a rare
-    name) still if only close look-alikes stand in it beside Latin letters, as no script mixes these itself.
-    ``vocabulary`` (``word``) defaults to the words of the texts themselves.
+    A token of mixed scripts gets its look-alikes replaced where the result, in its dominant script or else in another, is a corpus word;
+    where it isn't (a word cut by a line end, a rare name) the token stays as it is and is named in ``unresolved``, with the kind ``mixed script``, if
+    only close look-alikes stand in it beside Latin letters, as no script mixes these itself. Words wholly of another script are left alone
+    unless their Latin look is a corpus word in more texts than they are.
+    ``vocabulary`` (``word, texts``) defaults to the words of the texts themselves.
     """
     vocabulary = corpus_words(texts) if vocabulary is None else vocabulary
     suspects = texts.select("table_name", "row_key", "field_name", "text").filter(F.col("text").rlike(SUSPECT_SQL))
@@ -130,18 +170,21 @@ def unify(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
                 p, kind = plain_form(t)
                 plain.append(p)
                 kinds.append(kind)
-                tokens.append([{"token": x, "mapped": y, "mixed": z} for x, y, z in foreign_tokens(p)])
-            token_type = pa.list_(pa.struct([("token", pa.string()), ("mapped", pa.string()), ("mixed", pa.bool_())]))
+                tokens.append(token_readings(p))
+            token_type = pa.list_(pa.struct([(n, pa.string()) for n in ("token", "mapped", "script", "dominant")] + [("mixed", pa.bool_()), ("close", pa.bool_())]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.string()), pa.array(k, pa.string()), pa.array(f, pa.string()), pa.array(plain, pa.string()), pa.array(kinds, pa.list_(pa.string())), pa.array(tokens, token_type)],
                 names=["table_name", "row_key", "field_name", "plain", "kinds", "tokens"],
             )
 
     found = cut_lineage(suspects.mapInArrow(first, FIRST_SCHEMA).filter((F.size("kinds") > 0) | (F.size("tokens") > 0)))  # used three times
-    looks = found.select(F.explode("tokens").alias("t")).select("t.token", "t.mapped", "t.mixed").distinct()
-    known = looks.join(vocabulary.select(F.col("word").alias("w")), F.lower("mapped") == F.col("w"), "left")
-    loose = F.col("token").rlike("[" + "".join(sorted(_LOOSE)) + "]")
-    accepted = known.filter(F.col("w").isNotNull() | (F.col("mixed") & ~loose)).select("token", "mapped")
+    looks = found.select(F.explode("tokens").alias("t")).select("t.*").distinct()
+    of = lambda c, n: vocabulary.select(F.col("word").alias(c), F.col("texts").alias(n))
+    known = looks.join(of("w", "n"), F.lower("mapped") == F.col("w"), "left").join(of("v", "own"), ~F.col("mixed") & (F.lower("token") == F.col("v")), "left")
+    right = F.col("n").isNotNull() & (F.col("mixed") | (F.col("n") > F.coalesce("own", F.lit(0))))
+    best = F.max_by("mapped", F.when(right, F.struct((F.col("script") == F.col("dominant")).alias("a"), F.col("n").alias("b"), F.col("mapped").alias("c"))))
+    decided = known.groupBy("token").agg(best.alias("mapped"), F.max("mixed").alias("mixed"), F.max("close").alias("close"))
+    accepted = decided.filter("mapped IS NOT NULL OR mixed AND close").select("token", "mapped")
     per_row = (
         found.select("table_name", "row_key", "field_name", F.explode("tokens").alias("t"))
         .select("table_name", "row_key", "field_name", F.col("t.token").alias("token"))
@@ -156,12 +199,15 @@ def unify(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a, k, f, plain, kinds, swaps = (c.to_pylist() for c in b.columns)
+            left: list[list[str]] = [[] for _ in swaps]
             for i, s in enumerate(swaps):
-                if s:
-                    to = {x["token"]: x["mapped"] for x in s}
+                to = {x["token"]: x["mapped"] for x in s or () if x["mapped"]}
+                left[i] = sorted(x["token"] for x in s or () if not x["mapped"])
+                if to:
                     plain[i] = _WORD.sub(lambda m, to=to: to.get(m[0], m[0]), plain[i])
-                    kinds[i] = [*kinds[i], "script"]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(k, pa.string()), pa.array(f, pa.string()), pa.array(kinds, pa.list_(pa.string())), pa.array(plain, pa.string())], names=["table_name", "row_key", "field_name", "kinds", "unified"])
+                kinds[i] = [*kinds[i], *(["script"] if to else []), *(["mixed script"] if left[i] else [])]
+            cols = [pa.array(a, pa.string()), pa.array(k, pa.string()), pa.array(f, pa.string()), pa.array(kinds, pa.list_(pa.string())), pa.array(plain, pa.string()), pa.array(left, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["table_name", "row_key", "field_name", "kinds", "unified", "unresolved"])
 
     return rows.mapInArrow(second, OUT_SCHEMA)
 

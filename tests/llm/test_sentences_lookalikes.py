@@ -102,3 +102,16 @@ def test_names_equal_their_record(spark, data):
     u = lookalikes.unify(f).filter("table_name = 'embedding_chunks'").select(F.col("row_key").alias("chunk_id"), "unified")
     n = c.join(u, "chunk_id", "left").join(spark.read.parquet(f"{data}/record_name_metadata.parquet").select("record_id", "book_scientific_name"), "record_id")
     assert n.filter("lower(coalesce(unified, scientific_name)) <> lower(book_scientific_name)").count() == 0
+
+
+def test_dominant_script(spark):
+    schema = "table_name string, row_key string, field_name string, text string"
+    clean = ["утром роса и трава", "la poca acqua di Zweige"]
+    cases = [("a", "рoсa утром", "роса утром"), ("b", "трaвa росла", "трава росла"), ("c", "die Zwеige", "die Zweige"), ("d", "Мeliklos novum", None), ("e", "росла γάλα μm", None), ("f", "αPinen", None)]
+    df = spark.createDataFrame([("t", f"v{i}", "x", t) for i, t in enumerate(clean)] + [("t", k, "x", t) for k, t, _ in cases], schema)
+    got = {r.row_key: r for r in lookalikes.unify(df).collect()}
+    assert {k: r.unified for k, r in got.items() if r.kinds == ["script"]} == {k: w for k, _, w in cases if w}
+    assert got["d"].unified == "Мeliklos novum" and got["d"].unresolved == ["Мeliklos"] and got["d"].kinds == ["mixed script"] and not {"e", "f", "v0", "v1"} & set(got)
+    # without the Russian word in the corpus the Latin one is taken
+    some = {r.row_key: r.unified for r in lookalikes.unify(df.filter("row_key NOT IN ('v0')")).collect()}
+    assert some["a"] == "poca утром"
