@@ -76,37 +76,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # The judgement of ``truncation`` in the dialect of the check, over rows of tokens and windows instead of arrays.
 _CUT = r"""
-    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, length(text) AS n_len, octet_length(encode(text)) AS n_bytes, regexp_replace(text, '\s+$', '') AS text FROM documents WHERE text IS NOT NULL),
-    x AS (SELECT *, regexp_matches(text, '{whole}') AS whole, regexp_matches(text, '{broken}') AS broken, regexp_extract_all(text, '{token}') AS t FROM d WHERE text <> ''),
-    u AS (SELECT rid, doc_id, source, n_len, n_bytes, text, whole, broken, unnest(t) AS w0, generate_subscripts(t, 1) AS i, len(t) AS n FROM x),
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, length(text) AS n_len, octet_length(encode(text)) AS n_bytes, rtrim(text, '{white}') AS full_text FROM documents WHERE text IS NOT NULL),
+    d2 AS (SELECT *, regexp_matches(full_text, '{mark}') AS marked, regexp_replace(full_text, '{mark}', '') AS text FROM d),
+    x AS (SELECT *, regexp_matches(text, '{whole}') AS whole, regexp_matches(text, '{broken}') AS broken, regexp_extract_all(text, '{token}') AS t FROM d2 WHERE text <> ''),
+    u AS (SELECT rid, doc_id, source, n_len, n_bytes, text, whole, broken, marked, unnest(t) AS w0, generate_subscripts(t, 1) AS i, len(t) AS n FROM x),
     v AS (SELECT *, CASE WHEN regexp_matches(w0, '^\p{N}') THEN '#' WHEN w0[1] = chr(10) THEN '¶' ELSE w0 END AS w FROM u),
     p AS (SELECT *, lag(w, 1) OVER o AS a1, lag(w, 2) OVER o AS a2, lag(w, 3) OVER o AS a3, lag(w, 4) OVER o AS a4, lead(w, 1) OVER o AS nx,
                  sum(CASE WHEN w = '¶' THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS b8, sum(CASE WHEN w = '¶' THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS b3
           FROM v WINDOW o AS (PARTITION BY rid ORDER BY i)),
     q AS (SELECT *, nullif(nx, '¶') AS follows, CASE WHEN NOT whole AND i = n THEN text END AS open_end, w AS g1, CASE WHEN i >= 2 THEN a1 || chr(31) || w END AS g2, CASE WHEN i >= 3 THEN a2 || chr(31) || a1 || chr(31) || w END AS g3,
-                 CASE WHEN i >= 5 AND w = '#' THEN a4 || chr(31) || a3 || chr(31) || a2 || chr(31) || a1 || chr(31) || w END AS g5, CASE WHEN i >= 4 THEN a3 || chr(31) || a2 || chr(31) || a1 END AS before FROM p),
-    e AS (SELECT rid, doc_id, source, n_len, n_bytes, broken, w AS last, b3 > 0 AS line_start, g5 AS five, g3 AS tri, CASE WHEN n >= 8 AND b8 = 0 THEN g2 END AS bi, g1 AS uni, before FROM q WHERE NOT whole AND i = n),
+                 CASE WHEN i >= 5 AND w = '#' THEN a4 || chr(31) || a3 || chr(31) || a2 || chr(31) || a1 || chr(31) || w END AS g5, CASE WHEN i >= 3 THEN a2 || chr(31) || a1 END AS pair FROM p),
+    e AS (SELECT rid, doc_id, source, n_len, n_bytes, broken, marked, w AS last, b3 > 0 AS line_start, g5 AS five, g3 AS tri, CASE WHEN n >= 8 AND b8 = 0 THEN g2 END AS bi, g1 AS uni, pair FROM q WHERE NOT whole AND i = n),
     c1 AS (SELECT g1 AS g, count(follows) AS inside, count(*) FILTER (follows IS NULL AND open_end IS NULL) + greatest(count(DISTINCT CASE WHEN follows IS NULL THEN open_end END) - 1, 0) AS terminal FROM q GROUP BY 1),
     c2 AS (SELECT g2 AS g, count(follows) AS inside, count(*) FILTER (follows IS NULL AND open_end IS NULL) + greatest(count(DISTINCT CASE WHEN follows IS NULL THEN open_end END) - 1, 0) AS terminal FROM q GROUP BY 1),
     c3 AS (SELECT g3 AS g, count(follows) AS inside, count(*) FILTER (follows IS NULL AND open_end IS NULL) + greatest(count(DISTINCT CASE WHEN follows IS NULL THEN open_end END) - 1, 0) AS terminal FROM q GROUP BY 1),
     c5 AS (SELECT g5 AS g, count(follows) AS inside, count(*) FILTER (follows IS NULL AND open_end IS NULL) + greatest(count(DISTINCT CASE WHEN follows IS NULL THEN open_end END) - 1, 0) AS terminal FROM q GROUP BY 1),
     wd AS (SELECT w, count(*) AS n FROM q WHERE (whole OR i < n) AND regexp_matches(w, '^\p{L}') GROUP BY 1),
     st AS (SELECT last, sum(n) AS longer FROM (SELECT DISTINCT last FROM e) JOIN wd ON starts_with(w, last) AND w <> last GROUP BY 1),
-    go AS (SELECT b.before, b.last, count(*) AS longer_here FROM (SELECT DISTINCT before, last FROM e WHERE before IS NOT NULL) b JOIN q ON q.g3 = b.before WHERE starts_with(q.follows, b.last) AND q.follows <> b.last GROUP BY ALL),
+    go AS (SELECT b.pair, b.last, count(*) AS longer3 FROM (SELECT DISTINCT pair, last FROM e WHERE pair IS NOT NULL) b JOIN q ON q.g2 = b.pair WHERE starts_with(q.follows, b.last) AND q.follows <> b.last GROUP BY ALL),
     sz AS (SELECT source, 'chars' AS kind, n_len AS size, count(*) AS n FROM x GROUP BY ALL UNION ALL SELECT source, 'bytes', n_bytes, count(*) FROM x GROUP BY ALL),
     li AS (SELECT source, kind, size FROM (SELECT *, sum(n) OVER (PARTITION BY source, kind ORDER BY size RANGE BETWEEN 50 PRECEDING AND 1 PRECEDING) / 50.0 AS level,
                   1 - sum(n) OVER (PARTITION BY source, kind ORDER BY size) / sum(n) OVER (PARTITION BY source, kind) AS longer FROM sz) WHERE n >= 8 AND n >= 20 * coalesce(level, 0) AND longer <= 0.05),
-    m AS (SELECT e.*, wd.n AS as_word, longer, longer_here, c5.inside AS i5, c5.terminal AS t5, coalesce(c3.inside, 0) AS i3, coalesce(c3.terminal, 0) AS t3, coalesce(c2.inside, 0) AS i2, coalesce(c2.terminal, 0) AS t2, coalesce(c1.inside, 0) AS i1, coalesce(c1.terminal, 0) AS t1,
+    m AS (SELECT e.*, wd.n AS as_word, longer, longer3, c5.inside AS i5, c5.terminal AS t5, coalesce(c3.inside, 0) AS i3, coalesce(c3.terminal, 0) AS t3, coalesce(c2.inside, 0) AS i2, coalesce(c2.terminal, 0) AS t2, coalesce(c1.inside, 0) AS i1, coalesce(c1.terminal, 0) AS t1,
                  EXISTS (SELECT 1 FROM li WHERE li.source IS NOT DISTINCT FROM e.source AND (kind = 'chars' AND size = e.n_len OR kind = 'bytes' AND size - e.n_bytes BETWEEN 0 AND 3)) AS at_limit
-          FROM e LEFT JOIN c5 ON c5.g = e.five LEFT JOIN c3 ON c3.g = e.tri LEFT JOIN c2 ON c2.g = e.bi LEFT JOIN c1 ON c1.g = e.uni LEFT JOIN wd ON wd.w = e.last LEFT JOIN st ON st.last = e.last LEFT JOIN go ON go.before = e.before AND go.last = e.last),
-    cut AS (SELECT doc_id, source FROM m WHERE broken OR longer_here >= 5 AND i3 + t3 <= 0.02 * longer_here OR as_word IS NULL AND i3 = 0 AND t3 <= 0.02 * longer OR i3 + t3 = 0 AND 1000 * as_word < longer OR i5 >= 5 AND t5 <= 0.02 * i5
+          FROM e LEFT JOIN c5 ON c5.g = e.five LEFT JOIN c3 ON c3.g = e.tri LEFT JOIN c2 ON c2.g = e.bi LEFT JOIN c1 ON c1.g = e.uni LEFT JOIN wd ON wd.w = e.last LEFT JOIN st ON st.last = e.last LEFT JOIN go ON go.pair = e.pair AND go.last = e.last),
+    cut AS (SELECT doc_id, source FROM m WHERE broken OR marked OR longer3 >= 5 AND i3 + t3 <= 0.02 * longer3 OR as_word IS NULL AND i3 = 0 AND t3 <= 0.02 * longer OR i3 + t3 = 0 AND 1000 * as_word < longer OR i5 >= 5 AND t5 <= 0.02 * i5
                  OR i3 >= 5 AND t3 <= 0.02 * (i3 + t3) AND (NOT line_start OR t1 <= 0.05 * (i1 + t1)) OR t3 = 0 AND i3 + t3 < 5 AND i2 >= 5 AND t2 <= 0.02 * (i2 + t2) OR bi IS NOT NULL AND t3 = 0 AND i3 + t3 < 5 AND i2 + t2 < 5 AND i1 >= 5 AND t1 <= 0.02 * (i1 + t1)
                  OR at_limit AND t3 = 0 AND (bi IS NOT NULL OR i3 + t3 < 5 AND i2 + t2 < 5))"""
 
 
 def _cut_sql(rest: str) -> str:
     here = lambda x: x.replace("\\p{Is", "\\p{").replace("'", "''")
-    return _CUT.replace("{whole}", here(truncation.WHOLE_END)).replace("{broken}", here(truncation.BROKEN_END)).replace("{token}", here(truncation.TOKEN)) + rest
+    return _CUT.replace("{whole}", here(truncation.WHOLE_END)).replace("{broken}", here(truncation.BROKEN_END)).replace("{token}", here(truncation.TOKEN).replace(r"\n(?!\n)", r"\n+")).replace("{mark}", here(truncation.CUT_MARK)).replace("{white}", truncation.WHITE) + rest
 
 
 def oracle_sql() -> dict[str, str]:
