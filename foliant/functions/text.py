@@ -9,6 +9,7 @@ WORD = r"[\p{L}\p{N}]+(?:[-'][\p{L}\p{N}]+)*"
 UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 TERM = r"[\p{L}\p{N}]+"
 BINOMIAL = r"([A-Z][a-z]{2,}) ([a-z]{3,})"
+WHITE = " \t\n\x0b\f\r"
 # Letters with a diacritic and what they fold to, in the same order.
 DIACRITICS = "àáâãäåāăąçćčďèéêëēĕėęěìíîïīĭłñńňòóôõöøōŏőŕřśšťùúûüūŭůűýÿźżž"
 FOLDED = "aaaaaaaaacccdeeeeeeeeeiiiiiilnnnooooooooorrsstuuuuuuuuyyzzz"
@@ -17,7 +18,8 @@ ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#
 
 
 def stripped(c: Column) -> Column:
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+    """Without white space at both ends; null counts as empty. One pass from each end, however long runs of white space are."""
+    return F.btrim(F.coalesce(c, F.lit("")), F.lit(WHITE))
 
 
 def ratio(a: Column, b: Column, digits: int = 4, empty: float = 0.0) -> Column:

@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
 
 
+METRICS = ("n_characters", "n_words", "n_lines", "short_lines", "letters")
+
+
 def with_metrics(pages: DataFrame, text: str = "best_text") -> DataFrame:
-    """Counts and ratios of a page text: one pass, no shuffle. Null texts count as empty."""
-    t = tx.stripped(F.col(text))
-    df = pages.withColumn("__t", t).withColumn("__l", tx.lines(F.col("__t")))
+    """Counts and ratios of a page text: one pass, no shuffle. Null texts count as empty.
+
+    The metrics come through a generator: a filter on what is made of them isn't pushed below it, where each use would measure the text again."""
+    keep = [c for c in pages.columns if c not in METRICS]
+    df = pages.select(*[F.col(f"`{c}`") for c in keep], F.explode(F.array(tx.stripped(F.col(text)))).alias("__t")).withColumn("__l", tx.lines(F.col("__t")))
     n = F.size("__l")
-    return (
-        df.withColumn("n_characters", F.length("__t").cast("long"))
-        .withColumn("n_words", tx.word_count(F.col("__t")))
-        .withColumn("n_lines", n.cast("long"))
-        .withColumn("short_lines", tx.ratio(F.size(F.filter("__l", lambda x: F.length(F.trim(x)) <= 4)), n, 4, 1.0))
-        .withColumn("letters", tx.alpha_ratio(F.col("__t")))
-        .drop("__t", "__l")
-    )
+    made = (F.length("__t").cast("long"), tx.word_count(F.col("__t")), n.cast("long"), tx.ratio(F.size(F.filter("__l", lambda x: F.length(F.trim(x)) <= 4)), n, 4, 1.0), tx.alpha_ratio(F.col("__t")))
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.struct(*[c.alias(m) for m, c in zip(METRICS, made)]))))
 
 
 def quality() -> Column:
@@ -30,14 +32,25 @@ def quality() -> Column:
     )
 
 
+# Marks of front matter and of indexes.
+FRONT_MARKS = ("inhalt", "verzeichnis", "register", "band ")
+INDEX_MARKS = ("sachregister", "namenregister", "literatur-verzeichnis")
+
+
 def page_kind(text: Column, characters: Column, page: Column) -> Column:
-    """Kind of a page by markers: blank, plate or caption, front matter, index or text."""
-    low = F.lower(tx.stripped(text))
-    plate = low.rlike(r"(^|\n)\s*(tafel|taf\.|plate|fig\.|lith\.)")
-    caption = (characters < 320) & tx.stripped(text).rlike(r"(?m)^\s*[A-Z][a-z]{2,} [a-z]{3,}\s*$")
-    front = (page <= 12) & low.rlike(r"inhalt|vorwort|preface|contents|register")
-    index = low.rlike(r"(?m)^\s*(register|index|inhalt|verzeichnis)\s*$")
-    return F.when(characters < 8, "blank_or_image").when((characters < 320) & plate | caption, "plate_or_caption").when(front, "frontmatter_or_index").when(index, "index").otherwise("text")
+    """Kind of a page: blank, plate or caption, front matter, index or text, by the first rule that holds."""
+    t = tx.stripped(text)
+    low = F.lower(t)
+    plate = low.rlike(r"\btafel\s+[ivxlcdm0-9]+\b") | (characters < 320) & t.rlike(r"\b[A-Z][a-z]{3,}\s+[a-z][a-z-]{2,}\b")
+    has = lambda marks: reduce(or_, [F.contains(low, F.lit(m)) for m in marks])
+    front = (page <= 12) & has(FRONT_MARKS)
+    return F.when(characters < 8, "blank_or_image").when(plate, "plate_or_caption").when(front, "frontmatter_or_index").when(has(INDEX_MARKS), "index").otherwise("text")
+
+
+def with_kind(pages: DataFrame, text: str = "best_text", page: str = "pdf_page") -> DataFrame:
+    """Metrics, quality class and kind of every page, each computed once per row."""
+    p = with_metrics(pages, text).withColumn("quality_class", quality())
+    return p.select("*", F.explode(F.array(page_kind(F.col(text), F.col("n_characters"), F.col(page)))).alias("kind"))
 
 
 def recognition_need(pages: DataFrame) -> DataFrame:
@@ -47,9 +60,9 @@ def recognition_need(pages: DataFrame) -> DataFrame:
     # the last page per source is one small aggregate, sent back by a join on the source
     last = pages.groupBy("source_id").agg(F.max("pdf_page").alias("last_page"))
     q, kind = F.col("quality_class"), F.col("kind")
-    reason = F.when(q == "fragmented", "fragmented_text").when(q == "low_text", "insufficient_text").when(kind == "plate_or_caption", "plate").when(q == "empty", "empty_page")
-    strategy = F.when(q == "fragmented", "layout").when(q == "low_text", "full_page").when(kind == "plate_or_caption", "caption").when(q == "empty", "full_page")
-    priority = F.when(q == "fragmented", 1).when(q == "low_text", 2).when(kind == "plate_or_caption", 3).when(q == "empty", F.when(F.col("pdf_page") > F.col("last_page") - 10, 5).otherwise(4))
+    reason = F.when(q == "fragmented", "layout_fragmentation").when(q == "low_text", "insufficient_embedded_text").when(kind == "plate_or_caption", "plate_caption").when(q == "empty", "blank_or_image_check")
+    strategy = F.when(q == "fragmented", "full_page_layout_ocr").when(q == "low_text", "full_page_ocr").when(kind == "plate_or_caption", "caption_ocr").when(q == "empty", "visual_text_check")
+    priority = F.when(q == "fragmented", 1).when(q == "low_text", 2).when(kind == "plate_or_caption", 3).when(q == "empty", F.when(F.col("pdf_page") < F.col("last_page") - 10, 4).otherwise(5))
     return pages.join(last, "source_id").withColumn("reason", reason).withColumn("strategy", strategy).withColumn("priority", priority).drop("last_page")
 
 

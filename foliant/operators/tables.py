@@ -31,15 +31,22 @@ def missing_and_extra(expected: DataFrame, found: DataFrame, key: str) -> DataFr
     return e.join(f, key, "left_anti").withColumn("side", F.lit("missing")).unionByName(f.join(e, key, "left_anti").withColumn("side", F.lit("extra")))
 
 
-def table_digest(df: DataFrame, columns: list[str], buckets: int = 4096) -> DataFrame:
-    """``n_rows, digest``: one hash of a table's content, whatever the order of its rows.
+LANES, LANE_BITS = 4, 60
 
-    Rows are hashed, sorted within ``buckets`` of their hash and hashed per bucket, then over the buckets in order: no task ever holds
-    more than a bucket of 64-character hashes, where one sorted list of all rows would have to fit in one."""
+
+def multiset_digest(columns: list[str]) -> tuple[Column, Column]:
+    """Aggregates (number of rows, digest) of a table's content, whatever the order of its rows: the rows' hashes are cut into lanes of 60 bits, which are
+    summed. Sums combine before the shuffle and hold a few numbers, however many rows there are; repeated rows count."""
     row = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]), 256)
-    r = df.select(row.alias("h")).withColumn("b", F.conv(F.substring("h", 1, 3), 16, 10).cast("int") % buckets)
-    per = r.groupBy("b").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("d"))
-    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda x: x["d"]), "\n"), 256).alias("digest"))
+    lane = lambda i: F.conv(F.substring(row, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
+    parts = [(F.coalesce(F.sum(lane(i)), F.lit(0)) % F.lit(1 << LANE_BITS)).cast("long").cast("string") for i in range(LANES)]
+    return F.count("*"), F.sha2(F.concat_ws("|", F.count("*").cast("string"), *parts), 256)
+
+
+def table_digest(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``n_rows, digest`` of a table by ``multiset_digest``."""
+    n, digest = multiset_digest(columns)
+    return df.agg(n.alias("n_rows"), digest.alias("digest"))
 
 
 def checks(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:

@@ -23,8 +23,7 @@ class EvidenceEngine:
         return self.spark.read.parquet(path)
 
     def classify_pages(self, pages: DataFrame, text: str = "best_text") -> DataFrame:
-        p = pg.with_metrics(pages, text).withColumn("quality_class", pg.quality())
-        return p.withColumn("kind", pg.page_kind(F.col(text), F.col("n_characters"), F.col("pdf_page")))
+        return pg.with_kind(pages, text)
 
     def segment(self, pages: DataFrame, marker: str = "Familie:") -> DataFrame:
         """Entries from heading to heading: source, start, end, taxon."""
@@ -41,11 +40,11 @@ class EvidenceEngine:
     def search(self, chunks: DataFrame, index: DataFrame, questions: DataFrame, k: int = 5, weight: float = 0.08, depth: int = 80) -> DataFrame:
         """Hybrid retrieval for a batch of questions: lexical and vector hits fused, the best ``k`` parents of each.
 
-        ``chunks``: ``chunk_id, parent, vec, vector_space_id``; ``questions``: ``query_id, question, vec, vector_space_id``."""
+        ``chunks``: ``chunk_id, parent, record, vec, vector_space_id`` (``record`` may lack); ``questions``: ``query_id, question, vec, vector_space_id``."""
         lexical = rt.bm25(index, questions, "query_id", "question", depth)
-        semantic = rt.vector_search(chunks, questions, "chunk_id", "vec", "query_id", "vec", max(8 * k, 40), ["vector_space_id"])
-        hits = rt.fuse_weighted(semantic, lexical, weight).join(chunks.select(F.col("chunk_id").alias("item"), "parent"), "item")
-        return rt.collapse(hits, "parent", k)
+        name = lambda df, key: df.select(F.col(key).alias("item" if key == "chunk_id" else "query"), F.col("vector_space_id").alias("space"), F.col("vec").alias("v"), *(["parent", "record"] if key == "chunk_id" else []))
+        base = chunks if "record" in chunks.columns else chunks.withColumn("record", F.lit(None).cast("string"))
+        return rt.hybrid_parents(name(base, "chunk_id"), name(questions, "query_id"), lexical, k, weight)
 
     def evaluate(self, hits: DataFrame, relevant: DataFrame) -> DataFrame:
         """Ranking metrics of hits (``query, item, cosine, rank``) against relevant pairs (``query, item``)."""

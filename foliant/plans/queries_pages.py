@@ -20,9 +20,9 @@ _METRICS = r"""
     q AS (SELECT *, CASE WHEN n_characters < 8 THEN 'empty' WHEN n_characters < 120 OR n_words < 18 THEN 'low_text' WHEN short_lines > 0.38 THEN 'fragmented' ELSE 'usable' END AS quality_class FROM s)"""
 _PAGES = "WITH t AS (SELECT *, " + _STRIP.format(c="best_text") + " AS t FROM pages)," + _METRICS
 _KIND = r"""CASE WHEN n_characters < 8 THEN 'blank_or_image'
-      WHEN (n_characters < 320 AND regexp_matches(lower(t), '(^|\n)\s*(tafel|taf\.|plate|fig\.|lith\.)')) OR (n_characters < 320 AND regexp_matches(t, '(?m)^\s*[A-Z][a-z]{2,} [a-z]{3,}\s*$')) THEN 'plate_or_caption'
-      WHEN pdf_page <= 12 AND regexp_matches(lower(t), 'inhalt|vorwort|preface|contents|register') THEN 'frontmatter_or_index'
-      WHEN regexp_matches(lower(t), '(?m)^\s*(register|index|inhalt|verzeichnis)\s*$') THEN 'index' ELSE 'text' END"""
+      WHEN regexp_matches(lower(t), '\btafel\s+[ivxlcdm0-9]+\b') OR (n_characters < 320 AND regexp_matches(t, '\b[A-Z][a-z]{3,}\s+[a-z][a-z-]{2,}\b')) THEN 'plate_or_caption'
+      WHEN pdf_page <= 12 AND regexp_matches(lower(t), 'inhalt|verzeichnis|register|band ') THEN 'frontmatter_or_index'
+      WHEN regexp_matches(lower(t), 'sachregister|namenregister|literatur-verzeichnis') THEN 'index' ELSE 'text' END"""
 
 
 def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,22 +48,20 @@ def quality_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_PAGES + f" SELECT page_id, {_KIND} AS kind, quality_class FROM q")
 def page_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _measured(spark, sf_dir)
-    return p.select("page_id", pg.page_kind(F.col("best_text"), F.col("n_characters"), F.col("pdf_page")).alias("kind"), "quality_class")
+    return pg.with_kind(read_table(spark, sf_dir, "pages").select("page_id", "pdf_page", "best_text")).select("page_id", "kind", "quality_class")
 
 
 @query(
     _PAGES
     + f""", k AS (SELECT *, {_KIND} AS kind, max(pdf_page) OVER (PARTITION BY source_id) AS last_page FROM q)
     SELECT page_id, source_id, pdf_page,
-      CASE WHEN quality_class = 'fragmented' THEN 'fragmented_text' WHEN quality_class = 'low_text' THEN 'insufficient_text' WHEN kind = 'plate_or_caption' THEN 'plate' ELSE 'empty_page' END AS reason,
-      CASE WHEN quality_class = 'fragmented' THEN 'layout' WHEN quality_class = 'low_text' THEN 'full_page' WHEN kind = 'plate_or_caption' THEN 'caption' ELSE 'full_page' END AS strategy,
-      CASE WHEN quality_class = 'fragmented' THEN 1 WHEN quality_class = 'low_text' THEN 2 WHEN kind = 'plate_or_caption' THEN 3 WHEN pdf_page > last_page - 10 THEN 5 ELSE 4 END AS priority
+      CASE WHEN quality_class = 'fragmented' THEN 'layout_fragmentation' WHEN quality_class = 'low_text' THEN 'insufficient_embedded_text' WHEN kind = 'plate_or_caption' THEN 'plate_caption' ELSE 'blank_or_image_check' END AS reason,
+      CASE WHEN quality_class = 'fragmented' THEN 'full_page_layout_ocr' WHEN quality_class = 'low_text' THEN 'full_page_ocr' WHEN kind = 'plate_or_caption' THEN 'caption_ocr' ELSE 'visual_text_check' END AS strategy,
+      CASE WHEN quality_class = 'fragmented' THEN 1 WHEN quality_class = 'low_text' THEN 2 WHEN kind = 'plate_or_caption' THEN 3 WHEN pdf_page < last_page - 10 THEN 4 ELSE 5 END AS priority
     FROM k WHERE quality_class <> 'usable' OR kind = 'plate_or_caption'"""
 )
 def recognition_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _measured(spark, sf_dir)
-    p = p.withColumn("kind", pg.page_kind(F.col("best_text"), F.col("n_characters"), F.col("pdf_page")))
+    p = pg.with_kind(read_table(spark, sf_dir, "pages").select("page_id", "source_id", "pdf_page", "best_text")).drop("best_text")
     return pg.recognition_need(p).filter("reason IS NOT NULL").select("page_id", "source_id", "pdf_page", "reason", "strategy", "priority")
 
 

@@ -9,7 +9,7 @@ from foliant.functions import text as tx
 from foliant.operators import retrieval as rt
 from foliant.operators import tables as tb
 from foliant.registry import query
-from foliant.session import cut_lineage, read_table
+from foliant.session import cut_lineage, read_table, stored
 
 _FOLD = f"translate(lower(coalesce({{c}}, '')), '{tx.DIACRITICS}', '{tx.FOLDED}')"
 # one row per chunk: deliveries of a chunk are equal but for their arrival
@@ -33,7 +33,6 @@ _VECTORS = f"""
     okq AS (SELECT * FROM qv WHERE len(v) = dims AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
     sem AS (SELECT query_id AS query, chunk_id AS item, parent, record, round(list_cosine_similarity(q.v, c.v), 6) AS cosine FROM okq q JOIN okc c ON q.space = c.space AND len(q.v) = len(c.v)),
     vs AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY cosine DESC, item) AS rank FROM sem QUALIFY rank <= {{k}})"""
-_TOP = 40
 
 
 def chunks_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +42,7 @@ def chunks_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexical_hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     c = chunks_once(spark, sf_dir).select("chunk_id", F.concat_ws(" ", "scientific_name", "source_text").alias("t"))
-    index = cut_lineage(rt.inverted_index(c, "chunk_id", "t"))  # an index is a stored table
+    index = stored(spark, ("index", sf_dir), lambda: rt.inverted_index(c, "chunk_id", "t"))
     return rt.bm25(index, read_table(spark, sf_dir, "embedding_queries"), "query_id", "question", k)
 
 
@@ -96,48 +95,72 @@ def vector_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "embeddings").select("vec_id", n.alias("length"), n.between(0.95, 1.05).alias("unit"))
 
 
-_HYBRID = _BM25.replace("{k}", "80") + "," + _VECTORS.replace("{k}", str(_TOP)) + ", h AS (SELECT vs.query, vs.item, vs.parent, vs.record, vs.cosine AS semantic, round(vs.cosine + 0.08 * coalesce(1.0 / l.rank, 0), 6) AS score FROM vs LEFT JOIN l ON l.query = vs.query AND l.doc = vs.item)"
+# every chunk is scored: no depth of the vector ranking cuts anything off
+_HYBRID = _BM25.replace("{k}", "80") + "," + _VECTORS.replace("{k}", "1") + """,
+    h AS (SELECT sem.query, sem.item, sem.parent, sem.record, sem.cosine AS semantic, round(sem.cosine + 0.08 * coalesce(1.0 / l.rank, 0), 6) AS score FROM sem LEFT JOIN l ON l.query = sem.query AND l.doc = sem.item),
+    c2 AS (SELECT query, parent, max(score) AS score, min_by({'i': item, 'm': semantic, 'r': record}, {'s': -score, 'i': item}) AS b, count(*) AS n_children FROM h GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, b.i) AS rank FROM c2)"""
 
 
-def hybrid_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = rt.fuse_weighted(semantic_hits(spark, sf_dir, _TOP), lexical_hits(spark, sf_dir, 80))
-    ids = chunks_once(spark, sf_dir).select(F.col("chunk_id").alias("item"), "parent", F.col("record_id").alias("record"))
-    return h.join(ids, "item")
+def _usable(t: DataFrame, key: str, *more) -> DataFrame:
+    t = t.withColumn("v", rt.json_vector(F.col("embedding_json"))).filter(rt.usable_vector(F.col("v"), F.col("dimensions")))
+    return t.select(F.col(key).alias("item" if key == "chunk_id" else "query"), F.col("vector_space_id").alias("space"), "v", *more)
+
+
+def scored_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _usable(chunks_once(spark, sf_dir), "chunk_id", "parent", F.col("record_id").alias("record"))
+
+
+def asked_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _usable(read_table(spark, sf_dir, "embedding_queries"), "query_id")
+
+
+def hybrid_hits(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """The ``k`` best parents of each question, and the lexical hits."""
+    lexical = cut_lineage(lexical_hits(spark, sf_dir, 80))
+    return rt.hybrid_parents(scored_chunks(spark, sf_dir), asked_questions(spark, sf_dir), lexical, k), lexical
 
 
 @query(_HYBRID + " SELECT query, item, semantic, score FROM h QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 10")
 def hybrid_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.top_k(rt.fuse_weighted(semantic_hits(spark, sf_dir, _TOP), lexical_hits(spark, sf_dir, 80)), "query", "score", "item", 10).select("query", "item", "semantic", "score")
+    # each chunk is its own parent
+    base = scored_chunks(spark, sf_dir).withColumn("parent", F.col("item"))
+    return rt.hybrid_parents(base, asked_questions(spark, sf_dir), lexical_hits(spark, sf_dir, 80), 10).select("query", "item", "semantic", "score")
 
 
-@query(_BM25.replace("{k}", "80") + "," + _VECTORS.replace("{k}", str(_TOP)) + """,
+@query(_BM25.replace("{k}", "80") + "," + _VECTORS.replace("{k}", "80") + """,
     u AS (SELECT query, item, rank FROM vs UNION ALL SELECT query, doc, rank FROM l), f AS (SELECT query, item, round(sum(1.0 / (60 + rank)), 6) AS score FROM u GROUP BY ALL)
     SELECT query, item, score FROM f QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 10""")
 def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = semantic_hits(spark, sf_dir, _TOP).select("query", "item", "rank")
+    # rank fusion is defined on rankings of a depth: 80 on both sides
+    s = semantic_hits(spark, sf_dir, 80).select("query", "item", "rank")
     lex = lexical_hits(spark, sf_dir, 80).select("query", F.col("doc").alias("item"), "rank")
     return rt.top_k(rt.fuse_ranks([s, lex]), "query", "score", "item", 10).select("query", "item", "score")
 
 
-@query(_HYBRID + """, c2 AS (SELECT query, parent, max(score) AS score, min_by(item, {'s': -score, 'i': item}) AS item, string_agg(item, ' ' ORDER BY score DESC, item) AS children FROM h GROUP BY ALL)
-    SELECT query, parent, score, item, children FROM c2 QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 5""")
+@query(_HYBRID + """, w AS (SELECT * FROM r WHERE rank <= 5), k AS (SELECT h.query, h.parent, h.item, h.score, row_number() OVER (PARTITION BY h.query, h.parent ORDER BY h.score DESC, h.item) AS place FROM h JOIN w USING (query, parent) QUALIFY place <= 5)
+    SELECT w.query, w.parent, w.score, w.b.i AS item, any_value(w.n_children) AS n_children, string_agg(k.item, ' ' ORDER BY place) AS children FROM w JOIN k USING (query, parent) GROUP BY ALL""")
 def hybrid_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = rt.collapse(hybrid_hits(spark, sf_dir), "parent", 5)
-    return c.select("query", "parent", "score", "item", F.array_join("children", " ").alias("children"))
+    hits, lexical = hybrid_hits(spark, sf_dir, 5)
+    hits = cut_lineage(hits)  # five rows a question, used twice
+    c = rt.best_children(hits, scored_chunks(spark, sf_dir), asked_questions(spark, sf_dir), lexical)
+    return hits.join(c, ["query", "parent"]).select("query", "parent", "score", "item", "n_children", F.array_join("children", " ").alias("children"))
 
 
-@query(_HYBRID + """, c2 AS (SELECT query, parent, max(score) AS score, min_by(item, {'s': -score, 'i': item}) AS item, any_value(record) AS record FROM h GROUP BY ALL),
-    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, item) AS rank FROM c2), dd AS (SELECT *, row_number() OVER (PARTITION BY query, record ORDER BY rank) AS rr FROM r WHERE rank <= 18)
+@query(_HYBRID + """, dd AS (SELECT query, parent, b.r AS record, rank, row_number() OVER (PARTITION BY query, b.r ORDER BY rank) AS rr FROM r WHERE rank <= 18)
     SELECT query, parent, record, row_number() OVER (PARTITION BY query ORDER BY rank) AS final_rank FROM dd WHERE rr <= 2 QUALIFY final_rank <= 12""")
 def diversify_by_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = hybrid_hits(spark, sf_dir)
-    c = rt.collapse(h, "parent", 18).join(h.select("query", "parent", "record").distinct(), ["query", "parent"])
-    return rt.diversify(c, "record").select("query", "parent", "record", F.col("final_rank").cast("long").alias("final_rank"))
+    # a broad question asks for max(3 k, 18) parents
+    hits, _ = hybrid_hits(spark, sf_dir, 18)
+    return rt.diversify(hits, "record").select("query", "parent", "record", F.col("final_rank").cast("long").alias("final_rank"))
 
 
 @query(_HYBRID + " SELECT query, count(*) AS raw_hits, count(DISTINCT parent) AS parents, count(*) - count(DISTINCT parent) AS duplicates_removed FROM h GROUP BY 1")
 def duplicate_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hybrid_hits(spark, sf_dir).groupBy("query").agg(F.count("*").alias("raw_hits"), F.countDistinct("parent").alias("parents"), (F.count("*") - F.countDistinct("parent")).alias("duplicates_removed"))
+    # all chunks of a space are hits of each of its questions, so both are counted per space
+    g = scored_chunks(spark, sf_dir).groupBy("space", F.size("v").alias("n"), "parent").agg(F.count("*").alias("c")).groupBy("space", "n").agg(F.sum("c").alias("raw_hits"), F.count("*").alias("parents"))
+    q = asked_questions(spark, sf_dir).select("query", "space", F.size("v").alias("n"))
+    return q.join(g, ["space", "n"]).select("query", "raw_hits", "parents", (F.col("raw_hits") - F.col("parents")).alias("duplicates_removed"))
 
 
 _RULES = [("contain", ["saponin", "resin", "contains"], 1), ("enthalten", ["saponin", "harz"], 2), ("wächst", ["steppe", "wiesen"], 3), ("grow", ["hedges", "gardens"], 4), ("dose", ["drops", "tincture"], 5), ("blüten", ["blütezeit", "flores"], 6)]

@@ -64,12 +64,17 @@ def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.upsert(count("documents", "documents"), count("embedding_chunks", "chunks"), ["record_id"])
 
 
-@query(r"""
-    WITH r AS (SELECT sha256(concat_ws('|', coalesce(CAST(record_id AS VARCHAR), '\N'), coalesce(display_name, '\N'), coalesce(book_scientific_name, '\N'))) AS h FROM record_name_metadata),
-    b AS (SELECT CAST(('0x' || substring(h, 1, 3)) AS INTEGER) AS b, count(*) AS n, sha256(string_agg(h, chr(10) ORDER BY h)) AS d FROM r GROUP BY 1)
-    SELECT CAST(sum(n) AS BIGINT) AS n_rows, sha256(string_agg(d, chr(10) ORDER BY b)) AS digest FROM b""")
+_LANES = ", ".join(f"CAST(CAST(sum(CAST(CAST('0x' || substring(h, {1 + 15 * i}, 15) AS BIGINT) AS DECIMAL(38,0))) % 1152921504606846976 AS BIGINT) AS VARCHAR)" for i in range(4))
+
+
+@query(rf"""
+    WITH c AS (SELECT chunk_id, max_by(parent_chunk_id, ingested_at) AS p, max_by(text_sha256, ingested_at) AS t, max_by(vector_space_id, ingested_at) AS s FROM embedding_chunks GROUP BY 1),
+    r AS (SELECT sha256(concat_ws('|', chunk_id, coalesce(p, '\N'), coalesce(t, '\N'), coalesce(s, '\N'))) AS h FROM c)
+    SELECT count(*) AS n_rows, sha256(concat_ws('|', CAST(count(*) AS VARCHAR), {_LANES})) AS digest FROM r""")
 def table_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tb.table_digest(read_table(spark, sf_dir, "record_name_metadata"), ["record_id", "display_name", "book_scientific_name"])
+    # the contract of an index: id, parent, hash and space of each chunk
+    c = read_table(spark, sf_dir, "embedding_chunks").select("chunk_id", "parent_chunk_id", "text_sha256", "vector_space_id", "ingested_at")
+    return tb.table_digest(tb.latest(c, ["chunk_id"], ["ingested_at"]), ["chunk_id", "parent_chunk_id", "text_sha256", "vector_space_id"])
 
 
 @query(r"""

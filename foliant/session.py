@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,12 +49,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; only where it is
-    unset (tests, single machine) fall back to a temporary folder."""
+    """Use the folder the cluster names in spark.checkpoint.dir. Where it is unset a local session gets a temporary folder;
+    a cluster's executors wouldn't share one, so there it is an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="foliant-checkpoint-"))
 
 
@@ -63,6 +66,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(spark: SparkSession, name: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries of a session read, such as an index: built once and kept in the checkpoint folder."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_foliant_stored"):
+        sc._foliant_stored = {}
+    if name not in sc._foliant_stored:
+        sc._foliant_stored[name] = cut_lineage(build())
+    return sc._foliant_stored[name]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)

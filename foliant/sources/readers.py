@@ -52,9 +52,13 @@ def median_of(values: Column) -> Column:
 
 
 def recognised_lines(receipts: DataFrame, key: str, lines: str, tolerance: float = 0.012) -> DataFrame:
-    """``key, text``: lines of a recognition in reading order, from the top down, within ``tolerance`` of height from left to right."""
-    row = lambda x: F.floor((1 - x["y"]) / tolerance)
-    ordered = F.array_sort(F.transform(lines, lambda x: F.struct(row(x).alias("r"), x["x"].alias("x"), x["text"].alias("text"))))
+    """``key, text``: lines of a recognition in reading order, from the top down, boxes of one row from left to right.
+
+    A row goes on while the height falls by no more than ``tolerance`` from one box to the next one below it."""
+    down = F.array_sort(F.transform(lines, lambda x: F.struct((-x["y"]).alias("d"), x["x"].alias("x"), x["text"].alias("text"))))
+    new_row = F.transform(down, lambda b, i: F.when((i > 0) & (b["d"] - F.get(down, F.greatest(i - 1, F.lit(0)))["d"] > tolerance), 1).otherwise(0))
+    row = lambda i: F.aggregate(F.slice(new_row, F.lit(1), i + 1), F.lit(0), lambda a, b: a + b)
+    ordered = F.array_sort(F.transform(down, lambda b, i: F.struct(row(i).alias("r"), b["x"].alias("x"), b["text"].alias("text"))))
     return receipts.select(key, F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text"))
 
 

@@ -8,6 +8,8 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.operators.tables import multiset_digest
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -61,10 +63,10 @@ class VersionedTable:
         out.write(bytearray(version.encode()))
         out.close()
         old = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        # the old pointer makes way first: plain file systems don't rename onto a file
-        if fs.exists(old):
-            fs.delete(old, False)
-        fs.rename(new, old)
+        # replaced in one step: readers see the old pointer or the new one, and a crash leaves one of them
+        overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(new), fs.makeQualified(old), overwrite)
 
 
 def markdown_record(title: Column, body: list[tuple[str, Column]]) -> Column:
@@ -74,13 +76,14 @@ def markdown_record(title: Column, body: list[tuple[str, Column]]) -> Column:
 
 
 def write_sharded_text(df: DataFrame, path: str, shard: str, order: str, text: str) -> DataFrame:
-    """Write ``text`` in one folder per shard, rows in order; returns the manifest ``shard, records, characters, checksum``.
+    """Write ``text`` in one folder per shard, rows in order; returns the manifest ``shard, records, characters, sha256``.
 
     Rows are range-partitioned by shard and order, so a shard larger than a task is written by several, its parts in order."""
     rows = df.select(F.col(shard).alias("shard"), F.col(order).alias("o"), F.col(text).alias("value"))
     rows.repartitionByRange("shard", "o").sortWithinPartitions("shard", "o").select("shard", "value").write.mode("overwrite").partitionBy("shard").text(path)
-    # a checksum that needs no order combines before the shuffle, however large a shard is
-    return rows.groupBy("shard").agg(F.count("*").alias("records"), F.sum(F.length("value")).alias("characters"), F.bit_xor(F.xxhash64("o", "value")).alias("checksum"))
+    # a digest of row hashes needs no order and combines before the shuffle, however large a shard is
+    n, digest = multiset_digest(["o", "value"])
+    return rows.groupBy("shard").agg(n.alias("records"), F.sum(F.length("value")).alias("characters"), digest.alias("sha256"))
 
 
 def public_json(df: DataFrame, columns: list[str]) -> DataFrame:
