@@ -107,7 +107,7 @@ _CUT = r"""
 
 def _cut_sql(rest: str) -> str:
     here = lambda x: x.replace("\\p{Is", "\\p{").replace("'", "''")
-    return _CUT.replace("{whole}", here(truncation.WHOLE_END)).replace("{broken}", here(truncation.BROKEN_END)).replace("{token}", here(truncation.TOKEN).replace(r"\n(?!\n)", r"\n+")).replace("{mark}", here(truncation.CUT_MARK)).replace("{white}", truncation.WHITE) + rest
+    return _CUT.replace("{whole}", here(truncation.WHOLE_END)).replace("{broken}", here(truncation.BROKEN_END)).replace("{token}", r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]|[\p{L}\p{M}]+|\p{N}+|\n+|[^\s\p{L}\p{M}\p{N}]").replace("{mark}", here(truncation.CUT_MARK)).replace("{white}", truncation.WHITE) + rest
 
 
 def oracle_sql() -> dict[str, str]:

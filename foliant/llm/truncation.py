@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from foliant.session import cut_lineage
 
-# A token is an ideograph, kana or Thai sign; a word; a number; a run of line ends; another sign.
-TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}]+|\p{N}+|\n(?!\n)|[^\s\p{L}\p{M}\p{N}]"
+# A token is a word, an ideograph, kana or Thai sign; a number (written 0 before); the last line end of several; another sign. Latin words come first, as most are.
+TOKEN = r"[a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}][\p{L}\p{M}]*+|[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}]++|0|\n(?!\n)|[^\s\p{L}\p{M}]"
 WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # A whole end: a stop, perhaps with closing signs or citations after it.
 WHOLE_END = r"[.!?…。！？؟।॥][\x22\x27”“’»」』）)\]\s]*(?:\[\w+(?:,\s*\w+)*\][.\s]*)*$"
@@ -27,37 +27,41 @@ BROKEN_END = r"(?:\\(?:u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?|&(?:[A-Za-z]{1,8}|#x?[0
 
 # An ellipsis that stands for what was cut off.
 CUT_MARK = r"\s*(?:…|\.{3})$"
+# The stops of a whole end, and the signs after which the whole pattern is asked.
+STOPS, CLOSERS = ".!?…。！？؟।॥", "\"'”“’»」』）)]"
+BROKEN_SIGNS = 80  # a broken end is shorter
 
 _TEXTS = r"""
-SELECT doc_id, source, n_len, n_bytes, marked, text, text RLIKE r'$whole_end' AS whole, text RLIKE r'$broken_end' AS broken
-FROM (SELECT *, full RLIKE r'$cut_mark' AS marked, CASE WHEN full RLIKE r'$cut_mark' THEN regexp_replace(full, r'$cut_mark', '') ELSE full END AS text
-      FROM (SELECT doc_id, source, length(text) AS n_len, octet_length(text) AS n_bytes, TRIM(TRAILING '$white' FROM text) AS full FROM $docs WHERE text IS NOT NULL))
+SELECT doc_id, source, n_len, n_bytes, marked, text, CASE WHEN instr('$stops', right(text, 1)) > 0 THEN true WHEN instr('$closers', right(text, 1)) > 0 THEN text RLIKE r'$whole_end' ELSE false END AS whole, right(text, $broken_signs) RLIKE r'$broken_end' AS broken
+FROM (SELECT *, CASE WHEN marked THEN regexp_replace(full, r'$cut_mark', '') ELSE full END AS text
+      FROM (SELECT *, endswith(full, '…') OR endswith(full, '...') AS marked
+            FROM (SELECT doc_id, source, length(text) AS n_len, octet_length(text) AS n_bytes, CASE WHEN instr('$white', right(text, 1)) > 0 THEN TRIM(TRAILING '$white' FROM text) ELSE text END AS full FROM $docs WHERE text IS NOT NULL)))
 WHERE text <> ''"""
 
-# Tokens of a text, numbers and line ends made alike; only signs beyond the letters of ASCII are asked whether they're numbers.
-_TOKENS = r"""transform(regexp_extract_all(text, r'$token', 0), x -> CASE WHEN x < ':' THEN CASE WHEN x >= '0' THEN '#' WHEN x < ' ' THEN '¶' ELSE x END
-       WHEN x < '{' THEN x WHEN x RLIKE r'^\p{N}' THEN '#' ELSE x END)"""
+# Tokens of a text, numbers and line ends made alike.
+_TOKENS = r"regexp_extract_all(regexp_replace(text, r'\p{N}+', '0'), r'$token', 0)"
 
 # Ends of the texts that don't end a sentence: hashes of the last five (of numbers), three, two and one tokens, and of the two before the last.
 # Fewer than three tokens tell nothing in a short last line: a name, a caption or an item of a list is whole. ``same`` tells equal texts apart from different ones.
 _ENDS = """
-SELECT doc_id, source, n_len, n_bytes, broken, marked, same, t[n-1] AS last, array_contains(slice(t, -least(n, 3), 3), '¶') AS line_start,
-       CASE WHEN n >= 5 AND t[n-1] = '#' THEN xxhash64(h[n-5], h[n-4], h[n-3], h[n-2], h[n-1]) END AS five,
-       CASE WHEN n >= 3 THEN xxhash64(h[n-3], h[n-2], h[n-1]) END AS tri,
-       CASE WHEN n >= $long_line AND NOT array_contains(slice(t, -$long_line, $long_line), '¶') THEN xxhash64(h[n-2], h[n-1]) END AS bi,
-       h[n-1] AS uni,
-       CASE WHEN n >= 3 THEN xxhash64(h[n-3], h[n-2]) END AS pair
-FROM (SELECT *, size(t) AS n, transform(t, x -> xxhash64(x)) AS h FROM (SELECT *, xxhash64(text) AS same, $tokens AS t FROM $texts WHERE NOT whole)) WHERE n > 0"""
+SELECT doc_id, source, n_len, n_bytes, broken, marked, same, t[n-1] AS last, array_contains(slice(t, -least(n, 3), 3), '\\n') AS line_start,
+       CASE WHEN n >= 5 AND t[n-1] = '0' THEN xxhash64(t[n-5], t[n-4], t[n-3], t[n-2], t[n-1]) END AS five,
+       CASE WHEN n >= 3 THEN xxhash64(t[n-3], t[n-2], t[n-1]) END AS tri,
+       CASE WHEN n >= $long_line AND NOT array_contains(slice(t, -$long_line, $long_line), '\\n') THEN xxhash64(t[n-2], t[n-1]) END AS bi,
+       xxhash64(t[n-1]) AS uni,
+       CASE WHEN n >= 3 THEN xxhash64(t[n-3], t[n-2]) END AS pair
+FROM (SELECT *, size(t) AS n FROM (SELECT *, xxhash64(text) AS same FROM $texts WHERE NOT whole) LATERAL VIEW OUTER explode(array($tokens)) e AS t) WHERE n > 0"""
 
 # The grams that the ends ask about; of pairs it matters what follows.
 _ASKED = """
 SELECT g, max(f) AS pair FROM (SELECT stack(4, five, false, tri, false, bi, false, pair, true) AS (g, f) FROM $ends) WHERE g IS NOT NULL GROUP BY g"""
 
 # Every place of a text: the token, the next one of the line, and the hashes of two, three, or five tokens that end with a number.
+# Generators, here and of the ends, keep filters from being pushed below, and outer ones have no filter on the size of what they open: a text is cut into tokens once.
 _PLACES = """
-SELECT t[i] AS w, nullif(get(t, i + 1), '¶') AS nx, x AS g1, CASE WHEN i >= 1 THEN xxhash64(h[i-1], x) END AS g2, CASE WHEN i >= 2 THEN xxhash64(h[i-2], h[i-1], x) END AS g3,
-       CASE WHEN i >= 4 AND t[i] = '#' THEN xxhash64(h[i-4], h[i-3], h[i-2], h[i-1], x) END AS g5
-FROM (SELECT t, transform(t, x -> xxhash64(x)) AS h FROM (SELECT $tokens AS t FROM $texts)) LATERAL VIEW posexplode(h) e AS i, x"""
+SELECT w, nullif(get(t, i + 1), '\\n') AS nx, xxhash64(w) AS g1, CASE WHEN i >= 1 THEN xxhash64(get(t, i - 1), w) END AS g2, CASE WHEN i >= 2 THEN xxhash64(get(t, i - 2), get(t, i - 1), w) END AS g3,
+       CASE WHEN i >= 4 AND w = '0' THEN xxhash64(get(t, i - 4), get(t, i - 3), get(t, i - 2), get(t, i - 1), w) END AS g5
+FROM (SELECT $tokens AS t FROM $texts) LATERAL VIEW OUTER posexplode(t) e AS i, w WHERE w IS NOT NULL"""
 
 # How often each word, and each gram that is asked about, stands inside lines and at the end of lines or texts; of pairs what follows them.
 _FEW = """
@@ -152,9 +156,13 @@ def judged_ends(
     """Every text that doesn't end a sentence, with the counts and the ``evidence`` of a cut, null if there is none.
 
     Up to ``most_asked`` grams of ends are broadcast to the pass over all texts; of more, all grams are counted and then joined, with the same result.
-    Two small tables are written to the checkpoint folder: the ends, and the counts of words and of grams that are asked about."""
+    Three small tables are written to the checkpoint folder: the ends, the counts of words and of grams that are asked about, and the limits."""
     spark = documents.sparkSession
-    names: dict[str, object] = {"token": TOKEN, "whole_end": WHOLE_END, "broken_end": BROKEN_END, "cut_mark": CUT_MARK, "white": WHITE, "max_line_share": max_line_share, "max_longer": max_longer, "min_inside": min_inside, "max_share": max_share, "long_line": long_line, "near": near, "min_pile": min_pile, "pile_ratio": pile_ratio}
+    names: dict[str, object] = {
+        "token": TOKEN, "whole_end": WHOLE_END, "broken_end": BROKEN_END, "broken_signs": BROKEN_SIGNS, "cut_mark": CUT_MARK, "white": WHITE,
+        "stops": STOPS, "closers": CLOSERS.replace("'", "\\'"),
+        "max_line_share": max_line_share, "max_longer": max_longer, "min_inside": min_inside, "max_share": max_share, "long_line": long_line, "near": near, "min_pile": min_pile, "pile_ratio": pile_ratio,
+    }
     made: list[str] = []
 
     def step(name: str, query: str | None = None, df: DataFrame | None = None, **more) -> DataFrame:
@@ -179,7 +187,7 @@ def judged_ends(
     step("stubs", _STUBS)
     step("known", _KNOWN)
     step("goes_on", _GOES_ON)
-    step("limits", _LIMITS)
+    step("limits", df=cut_lineage(spark.sql(Template(_LIMITS).substitute(names))))  # asked for characters and for bytes
     out = step("judged", _JUDGED)
     for name in made:  # the plans stay
         spark.catalog.dropTempView(name)
