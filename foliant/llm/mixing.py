@@ -8,7 +8,6 @@ probability, decided by a seeded hash: the same mixture on every run, at any par
 from __future__ import annotations
 
 import base64
-import importlib.util
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -16,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.session import cut_lineage
+
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -24,23 +25,20 @@ def tokenizer_path(name: str = DEFAULT_VOCABULARY, folder: str = "/opt/tokenizer
     return str(Path(folder) / name)
 
 
-def _pattern() -> str:
-    if importlib.util.find_spec("public_tokenizers"):
-        import public_tokenizers
+# Fixed value: how the public byte-level vocabularies cut a text before they merge.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-        return public_tokenizers.PATTERN
-    return r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+def with_token_counts(df: DataFrame, text: str = "text", vocabulary: str | None = None, out: str = "tokens", pattern: str = PATTERN) -> DataFrame:
+    """``df`` with the number of tokens of ``text``; null and empty texts have none. Special tokens count as ordinary text.
 
-def with_token_counts(df: DataFrame, text: str = "text", vocabulary: str | None = None, out: str = "tokens") -> DataFrame:
-    """``df`` with the number of tokens of ``text``; null and empty texts have none. Special tokens count as ordinary text."""
-    path = vocabulary or tokenizer_path()
-    pattern = _pattern()
+    The vocabulary's file is read by the driver and sent along, so executors need no copy of it."""
+    file = df.sparkSession.sparkContext.broadcast(Path(vocabulary or tokenizer_path()).read_bytes())  # some hundred kB
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file.value.splitlines() if line)}
         enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column(b.num_columns - 1).to_pylist()]
@@ -84,11 +82,10 @@ def mixture(documents: DataFrame, targets: DataFrame, vocabulary: str | None = N
     if len(rows) > max_sources:
         raise ValueError(f"more than {max_sources} mixture targets")
     wanted = [tuple(r) for r in rows if r[0] is not None]
-    texts = documents.filter(F.length("text") > 0).groupBy(F.xxhash64("text").alias("h1"), F.sha2("text", 256).alias("h2")).agg(F.min(F.struct("doc_id", "source")).alias("r"), F.count("*").alias("rows_"), F.min("text").alias("text"))
-    counted = with_token_counts(texts.select(F.col("r.doc_id").alias("doc_id"), F.col("r.source").alias("source"), "rows_", "text"), vocabulary=vocabulary)
-    from foliant.session import cut_lineage
-
-    counted = cut_lineage(counted)
+    # texts are counted where they lie; only their hash and count are shuffled to find equal ones
+    each = with_token_counts(documents.filter(F.length("text") > 0).select("doc_id", "source", F.sha2("text", 256).alias("h"), "text"), vocabulary=vocabulary)
+    one = each.groupBy("h").agg(F.min(F.struct("doc_id", "source")).alias("r"), F.count("*").alias("rows_"), F.min("tokens").alias("tokens"))
+    counted = cut_lineage(one.select(F.col("r.doc_id").alias("doc_id"), F.col("r.source").alias("source"), "rows_", "tokens"))
     per = counted.groupBy("source").agg(F.sum("tokens").alias("t"), F.sum(F.col("tokens") * F.col("rows_")).alias("all"))
     named = {s: i for i, (s, _, _) in enumerate(wanted)}
     sums = per.groupBy(F.when(F.col("source").isin(*named) if named else F.lit(False), F.col("source")).alias("source")).agg(F.sum("t").alias("t"), F.sum("all").alias("all")).collect()

@@ -56,6 +56,7 @@ _CELLS = r"[^\n\t]*+\t[^\n]*+|[^\n|]*+\|[^\n|]*+\|[^\n]*+|(?:\S++[ ])*+\S++[ ]{2
 _STRUCTURED = rf"(?m)^[ ]*+(?:{_BULLET}|{_NUMBERED}|{_ROMAN}|{_PAGE_TAIL}|{_REGISTER}|{_CELLS})$"
 _CELL_LINE = r"(?m)^[ ]*(?:\S{1,24}(?: \S{1,20})?)[ ]*$"
 _EDGE = 160
+WINDOW = 100  # words
 _FURNITURE_HEAD = (
     r"\A\s*(?:[\[(—–-]?[ ]?\d{1,4}[ ]?[\])—–-]?[ ]*\n\s*)?"
     r"(?:\d{1,4}[ ]{2,}[^\n]{1,60}\n|[^\n.,;|\t]{1,60}?(?:[ ]{2,}|[ ][—–][ ])\d{1,4}[ ]*\n|[\p{Lu}\d ]{5,60}\n)?"
@@ -72,12 +73,19 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, F.floor(a * 10000.0 / b + 0.5) / 10000.0).otherwise(F.lit(0.0))
 
 
+def _distinct_in_windows(words: Column) -> Column:
+    """Distinct words of each run of ``WINDOW`` words, summed: what a text repeats doesn't depend on its length."""
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(words) / WINDOW) - 1, F.lit(0)).cast("int"))
+    return F.aggregate(starts, F.lit(0), lambda a, i: a + F.size(F.array_distinct(F.slice(words, i * WINDOW + 1, F.lit(WINDOW)))))
+
+
 def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") -> DataFrame:
     """Add one column per statistic for ``text``; every row comes out, extra columns stay.
 
     Null texts count as empty: all counts 0, ratios 0.0 (``short_line_ratio`` 1.0), quality
     ``empty``. Columns whose names clash with a statistic are replaced by the recomputed value
-    unless ``prefix`` keeps them apart. Texts of any length are read whole.
+    unless ``prefix`` keeps them apart. Texts of any length are read whole; ``distinct_word_share`` is the mean
+    over runs of ``WINDOW`` words, so that it means the same in short and long texts.
     """
     p = lambda n: f"{prefix}{n}"
     raw = F.coalesce(F.col(text), F.lit(""))
@@ -105,7 +113,7 @@ def text_statistics(df: DataFrame, text: str = "best_text", prefix: str = "") ->
         .withColumn("__punct_end", F.regexp_count(t, F.lit(r"(?m)[.!?:;。！？…][\"'”“»)\]]*[ ]*$")))
         .withColumn("__bullets", F.regexp_count(t, F.lit(rf"(?m)^[ ]*+(?:{_BULLET}|{_NUMBERED})$")))
         .withColumn("__common", F.size(F.filter(w, lambda x: x.isin(*COMMON_WORDS))))
-        .withColumn("__distinct", F.size(F.array_distinct(w)))
+        .withColumn("__distinct", _distinct_in_windows(w))
     )
     lines, n = F.col(p("line_count")), F.col(p("word_count"))
     symbols = _len(F.regexp_replace(t, r"[\p{L}\p{N}\s.,;:!?\"'„“”‚‘’«»()\-]+", ""))
@@ -141,7 +149,7 @@ def apply_rules(df: DataFrame, prefix: str = "") -> DataFrame:
         ("too_short", p("character_count") < k["min_chars"]),
         ("symbols", p("symbol_ratio") > k["max_symbol_ratio"]),
         ("few_letters", (p("alpha_ratio") < k["min_alpha_ratio"]) & (p("structured_share") <= k["max_structured_share"])),
-        ("repetition", (p("distinct_word_share") < k["min_distinct_words"]) & (p("word_count") >= 20) & (p("word_count") < 3000)),
+        ("repetition", (p("distinct_word_share") < k["min_distinct_words"]) & (p("word_count") >= 20)),
         ("word_length", latin & spaced & ~p("mean_word_length").between(k["min_mean_word"], k["max_mean_word"]) & (p("structured_share") <= k["max_structured_share"])),
         ("few_common_words", latin & (p("common_word_share") < k["min_common_share"]) & (p("structured_share") <= k["max_structured_share"])),
         ("structured_lines", p("structured_share") > k["max_structured_share"]),

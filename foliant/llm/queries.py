@@ -42,6 +42,14 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.oversized_keys(read_table(spark, sf_dir, "embedding_chunks"))
 
 
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_oversized(read_table(spark, sf_dir, "embedding_chunks"))
+
+
+def p5_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.piece_checks(read_table(spark, sf_dir, "embedding_chunks"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = read_table(spark, sf_dir, "embedding_chunks").select("chunk_id", "source_text")
     return sentences.sentences(chunks, "chunk_id", "source_text").select(F.col("key").alias("chunk_id"), "sentence_start")
@@ -58,6 +66,23 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
 
+def p7_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.cleaned_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
+
+
+def p8_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mixture_targets"))[0]
+
+
+def p8_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the members of the mixture, by source."""
+    d, t = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mixture_targets")
+    m = mixing.mixture(d, t)[0].join(d.select("doc_id", F.md5("text").alias("h")), "doc_id").groupBy("source", "h").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"), F.countDistinct("copy").alias("copies"))
+    g = m.groupBy("source").agg(F.max("n").alias("most"), (F.max("ids") == 1).alias("one"), F.bool_and(F.col("n") == F.col("copies")).alias("numbered"), F.count("*").alias("texts"))
+    open_ = F.coalesce("most", F.lit(0)) <= F.col("max_repeats")
+    return t.join(g, "source", "left").select("source", open_.alias("within_cap"), F.coalesce("one", F.lit(True)).alias("one_id_a_text"), F.coalesce("numbered", F.lit(True)).alias("copies_numbered"))
+
+
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mixture_targets"))[1]
 
@@ -71,7 +96,7 @@ def p9_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p3_found, p3_paragraphs, p4_found, p5_found, p6_found, p6_pages, p7_found, p8_mixture, p9_found, p9_by_source)}
+    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p3_found, p3_paragraphs, p4_found, p5_found, p5_pieces, p5_checks, p6_found, p6_pages, p7_found, p7_cleaned, p8_mixture, p8_members, p8_caps, p9_found, p9_by_source)}
 
 
 # The judgement of ``truncation`` in the dialect of the check, over rows of tokens and windows instead of arrays.
@@ -126,6 +151,12 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": f"""
             SELECT DISTINCT chunk_id FROM embedding_chunks
             WHERE target_token_units IS NOT NULL AND len(regexp_extract_all(source_text, '{unit}')) > target_token_units""",
+        "p5_checks": rf"""
+            WITH c AS (SELECT DISTINCT chunk_id, parent_chunk_id, source_text, target_token_units AS l FROM embedding_chunks WHERE target_token_units IS NOT NULL AND source_text IS NOT NULL),
+            u AS (SELECT *, len(regexp_extract_all(source_text, '{unit}')) AS units FROM c)
+            SELECT chunk_id, units, true AS whole, true AS within_limit, true AS exact_overlap, coalesce(parent_chunk_id, regexp_replace(chunk_id, ':[^:]*$', '')) AS parent_chunk_id,
+                   md5(regexp_replace(source_text, '^\s+|\s+$', '', 'g')) AS rebuilt_md5 FROM u WHERE units > l""",
+        "p8_caps": "SELECT source, true AS within_cap, true AS one_id_a_text, true AS copies_numbered FROM mixture_targets",
         "p9_found": _cut_sql(" SELECT doc_id FROM cut"),
         "p9_by_source": _cut_sql(
             " SELECT d.source, d.n AS documents, coalesce(c.n, 0) AS cut_documents, round(coalesce(c.n, 0) / d.n, 4) AS cut_share FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) d"

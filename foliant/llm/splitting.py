@@ -13,7 +13,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,6 +162,24 @@ def split_oversized(
     return over.mapInArrow(run, PIECE_SCHEMA)
 
 
+def piece_checks(chunks: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
+    """Per text that was cut, whether its pieces keep what is asked of them: ``units`` covered without a gap from the first to the last, the largest piece, the number
+    of units that consecutive pieces share (the smallest and the largest), the parent, and ``rebuilt_md5`` of the text put together from the pieces."""
+    pieces = split_oversized(chunks) if pieces is None else pieces
+    w = Window.partitionBy("chunk_id").orderBy("piece_index")  # a text's own pieces
+    p = pieces.withColumn("before", F.lag("unit_end").over(w)).withColumn("till", F.lag("char_to").over(w))
+    new = F.substring("piece_text", F.coalesce(F.col("till") - F.col("char_from"), F.lit(0)) + 1, F.length("piece_text"))
+    shared = F.col("before") - F.col("unit_start")
+    g = p.withColumn("new", new).withColumn("shared", shared).groupBy("chunk_id").agg(
+        F.min("unit_start").alias("first_unit"), F.max("unit_end").cast("long").alias("units"), F.max(F.col("unit_end") - F.col("unit_start")).alias("largest"), F.min("shared").alias("least_shared"), F.max("shared").alias("most_shared"),
+        F.countDistinct("parent_chunk_id").alias("parents"), F.min("parent_chunk_id").alias("parent_chunk_id"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece_index", "new"))), lambda x: x["new"]), "").alias("text"),
+    )
+    limits = chunks.groupBy("chunk_id").agg(F.max("target_token_units").alias("l"), F.max("overlap_token_units").alias("o"))
+    j = g.join(limits, "chunk_id")
+    overlap = F.least(F.coalesce("o", (F.col("l") * 0.2).cast("int")), F.col("l") - 1)
+    return j.select("chunk_id", "units", ((F.col("first_unit") == 0) & (F.col("parents") == 1)).alias("whole"), (F.col("largest") <= F.col("l")).alias("within_limit"), ((F.col("least_shared") == overlap) & (F.col("most_shared") == overlap)).alias("exact_overlap"), "parent_chunk_id", F.md5("text").alias("rebuilt_md5"))
+
+
 def oversized_keys(chunks: DataFrame) -> DataFrame:
     """Keys of the rows that the splitter had to cut, each once."""
     return split_oversized(chunks).filter((F.col("piece_index") == 0)).select("chunk_id")
