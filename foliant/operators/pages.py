@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +66,12 @@ def recognition_need(pages: DataFrame) -> DataFrame:
     return pages.join(last, "source_id").withColumn("reason", reason).withColumn("strategy", strategy).withColumn("priority", priority).drop("last_page")
 
 
+def has_tokens(text: Column, tokens: list[str]) -> Column:
+    """Whether a reading holds all the tokens that a known page must show, whatever their case."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return reduce(and_, [F.contains(low, F.lit(t.lower())) for t in tokens], F.lit(True))
+
+
 def quality_gain(embedded: Column, other: Column, factor: float = 1.2) -> Column:
     """Whether a second reading is better: much longer and not poorer in letters."""
     e, o = F.coalesce(embedded, F.lit("")), F.coalesce(other, F.lit(""))

@@ -163,26 +163,6 @@ def duplicate_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.join(g, ["space", "n"]).select("query", "raw_hits", "parents", (F.col("raw_hits") - F.col("parents")).alias("duplicates_removed"))
 
 
-_RULES = [("contain", ["saponin", "resin", "contains"], 1), ("enthalten", ["saponin", "harz"], 2), ("wächst", ["steppe", "wiesen"], 3), ("grow", ["hedges", "gardens"], 4), ("dose", ["drops", "tincture"], 5), ("blüten", ["blütezeit", "flores"], 6)]
-
-
-def _rules(spark: SparkSession) -> DataFrame:
-    rows = [(tx_trigger, emits, p) for tx_trigger, emits, p in _RULES]
-    return spark.createDataFrame(rows, "raw string, emits array<string>, priority int").select(tx.fold(F.col("raw")).alias("trigger"), "emits", "priority")
-
-
-_RULE_SQL = " UNION ALL ".join(f"SELECT {_FOLD.format(c=repr(t))} AS trigger, {e!r} AS emits, {p} AS priority" for t, e, p in _RULES)
-
-
-@query(rf"""
-    WITH r AS ({_RULE_SQL}), w AS (SELECT DISTINCT query_id, unnest(regexp_extract_all({_FOLD.format(c="question")}, '[\p{{L}}\p{{N}}]+')) AS trigger FROM embedding_queries),
-    h AS (SELECT query_id, priority, unnest(emits) AS term, generate_subscripts(emits, 1) AS pos FROM w JOIN r USING (trigger)), f AS (SELECT query_id, term, min(priority * 1000 + pos) AS o FROM h GROUP BY ALL)
-    SELECT query_id, string_agg(term, ' ' ORDER BY o, term) AS expanded FROM f GROUP BY 1""")
-def query_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = rt.expand_terms(read_table(spark, sf_dir, "embedding_queries"), _rules(spark), "query_id", "question")
-    return x.select("query_id", F.array_join("expanded", " ").alias("expanded"))
-
-
 @query(rf"""
     WITH l0 AS (SELECT query, item FROM (WITH {_VECTORS.replace('{k}', '10')} SELECT query, item FROM vs)), c AS ({_CHUNKS}), {_QUERY_TERMS}, t AS (SELECT query_id, list(term) AS ts FROM qt GROUP BY 1)
     SELECT query, item, round(len(list_filter(ts, lambda x: contains({_FOLD.format(c='c.r.text')}, x))) / len(ts), 6) AS coverage FROM l0 JOIN c ON c.chunk_id = l0.item JOIN t ON t.query_id = l0.query""")
