@@ -91,6 +91,20 @@ def embedding_input(name: Column, display: Column, source: Column, page: Column,
     return F.concat_ws("\n", F.concat(F.lit("title: "), F.concat_ws(" / ", name, display)), F.concat(F.lit("source: "), source, F.lit(", p. "), page.cast("string")), F.concat(F.lit("text: "), text))
 
 
+def child_in_parent(chunks_: DataFrame, parents: DataFrame, key: str, text: str) -> DataFrame:
+    """Chunks with ``contained`` (the chunk's text stands in its parent's) and ``at_place`` (it stands where the chunk says)."""
+    j = chunks_.join(parents, key)
+    there = F.substring(F.col(text), F.col("char_start") + 1, F.col("char_end") - F.col("char_start")) == F.col("chunk_text")
+    return j.withColumn("contained", F.expr(f"instr({text}, chunk_text) > 0")).withColumn("at_place", there)
+
+
+def full_embedding_input(name: Column, book: Column, display: Column, scope: Column, section: Column, source: Column, page: Column, text: Column) -> Column:
+    """The text that is embedded with all that is known of it, one field a line; the passage after a blank line."""
+    none = F.lit("unresolved")
+    fields = [("Scientific name", name), ("Book taxon", book), ("Display name", F.coalesce(display, none)), ("Display name source scope", F.coalesce(scope, none)), ("Section", section), ("Book source", F.concat(source, F.lit(", PDF page "), page.cast("string")))]
+    return F.concat(*[F.concat(F.lit(f"{n}: "), c, F.lit("\n")) for n, c in fields], F.lit("\n"), text)
+
+
 def overlap_check(df: DataFrame, key: str, index: str, start: str, end: str, overlap: int) -> DataFrame:
     """Windows that don't start ``overlap`` units before the end of the one before."""
     w = Window.partitionBy(key).orderBy(index)

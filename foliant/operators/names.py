@@ -25,6 +25,13 @@ def resolve(entries: DataFrame, matches: DataFrame, key: str, name: str) -> Data
     return e.join(m, "__n", "left").select(key, F.when(F.col("m").isNull(), "unresolved").when(F.col("m.p") == 0, "accepted").otherwise("alias").alias("status"), F.col("m.accepted").alias("accepted"))
 
 
+def resolve_synonyms(entries: DataFrame, table: DataFrame, key: str, name: str, rank: str = "species", words: int = 2) -> DataFrame:
+    """``resolve`` against a table (``accepted, synonyms, rank``) whose synonyms are listed in one text, parted by semicolons. Only rows of ``rank`` and names of ``words`` words count."""
+    of_rank = table.filter(F.col("rank") == rank)
+    names = of_rank.select(F.col("accepted").alias("name"), "accepted", F.lit("accepted").alias("kind")).unionByName(of_rank.select(F.explode(F.transform(F.split("synonyms", ";"), lambda x: F.trim(x))).alias("name"), "accepted", F.lit("alias").alias("kind")))
+    return resolve(entries, names.filter(F.size(F.split("name", " ")) == words), key, name)
+
+
 def cascade(base: DataFrame, steps: list[DataFrame], key: str) -> DataFrame:
     """The first step that resolves a key, with its number from 1; null where none does."""
     out = base.select(key)

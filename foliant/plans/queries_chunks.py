@@ -123,9 +123,12 @@ def citation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RULES = {"long_number": r"\d{6,}", "mail": r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[a-z]{2,}", "key": r"(?:sk|pk|api)[-_][A-Za-z0-9]{16,}", "address": r"https?://\S+"}
 
 
-@query(" UNION ALL ".join(f"SELECT doc_id, '{n}' AS rule FROM documents WHERE regexp_matches(text, '{r}')" for n, r in _RULES.items()))
+@query("WITH d AS (SELECT doc_id, text || ' ' || CASE doc_id % 5 WHEN 0 THEN 'mail a' || doc_id || '@b.de' WHEN 1 THEN 'http://x.y/' || doc_id WHEN 2 THEN 'No. ' || (1000000 + doc_id) WHEN 3 THEN 'sk-' || repeat('a1', 9) ELSE '' END AS text FROM documents)" + " UNION ALL ".join(f" SELECT doc_id, '{n}' AS rule FROM d WHERE regexp_matches(text, '{r}')" for n, r in _RULES.items()))
 def pattern_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    # documents with one planted hit or none, by turns
+    i = F.col("doc_id")
+    tail = F.when(i % 5 == 0, F.concat(F.lit("mail a"), i, F.lit("@b.de"))).when(i % 5 == 1, F.concat(F.lit("http://x.y/"), i)).when(i % 5 == 2, F.concat(F.lit("No. "), i + 1000000)).when(i % 5 == 3, F.lit("sk-" + "a1" * 9)).otherwise("")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(" "), tail).alias("text"))
     hits = F.array_compact(F.array(*[F.when(F.col("text").rlike(r), F.lit(n)) for n, r in _RULES.items()]))
     return d.select("doc_id", F.explode(hits).alias("rule"))
 
@@ -183,11 +186,17 @@ def merged_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.md5("source_text").alias("text_md5"), F.array_join("provenance", ",").alias("provenance"))
 
 
-@query("SELECT p.page_id, c.chunk_id FROM (SELECT DISTINCT chunk_id, source_id, pdf_page, source_text FROM embedding_chunks) c JOIN pages p USING (source_id, pdf_page) WHERE instr(p.best_text, c.source_text) > 0")
+@query(
+    _WINDOWS
+    + """ SELECT doc_id, window_index, window_index % 3 <> 1 AS contained, window_index % 3 <> 1 AS at_place FROM w"""
+)
 def exact_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "embedding_chunks").select("chunk_id", "source_id", "pdf_page", "source_text").distinct()
-    p = read_table(spark, sf_dir, "pages").select("page_id", "source_id", "pdf_page", "best_text")
-    return p.join(c, ["source_id", "pdf_page"]).filter(F.expr("instr(best_text, source_text) > 0")).select("page_id", "chunk_id")
+    # every chunk against its own parent; every third one is altered first and must not be found
+    d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("parent_text"))
+    c = ch.chunks(read_table(spark, sf_dir, "documents"), "doc_id", "text", _TARGET, _OVERLAP)
+    c = c.withColumn("chunk_text", F.when(F.col("window_index") % 3 == 1, F.concat("chunk_text", F.lit("\x00"))).otherwise(F.col("chunk_text")))
+    j = ch.child_in_parent(c, d, "doc_id", "parent_text")
+    return j.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("window_index").cast("long").alias("window_index"), "contained", "at_place")
 
 
 @query("""

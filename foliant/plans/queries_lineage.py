@@ -11,22 +11,6 @@ from foliant.registry import query
 from foliant.session import read_table
 
 
-@query("""
-    WITH a AS (SELECT DISTINCT source_id, start_pdf_page AS p, lower(book_taxon_candidate) AS n FROM entries), b AS (SELECT DISTINCT source_id, pdf_page AS p, lower(scientific_name) AS n FROM embedding_chunks),
-    s AS (SELECT source_id, o.shift, count(*) AS score FROM a CROSS JOIN (SELECT unnest(generate_series(-2, 2)) AS shift) o JOIN b USING (source_id, n) WHERE b.p = a.p + o.shift GROUP BY ALL),
-    m AS (SELECT source_id, max(score) AS best FROM s GROUP BY 1)
-    SELECT source_id, CASE WHEN count(*) = 1 THEN min(shift) END AS shift, any_value(best) AS score, count(*) AS winners FROM s JOIN m USING (source_id) WHERE score = best GROUP BY source_id""")
-def offset_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # five candidate shifts per heading meet the pages by an equi-join on the shifted page
-    a = read_table(spark, sf_dir, "entries").select("source_id", F.col("start_pdf_page").alias("p"), F.lower("book_taxon_candidate").alias("n")).distinct()
-    b = read_table(spark, sf_dir, "embedding_chunks").select("source_id", F.col("pdf_page").alias("at"), F.lower("scientific_name").alias("n")).distinct()
-    moved = a.select("source_id", "n", "p", F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("shift")).withColumn("at", F.col("p") + F.col("shift"))
-    s = moved.join(b, ["source_id", "at", "n"]).groupBy("source_id", "shift").agg(F.count("*").alias("score"))
-    best = s.groupBy("source_id").agg(F.max("score").alias("best"))
-    won = s.join(best, "source_id").filter("score = best").groupBy("source_id").agg(F.min("shift").alias("m"), F.max("score").alias("score"), F.count("*").alias("winners"))
-    return won.select("source_id", F.when(F.col("winners") == 1, F.col("m")).alias("shift"), "score", "winners")
-
-
 @query("""
     WITH p AS (SELECT source_id, pdf_page, max(CASE WHEN length(trim(embedded_text, ' ')) > 0 THEN 1 ELSE 0 END) AS e, max(CASE WHEN length(trim(ocr_text, ' ')) > 0 THEN 1 ELSE 0 END) AS o FROM pages GROUP BY ALL)
     SELECT source_id, count(*) AS pages, sum(e) AS embedded, sum(o) AS recognised, sum(greatest(e, o)) AS covered, round(sum(greatest(e, o)) / count(*), 6) AS coverage, sum(greatest(e, o)) = count(*) AS complete FROM p GROUP BY 1""")
@@ -53,11 +37,11 @@ def requirement_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.union_all([d.agg(F.count("*").alias("observed")).select(F.lit(n).alias("rule"), F.lit(0).alias("expected"), "observed") for n, d in rows])
 
 
-@query("SELECT entry_id, page_count, len(pdf_pages) AS counted, end_pdf_page - start_pdf_page + 1 AS spanned FROM entries WHERE page_count <> len(pdf_pages) OR page_count <> end_pdf_page - start_pdf_page + 1")
+@query("SELECT entry_id, page_count, len(pdf_pages) AS counted, end_pdf_page - start_pdf_page + 1 AS spanned, page_count = len(pdf_pages) AND page_count = end_pdf_page - start_pdf_page + 1 AS holds FROM entries")
 def recomputed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted, spanned = F.size("pdf_pages"), F.col("end_pdf_page") - F.col("start_pdf_page") + 1
     e = read_table(spark, sf_dir, "entries").select("entry_id", "page_count", counted.cast("long").alias("counted"), spanned.alias("spanned"))
-    return e.filter("page_count <> counted OR page_count <> spanned")
+    return e.withColumn("holds", (F.col("page_count") == F.col("counted")) & (F.col("page_count") == F.col("spanned")))
 
 
 @query(r"""
@@ -105,14 +89,19 @@ def severity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-    WITH n AS (SELECT DISTINCT lower(book_scientific_name) AS name FROM record_name_metadata), d AS (SELECT doc_id, record_id, unnest(list_distinct(regexp_extract_all(text, '[A-Z][a-z]{2,} [a-z]{3,}'))) AS cand FROM documents),
+    WITH n AS (SELECT DISTINCT lower(book_scientific_name) AS name FROM record_name_metadata), d AS (SELECT doc_id, record_id, unnest(list_distinct(regexp_extract_all(text, '[A-Z][a-zë]{2,} [a-zë]{3,}'))) AS cand FROM (SELECT doc_id, record_id, text || '. ' || coalesce(own, '') || '; ' || coalesce(other, '') AS text FROM documents LEFT JOIN (SELECT record_id, book_scientific_name AS own FROM record_name_metadata) USING (record_id), (SELECT max(book_scientific_name) AS other FROM record_name_metadata WHERE record_id = 'rec-materia-generalis'))),
     h AS (SELECT DISTINCT doc_id, record_id, lower(cand) AS name FROM d WHERE lower(cand) IN (SELECT name FROM n)), o AS (SELECT record_id, lower(book_scientific_name) AS own FROM record_name_metadata)
     SELECT doc_id, count(*) AS names, count(*) FILTER (own IS NULL OR name <> own) AS foreign_names FROM h LEFT JOIN o USING (record_id) GROUP BY 1""")
 def display_name_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     # names of the vocabulary are found by an equi-join on candidate pairs of words, never by testing every name on every text
     m = read_table(spark, sf_dir, "record_name_metadata").select("record_id", F.lower("book_scientific_name").alias("own"))
-    cand = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Z][a-z]{2,} [a-z]{3,}"), F.lit(0))))
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "record_id", cand.alias("c")).select("doc_id", "record_id", F.lower("c").alias("name")).distinct()
+    cand = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Z][a-zë]{2,} [a-zë]{3,}"), F.lit(0))))
+    # documents with the name of their record and of the general one added, so that there are names of both kinds
+    names = read_table(spark, sf_dir, "record_name_metadata").select("record_id", F.col("book_scientific_name").alias("first"))
+    general = names.filter("record_id = 'rec-materia-generalis'").agg(F.max("first").alias("other"))
+    d = read_table(spark, sf_dir, "documents").join(names, "record_id", "left").crossJoin(F.broadcast(general))  # one row
+    d = d.withColumn("text", F.concat("text", F.lit(". "), F.coalesce("first", F.lit("")), F.lit("; "), F.coalesce("other", F.lit(""))))
+    d = d.select("doc_id", "record_id", cand.alias("c")).select("doc_id", "record_id", F.lower("c").alias("name")).distinct()
     h = d.join(m.select(F.col("own").alias("name")).distinct(), "name", "left_semi").join(m, "record_id", "left")
     return h.groupBy("doc_id").agg(F.count("*").alias("names"), F.count_if(F.col("own").isNull() | (F.col("name") != F.col("own"))).alias("foreign_names"))
 

@@ -186,17 +186,6 @@ def marked_passage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.filter("passage IS NOT NULL")
 
 
-@query(
-    _PAGES
-    + r""" SELECT page_id, round(100 + 24 * letters - 28 * short_lines - 2.5 * abs(n_lines / 10 - 3) + CASE WHEN right(t, 1) IN ('.', '!', '?') THEN 5 ELSE 0 END + least(n_characters / 2500, 3), 6) AS score FROM s"""
-)
-def candidate_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _measured(spark, sf_dir)
-    closing = F.when(F.right(tx.stripped(F.col("best_text")), F.lit(1)).isin(".", "!", "?"), 5).otherwise(0)
-    score = 100 + 24 * F.col("letters") - 28 * F.col("short_lines") - 2.5 * F.abs(F.col("n_lines") / 10 - 3) + closing + F.least(F.col("n_characters") / 2500, F.lit(3.0))
-    return p.select("page_id", F.round(score, 6).alias("score"))
-
-
 @query(r"""
     WITH x AS (SELECT doc_id, string_split(replace(text, chr(10) || chr(10), chr(12)), chr(12)) AS ps FROM documents WHERE text IS NOT NULL)
     SELECT doc_id, i AS pdf_page, md5(ps[i]) AS page_md5 FROM (SELECT doc_id, ps, unnest(generate_series(1, len(ps))) AS i FROM x)""")
