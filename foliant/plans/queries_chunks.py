@@ -52,9 +52,27 @@ def chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(x).cast("long").alias(x) for x in ("window_index", "char_start", "char_end")], F.md5("chunk_text").alias("text_md5"))
 
 
-@query()
+_BLANK = r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_HEADING_LINE = r"length(s) BETWEEN 1 AND 60 AND NOT contains('.,;:!?', right(s, 1)) AND (upper(s) = s AND lower(s) <> s OR regexp_matches(s, '^(?:[IVXLC\d]+[.)] \S|[A-Z][a-zäöüß]+(?: [a-zA-Zäöüß]+){0,4}$)'))"
+
+
+@query(
+    # the window's end depends on the one before: a recursion over the lists of unit places and of headings
+    rf"""
+    WITH RECURSIVE p AS (SELECT page_id, best_text AS t, regexp_extract_all(best_text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{_BLANK}]|[{_BLANK}]+') AS p FROM pages WHERE best_text IS NOT NULL),
+    e AS (SELECT page_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM p), o AS (SELECT page_id, i, regexp_full_match(piece, '[{_BLANK}]+') AS blank, length(piece) AS l, sum(length(piece)) OVER (PARTITION BY page_id ORDER BY i) AS till FROM e),
+    u AS (SELECT page_id, list(till - l ORDER BY i) AS a, list(till ORDER BY i) AS b, count(*) AS n FROM o WHERE NOT blank GROUP BY 1),
+    li AS (SELECT page_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM p),
+    lo AS (SELECT page_id, regexp_replace(line, '^[{_BLANK}]+|[{_BLANK}]+$', '', 'g') AS s, sum(length(line) + 1) OVER (PARTITION BY page_id ORDER BY i) - length(line) - 1 AS off FROM li),
+    mk AS (SELECT lo.page_id, list(DISTINCT len(list_filter(u.a, lambda x: x < off))) AS m FROM lo JOIN u USING (page_id) WHERE {_HEADING_LINE} GROUP BY 1),
+    k AS (SELECT u.*, coalesce(list_filter(m, lambda x: x > 0 AND x < n), []) AS m FROM u LEFT JOIN mk USING (page_id)),
+    r AS (SELECT page_id, 0 AS w, 0::BIGINT AS s, coalesce(CASE WHEN n > 128 THEN list_max(list_filter(m, lambda x: x BETWEEN 64 AND 128)) END, least(128, n)) AS e, n, m FROM k
+          UNION ALL SELECT page_id, w + 1, greatest(s + 1, e - 32), coalesce(CASE WHEN greatest(s + 1, e - 32) + 128 < n THEN list_max(list_filter(m, lambda x: x BETWEEN greatest(s + 1, e - 32) + 64 AND greatest(s + 1, e - 32) + 128)) END, least(greatest(s + 1, e - 32) + 128, n)), n, m FROM r WHERE e < n)
+    SELECT r.page_id, w AS window_index, s AS unit_start, e AS unit_end, k.a[s + 1] AS char_start, k.b[e] AS char_end FROM r JOIN k USING (page_id)"""
+)
 def chunk_heading_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ch.chunks(read_table(spark, sf_dir, "pages"), "page_id", "best_text", 128, 32, heading_aware=True)
+    c = ch.chunks(read_table(spark, sf_dir, "pages"), "page_id", "best_text", 128, 32, heading_aware=True)
+    return c.select(F.col("doc_id").cast("long").alias("page_id"), *[F.col(x).cast("long").alias(x) for x in ("window_index", "unit_start", "unit_end", "char_start", "char_end")])
 
 
 @query(

@@ -329,3 +329,38 @@ def shard_freeze(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = s.groupBy("source_id").agg(F.count("*").alias("shards"), F.countDistinct("shard_id").alias("ids"))
     j = k.join(shared, "source_id").join(orphan, "source_id").withColumn("unique_ids", F.col("shards") == F.col("ids"))
     return j.select("source_id", "shards", "unique_ids", "shared_pages", "orphan_pages", (F.col("unique_ids") & (F.col("shared_pages") == 0) & (F.col("orphan_pages") == 0)).alias("frozen"))
+
+
+@query("""
+    SELECT record_id, CASE WHEN display_name IS NULL THEN 'removed' WHEN display_name_source_scope = 'book_only' THEN 'changed' END AS change FROM record_name_metadata WHERE display_name IS NULL OR display_name_source_scope = 'book_only'
+    UNION ALL SELECT 'new-' || record_id, 'added' FROM record_name_metadata WHERE accepted_scientific_name IS NULL""")
+def fingerprint_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.streaming import jobs
+
+    old = read_table(spark, sf_dir, "record_name_metadata").select("record_id", "display_name", "display_name_source_scope", "accepted_scientific_name")
+    new = old.filter("display_name IS NOT NULL").withColumn("display_name", F.when(F.col("display_name_source_scope") == "book_only", F.concat("display_name", F.lit("*"))).otherwise(F.col("display_name")))
+    added = old.filter("accepted_scientific_name IS NULL").withColumn("record_id", F.concat(F.lit("new-"), "record_id"))
+    return jobs.fingerprint_changes(old, new.unionByName(added), "record_id", ["display_name", "display_name_source_scope"])
+
+
+@query("""
+    WITH a AS (SELECT lower(accepted_scientific_name) AS n, min(accepted_scientific_name) AS v FROM record_name_metadata WHERE display_name_source_scope = 'taiwan_public' GROUP BY 1), b AS (SELECT lower(book_scientific_name) AS n, min(accepted_scientific_name) AS v FROM record_name_metadata GROUP BY 1),
+    c AS (SELECT lower(scientific_name) AS n, min(record_id) AS v FROM embedding_chunks GROUP BY 1)
+    SELECT entry_id, coalesce(a.v, b.v, c.v) AS accepted, CASE WHEN a.v IS NOT NULL THEN 1 WHEN b.v IS NOT NULL THEN 2 WHEN c.v IS NOT NULL THEN 3 END AS step FROM entries e LEFT JOIN a ON a.n = lower(book_taxon_candidate) LEFT JOIN b ON b.n = lower(book_taxon_candidate) LEFT JOIN c ON c.n = lower(book_taxon_candidate)""")
+def name_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # first names with a public source, then the book's, then those of the chunks
+    e = read_table(spark, sf_dir, "entries").select("entry_id", F.lower("book_taxon_candidate").alias("n"))
+    m, c = read_table(spark, sf_dir, "record_name_metadata"), read_table(spark, sf_dir, "embedding_chunks")
+    step = lambda df, name, value: e.join(df.groupBy(F.lower(name).alias("n")).agg(F.min(value).alias("accepted")), "n").select("entry_id", "accepted")
+    steps = [step(m.filter("display_name_source_scope = 'taiwan_public'"), "accepted_scientific_name", "accepted_scientific_name"), step(m, "book_scientific_name", "accepted_scientific_name"), step(c, "scientific_name", "record_id")]
+    return nm.cascade(e, steps, "entry_id")
+
+
+@query("""
+    SELECT 'names' AS release, record_id AS key FROM record_name_metadata WHERE NOT EXISTS (SELECT 1 FROM record_name_metadata WHERE book_scientific_name IS NULL)
+    UNION ALL SELECT 'accepted names', record_id FROM record_name_metadata WHERE NOT EXISTS (SELECT 1 FROM record_name_metadata WHERE accepted_scientific_name IS NULL)""")
+def released_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a release with a broken row releases nothing
+    m = read_table(spark, sf_dir, "record_name_metadata").select(F.col("record_id").alias("key"), "book_scientific_name", "accepted_scientific_name")
+    one = lambda n, c: tb.all_or_nothing(m, tb.checks(m, "key", {c: F.col(c).isNotNull()})).select(F.lit(n).alias("release"), "key")
+    return one("names", "book_scientific_name").unionByName(one("accepted names", "accepted_scientific_name"))

@@ -24,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from foliant.plans import queries_boundaries, queries_chunks, queries_gates, queries_lineage, queries_pages, queries_receipts, queries_retrieval, queries_tables  # noqa: F401
+    from foliant.plans import queries_boundaries, queries_chunks, queries_gates, queries_io, queries_lineage, queries_pages, queries_receipts, queries_retrieval, queries_tables  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -43,6 +43,24 @@ def read_scan_xml(spark: SparkSession, path: str, row_tag: str = "OBJECT") -> Da
     )
 
 
+NAMES_XML = T.StructType([T.StructField("PageID", T.StringType()), T.StructField("Names", T.StructType([T.StructField("Name", T.ArrayType(T.StructType([T.StructField("NameFound", T.StringType()), T.StructField("NameConfirmed", T.StringType())])))]))])
+
+
+def read_names_xml(spark: SparkSession, path: str, row_tag: str = "Page") -> DataFrame:
+    """``page, found, confirmed``: names that an index found on a page and confirmed, each pair of a page once; pages without names don't come out."""
+    pages = spark.read.format("xml").option("rowTag", row_tag).schema(NAMES_XML).load(path)
+    names = pages.select(F.col("PageID").alias("page"), F.explode(F.array_distinct("Names.Name")).alias("n"))
+    return names.select("page", F.col("n.NameFound").alias("found"), F.col("n.NameConfirmed").alias("confirmed")).distinct()
+
+
+def embedded_state(html: Column, attribute: str, schema: str) -> Column:
+    """The JSON that a page's markup holds, escaped, in an attribute; null if there is none or it doesn't parse."""
+    raw = F.regexp_extract(html, attribute + '="([^"]*)"', 1)
+    for name, char in (("&quot;", '"'), ("&#039;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        raw = F.replace(raw, F.lit(name), F.lit(char))
+    return F.from_json(raw, schema)
+
+
 def median_of(values: Column) -> Column:
     """Median of an array of numbers; null if it is empty."""
     v = F.array_sort(F.array_compact(values))
@@ -68,6 +86,17 @@ def file_receipts(spark: SparkSession, path: str) -> DataFrame:
     return f.select("path", "length", F.sha2("content", 256).alias("sha256"), F.sha1("content").alias("sha1"))
 
 
+def file_rule_errors(spark: SparkSession, path: str, most_bytes: int, suffixes: list[str], name: str) -> DataFrame:
+    """``path, error``: files that are too large (size), have another suffix, or a name that doesn't match the pattern. Only what the file system tells is read, no content."""
+    f = spark.read.format("binaryFile").load(path).select("path", "length")
+    base = F.regexp_extract("path", r"([^/]*)$", 1)
+    fits = F.lit(False)
+    for s in suffixes:
+        fits = fits | base.endswith(s)
+    errors = F.array_compact(F.array(F.when(F.col("length") > most_bytes, "size"), F.when(~fits, "suffix"), F.when(~base.rlike(name), "name")))
+    return f.select("path", F.explode(errors).alias("error"))
+
+
 def receipt_check(found: DataFrame, expected: DataFrame) -> DataFrame:
     """``path, state``: files against their receipts (``path, length, sha256``): ok, missing, unknown, size or hash."""
     f = found.select("path", F.col("length").alias("l"), F.col("sha256").alias("s"))

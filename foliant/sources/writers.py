@@ -86,6 +86,23 @@ def write_sharded_text(df: DataFrame, path: str, shard: str, order: str, text: s
     return rows.groupBy("shard").agg(n.alias("records"), F.sum(F.length("value")).alias("characters"), digest.alias("sha256"))
 
 
+def write_objects(df: DataFrame, path: str, key: str) -> None:
+    """Write each row as a JSON object in a file of its own, in a folder named by its key. For tables of objects, such as receipts, not of rows."""
+    write_documents(df.select(key, F.to_json(F.struct(*df.columns)).alias("value")), path, key, "value")
+
+
+def write_documents(df: DataFrame, path: str, key: str, text: str) -> None:
+    """Write each text as a file of its own, in a folder named by its key."""
+    rows = df.select(F.col(key).alias("object"), F.col(text).alias("value"))
+    rows.repartition("object").write.mode("overwrite").partitionBy("object").option("maxRecordsPerFile", 1).text(path)
+
+
+def write_pack(df: DataFrame, path: str, order: list[str], text: str = "value") -> None:
+    """Write ``text`` as one file, its lines in order. Lines are range-partitioned; one task, as one file has one writer, sorts and
+    writes the ranges in turn."""
+    df.orderBy(*order).select(F.col(text).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def public_json(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows as JSON with the given columns only, nulls left out."""
     return df.select(F.to_json(F.struct(*columns)).alias("value"))
