@@ -96,3 +96,14 @@ def first_of_each(rows: DataFrame, key: str, items: str, identity: list[str]) ->
     e = rows.select(key, F.posexplode(items).alias("at", "i")).select(key, "at", *[F.col("i")[c].alias(c) for c in identity])
     first = e.groupBy(key, *identity).agg(F.min("at").alias("at"))
     return first.select(key, F.row_number().over(Window.partitionBy(key).orderBy("at")).alias("place"), *identity)
+
+
+def migration(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
+    """One row of counts of an upsert of ``new`` into ``old`` (keys unique): rows before, inserted, replaced, unchanged and after, and whether a repeated upsert changes nothing (``repeats``)."""
+    both = lambda a, b: a.select(key, F.col(value).alias("a")).join(b.select(key, F.col(value).alias("b")), key, "full_outer")
+    after = both(old, new).select(key, F.coalesce("b", "a").alias(value))
+    counts = both(old, new).agg(
+        F.count("a").alias("before"), F.count_if(F.col("a").isNull()).alias("inserted"), F.count_if(F.col("a") != F.col("b")).alias("replaced"), F.count_if(F.col("a") == F.col("b")).alias("unchanged"), F.count("*").alias("after")
+    )
+    again = both(after, new).agg((F.count_if(F.col("a").isNull() | (F.col("a") != F.col("b"))) == 0).alias("repeats"))
+    return counts.crossJoin(again)  # one row each

@@ -364,3 +364,51 @@ def released_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = read_table(spark, sf_dir, "record_name_metadata").select(F.col("record_id").alias("key"), "book_scientific_name", "accepted_scientific_name")
     one = lambda n, c: tb.all_or_nothing(m, tb.checks(m, "key", {c: F.col(c).isNotNull()})).select(F.lit(n).alias("release"), "key")
     return one("names", "book_scientific_name").unionByName(one("accepted names", "accepted_scientific_name"))
+
+
+@query("SELECT source_id, pdf_page, count(*) AS deliveries, count(DISTINCT sha256(coalesce(best_text, ''))) AS texts, count(*) > 1 AS repeated, count(DISTINCT sha256(coalesce(best_text, ''))) > 1 AS differs FROM pages GROUP BY ALL")
+def page_hash_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_table(spark, sf_dir, "pages").select("source_id", "pdf_page", F.sha2(F.coalesce("best_text", F.lit("")), 256).alias("h"))
+    # equal deliveries combine before the shuffle
+    g = p.groupBy("source_id", "pdf_page", "h").agg(F.count("*").alias("n")).groupBy("source_id", "pdf_page").agg(F.sum("n").alias("deliveries"), F.count("*").alias("texts"))
+    return g.withColumn("repeated", F.col("deliveries") > 1).withColumn("differs", F.col("texts") > 1)
+
+
+_NEW = "SELECT chunk_id, max_by(text_sha256, ingested_at) AS h FROM embedding_chunks WHERE review_status = '{s}' GROUP BY 1"
+
+
+@query(f"""
+    WITH o AS ({_NEW.format(s='approved')}), n AS (SELECT chunk_id, max_by(text_sha256, ingested_at) AS h FROM embedding_chunks WHERE review_status <> 'candidate' GROUP BY 1), j AS (SELECT coalesce(o.chunk_id, n.chunk_id) AS id, o.h AS a, n.h AS b FROM o FULL JOIN n ON o.chunk_id = n.chunk_id)
+    SELECT count(a) AS before, count(*) FILTER (a IS NULL) AS inserted, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL AND a <> b) AS replaced, count(*) FILTER (a = b) AS unchanged, count(*) AS after, true AS repeats FROM j""")
+def migration_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # an index of approved chunks takes in all that aren't candidates; taking them in again changes nothing
+    c = read_table(spark, sf_dir, "embedding_chunks").select("chunk_id", F.col("text_sha256").alias("h"), "review_status", "ingested_at")
+    pick = lambda cond: c.filter(cond).groupBy("chunk_id").agg(F.max_by("h", "ingested_at").alias("h"))
+    return rc.migration(pick("review_status = 'approved'"), pick("review_status <> 'candidate'"), "chunk_id", "h")
+
+
+@query(r"""
+    WITH c AS (SELECT chunk_id, max_by({'r': record_id, 's': review_status, 'n': scientific_name, 't': source_text, 'v': length(embedding_json) > 0}, ingested_at) AS r FROM embedding_chunks GROUP BY 1)
+    SELECT chunk_id, r.s AS review_status, m.display_name, coalesce(m.display_name_source_scope, 'unresolved') AS scope, len(regexp_extract_all(concat_ws(' ', r.n, m.display_name, r.t), '[\p{L}\p{N}]+')) AS n_terms, coalesce(r.v, false) AS has_vector
+    FROM c LEFT JOIN record_name_metadata m ON m.record_id = r.r WHERE r.s IN ('approved', 'machine_extracted_beta')""")
+def index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "embedding_chunks").select("chunk_id", "record_id", "review_status", "scientific_name", "source_text", (F.length("embedding_json") > 0).alias("v"), "ingested_at")
+    c = tb.latest(c, ["chunk_id"], ["ingested_at"])
+    both = c.filter("review_status = 'approved'").unionByName(c.filter("review_status = 'machine_extracted_beta'"))
+    j = both.join(read_table(spark, sf_dir, "record_name_metadata").select("record_id", "display_name", "display_name_source_scope"), "record_id", "left")
+    terms = F.size(tx.terms(F.concat_ws(" ", "scientific_name", "display_name", "source_text"))).cast("long")
+    return j.select("chunk_id", "review_status", "display_name", F.coalesce("display_name_source_scope", F.lit("unresolved")).alias("scope"), terms.alias("n_terms"), F.coalesce("v", F.lit(False)).alias("has_vector"))
+
+
+@query("""
+    WITH j AS (SELECT DISTINCT chunk_id, text_sha256, vector_space_id AS space FROM embedding_chunks WHERE text_sha256 IS NOT NULL), d AS (SELECT DISTINCT text_sha256, vector_space_id AS space FROM embedding_chunks WHERE review_status = 'approved' AND length(embedding_json) > 0),
+    p AS (SELECT space, text_sha256, min(chunk_id) AS chunk_id, count(*) AS waiting FROM j WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.text_sha256 = j.text_sha256 AND d.space = j.space) GROUP BY ALL)
+    SELECT space, CAST(('0x' || substring(text_sha256, 1, 2)) AS BIGINT) % 16 AS batch, count(*) AS texts, sum(waiting) AS chunks, min(chunk_id) AS first_chunk FROM p GROUP BY ALL""")
+def pending_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # texts without an approved vector of their space, each once, in batches told by their hash: a batch that is run again is the same
+    c = read_table(spark, sf_dir, "embedding_chunks").withColumnRenamed("vector_space_id", "space")
+    jobs = c.filter("text_sha256 IS NOT NULL").select("chunk_id", "text_sha256", "space").distinct()
+    done = c.filter("review_status = 'approved' AND length(embedding_json) > 0").select("text_sha256", "space")
+    p = jobs.join(done, ["text_sha256", "space"], "left_anti").groupBy("space", "text_sha256").agg(F.min("chunk_id").alias("chunk_id"), F.count("*").alias("waiting"))
+    batch = F.conv(F.substring("text_sha256", 1, 2), 16, 10).cast("long") % 16
+    return p.groupBy("space", batch.alias("batch")).agg(F.count("*").alias("texts"), F.sum("waiting").alias("chunks"), F.min("chunk_id").alias("first_chunk"))
