@@ -155,6 +155,29 @@ def stream_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.latest(spark.read.parquet(f"{folder}/out"), ["user_id", "window_start"], ["batch"]).drop("batch")
 
 
+def _watched_history(spark: SparkSession, sf_dir: str) -> str:
+    """The events written as four files, watched as a stream one file at a time; the folder of what the refresh keeps."""
+    folder = shared_folder(spark, "stream-history")
+    e = read_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
+    e.repartition(4, "event_id").write.parquet(f"{folder}/in")
+    step = jobs.bounded_history(f"{folder}/kept", "user_id", ["ts", "event_id"], "event_type = 'purchase'")
+    jobs.refresh(jobs.watch_parquet(spark, f"{folder}/in", e.schema, 1), f"{folder}/state", step).awaitTermination()
+    return f"{folder}/kept"
+
+
+@query("""
+    WITH f AS (SELECT user_id, arg_min(event_id, {'t': ts, 'e': event_id}) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY 1), l AS (SELECT user_id, arg_max(event_id, {'t': ts, 'e': event_id}) AS event_id FROM events GROUP BY 1)
+    SELECT l.user_id, coalesce(f.event_id, l.event_id) AS event_id, f.event_id IS NOT NULL AS terminal FROM l LEFT JOIN f USING (user_id)""")
+def stream_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.read_states(spark, _watched_history(spark, sf_dir), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "terminal")
+
+
+@query("SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events QUALIFY place <= 20")
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = jobs.read_history(spark, _watched_history(spark, sf_dir), "user_id", ["ts", "event_id"])
+    return h.select("user_id", "event_id", F.col("place").cast("long").alias("place"))
+
+
 # Coverage of the engine on the relational tables; not operators of the surveyed pipeline.
 @query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 def rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,3 +72,34 @@ def fingerprint_changes(old: DataFrame, new: DataFrame, key: str, columns: list[
     j = h(old, "o").join(h(new, "n"), key, "full_outer")
     change = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed")
     return j.select(key, change.alias("change")).filter("change IS NOT NULL")
+
+
+def bounded_history(path: str, key: str, order: list[str], terminal: str, most: int = 20) -> Callable[[DataFrame, int], None]:
+    """A step of a refresh that keeps, of each batch and key, the last ``most`` rows and the first row for which the condition ``terminal`` holds, in a folder of the batch's
+    number: a repeated batch replaces itself, and what is kept doesn't grow with the rows of a key. ``read_states`` and ``read_history`` merge the batches."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        from foliant.operators.receipts import recent_history
+
+        recent_history(batch, key, order, most).drop("place").write.mode("overwrite").parquet(f"{path}/history/batch={number}")
+        rest = [c for c in batch.columns if c != key]
+        first = batch.filter(terminal).groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(key, *[F.col("r")[c].alias(c) for c in rest])
+        first.select(batch.columns).write.mode("overwrite").parquet(f"{path}/terminal/batch={number}")
+
+    return step
+
+
+def read_history(spark: SparkSession, path: str, key: str, order: list[str], most: int = 20) -> DataFrame:
+    """The last ``most`` rows of each key over all batches, newest first (``place`` from 1)."""
+    from foliant.operators.receipts import recent_history
+
+    return recent_history(spark.read.parquet(f"{path}/history").drop("batch"), key, order, most)
+
+
+def read_states(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
+    """One row per key and whether it is ``terminal``: the first terminal row, which nothing later changes, else the last row."""
+    pick = lambda df, f: df.groupBy(key).agg(f(F.struct(*[c for c in df.columns if c != key]), F.struct(*order)).alias("r"))
+    ended = pick(spark.read.parquet(f"{path}/terminal").drop("batch"), F.min_by)
+    last = pick(spark.read.parquet(f"{path}/history").drop("batch"), F.max_by)
+    j = last.join(ended.withColumnRenamed("r", "t"), key, "left")
+    return j.select(key, F.coalesce("t", "r").alias("r"), F.col("t").isNotNull().alias("terminal")).select(key, "r.*", "terminal")
