@@ -214,7 +214,7 @@ def leaked_spans(
     least_chars: int = 24,
     char_langs: tuple[str, ...] = ("zh",),
     min_coverage: float = 0.0,
-    shard_tokens: int = 500_000,
+    shard_tokens: int = 200_000,
 ) -> DataFrame:
     """One row per document, item and matched span: its tokens, share of the item, range in tokens and in code points of the text.
 
@@ -245,7 +245,7 @@ def leaked_spans(
     return documents.sparkSession.createDataFrame([], SPAN_SCHEMA) if out is None else out
 
 
-def cleaned_documents(documents: DataFrame, items: DataFrame, text: str = "text", doc_key: str = "doc_id", max_tokens: int = 12, max_coverage: float = 1.0, least_words: int = 13, least_chars: int = 24, char_langs: tuple[str, ...] = ("zh",), shard_tokens: int = 500_000) -> DataFrame:
+def cleaned_documents(documents: DataFrame, items: DataFrame, text: str = "text", doc_key: str = "doc_id", max_tokens: int = 12, max_coverage: float = 1.0, least_words: int = 13, least_chars: int = 24, char_langs: tuple[str, ...] = ("zh",), shard_tokens: int = 200_000) -> DataFrame:
     """``doc_id, removed_spans, removed_chars, cleaned_text`` of every document that loses something: spans of an item of more than ``max_tokens`` tokens, or that
     cover more than ``max_coverage`` of their item, are taken out, overlapping ones together, and what they leave is joined by a space.
 
