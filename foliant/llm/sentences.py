@@ -30,10 +30,13 @@ MARKERS = {
 }
 _MARK = {w: tuple(lang for lang, ws in MARKERS.items() if w in ws) for ws in MARKERS.values() for w in ws}
 _SCRIPTS = (("ja", re.compile("[ぁ-ヿ]")), ("zh", re.compile("[㐀-鿿]")), ("ru", re.compile("[Ѐ-ӿ]{2}")), ("ar", re.compile("[\u0600-ۿ]{2}")), ("hi", re.compile("[\u0900-ॿ]")), ("th", re.compile("[\u0e00-\u0e7f]")))
+_OTHER_SCRIPT = re.compile("[ぁ-ヿ㐀-鿿Ѐ-ӿ\u0600-ۿ\u0900-ॿ\u0e00-\u0e7f]")
+_THAI = re.compile("[\u0e00-\u0e7f]")
+_SOLID = re.compile(r"\S")
 _WORD = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile("[A-Za-zÀ-ɏ]{2}")
-#: a word or figure with its full stop, and what stands after it on the line
-_DOT = re.compile(r"([^\W_]+(?:\.[^\W_]+)*)\.[ \t]+(?=[\"'„“«»‚‘(\[]*([^\W_]+(?:[-'’][^\W_]+)*|\S))")
+#: a full stop before a space, and what stands after it on the line
+_DOT = re.compile(r"\.[ \t]+(?=[\"'„“«»‚‘(\[]*([^\W_]+(?:[-'’][^\W_]+)*|\S))")
 _SURE = re.compile(r"(?:^|\n|[!?][ \t]+)[ \t]*([^\W\d_]+)")
 _OPEN = "\"'„“”«»‚‘’‹›「『（([《〈“"
 _CLOSERS = "\"'“”’»«›‹」』）)]》〉"
@@ -45,11 +48,13 @@ SENTENCE_SCHEMA = "key string, sentence_index int, sentence_start int, sentence_
 
 def language_of(line: str) -> str:
     """Language of a line by script and, for Latin letters, by marker words; '' where nothing tells."""
-    hits: Counter = Counter()
-    for w in _WORD.findall(line.lower()):
-        for lang in _MARK.get(w, ()):
-            hits[lang] += 1
+    hits: dict[str, int] = {}
+    for langs in [_MARK[w] for w in _WORD.findall(line.lower()) if w in _MARK]:
+        for lang in langs:
+            hits[lang] = hits.get(lang, 0) + 1
     latin = max(hits.items(), key=lambda x: (x[1], x[0]))[0] if hits else ""
+    if line.isascii() or not _OTHER_SCRIPT.search(line):
+        return latin
     for lang, pattern in _SCRIPTS:
         m = pattern.search(line)
         if m:
@@ -61,12 +66,14 @@ def language_of(line: str) -> str:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words: dict[tuple[str, str], Counter] = {}  # of each language and kind
     total: Counter = Counter()
 
     def out() -> pa.RecordBatch:
-        keys = list(total)
+        keys = [(lang, kind, w, None) for (lang, kind), c in words.items() for w in c] + list(total)
+        n = [x for c in words.values() for x in c.values()] + list(total.values())
         cols = [pa.array([k[i] for k in keys], pa.string()) for i in range(4)]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(list(total.values()), pa.int64())], names=["lang", "kind", "word", "after", "n"])
+        return pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64())], names=["lang", "kind", "word", "after", "n"])
 
     for b in batches:
         for t in b.column(0).to_pylist():
@@ -74,19 +81,24 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not line or line.isspace():
                     continue
                 lang = language_of(line)
-                total.update([(lang, "capital", w.lower(), None) for w in _WORD.findall(line) if w[0].isupper()])
-                total.update([(lang, "start", m[1].lower(), None) for m in _SURE.finditer(line) if m[1][0].isupper()])
+                if (lang, "start") not in words:
+                    words[lang, "start"], words[lang, "capital"] = Counter(), Counter()
+                words[lang, "capital"].update([w.lower() for w in _WORD.findall(line) if w[0].isupper()])
+                words[lang, "start"].update([w.lower() for w in _SURE.findall(line) if w[0].isupper()])
                 for m in _DOT.finditer(line):
-                    w, after = m[1], m[2]
+                    w, after = _word_before(line, m.start(), len(line)), m[1]
+                    if not w:
+                        continue
                     w = "#" if w.isdigit() else w.lower()
                     if after[0].isupper() or not after[0].isalnum():
                         total[lang, "dot", w, after.lower() if after[0].isupper() else "%("] += 1
                     else:
                         total[lang, "dot", w, "%0" if after[0].isdigit() else "%a"] += 1
-        if len(total) > 200_000:
+        if len(total) + sum(map(len, words.values())) > 200_000:
             yield out()
             total.clear()
-    if total:
+            words.clear()
+    if total or words:
         yield out()
 
 
@@ -172,18 +184,24 @@ def learn(texts: DataFrame, text: str, **thresholds) -> Model:
     return as_model(model_rows(texts, text, **thresholds).collect())
 
 
-_BEFORE = re.compile(r"[^\W_]+(?:\.[^\W_]+)*$")
+def _word_before(line: str, at: int, reach: int = 60) -> str:
+    """The word or figure, full stops inside it, that ends at ``at`` and begins at most ``reach`` characters before; '' if there is none."""
+    low, i = max(0, at - reach), at
+    while i > low and line[i - 1].isalnum() or i < at and i - 1 > low and line[i - 1] == "." and line[i - 2].isalnum() and line[i].isalnum():
+        i -= 1
+    return line[i:at]
+
+
 _AFTER = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 
 
 def _around(line: str, at: int, nxt: int) -> tuple[str, str]:
     """The words before the full stop at ``at`` and from ``nxt`` on, empty where there is none."""
-    before = _BEFORE.search(line, max(0, at - 60), at)
     j = nxt
     while j < len(line) and line[j] in _OPEN:
         j += 1
     after = _AFTER.match(line, j)
-    return before[0] if before else "", after[0] if after else ""
+    return _word_before(line, at), after[0] if after else ""
 
 
 def _breaks_after_dot(line: str, at: int, nxt: int, lang: str, model: Model) -> bool:
@@ -217,8 +235,7 @@ def _glued(line: str, at: int, nxt: int, kind: str) -> bool:
         return False
     if kind != ".":
         return True
-    before = _BEFORE.search(line, max(0, at - 60), at)
-    last = before[0].rpartition(".")[2] if before else ""
+    last = _word_before(line, at).rpartition(".")[2]
     return line[at - 1 : at] in _CLOSERS if not last else len(last) > 1 or last.isdigit()
 
 
@@ -281,12 +298,12 @@ def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
                     lang = language_of(line)
                 if dot is None or _breaks_after_dot(line, dot, nxt, lang, model):
                     cuts.append(offset + nxt)
-            if "\u0e00" <= max(line) and re.search("[\u0e00-\u0e7f]", line):  # in Thai a space ends a sentence
+            if not line.isascii() and _THAI.search(line):  # in Thai a space ends a sentence
                 cuts.extend(offset + g.end() for g in re.finditer(r"(?<=[\u0e00-\u0e7f])[ \t\u00a0\u3000]+(?=\S)", line))
         offset += n + 1
     starts = []
     for c in sorted(set(cuts)):
-        m = re.compile(r"\S").search(text, c)
+        m = _SOLID.search(text, c)
         if m and (not starts or m.start() > starts[-1]):
             starts.append(m.start())
     ends = [*starts[1:], len(text)]
