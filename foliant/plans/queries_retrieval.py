@@ -115,10 +115,10 @@ def asked_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _usable(read_table(spark, sf_dir, "embedding_queries"), "query_id")
 
 
-def hybrid_hits(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """The ``k`` best parents of each question, and the lexical hits."""
-    lexical = cut_lineage(lexical_hits(spark, sf_dir, 80))
-    return rt.hybrid_parents(scored_chunks(spark, sf_dir), asked_questions(spark, sf_dir), lexical, k), lexical
+def hybrid_hits(spark: SparkSession, sf_dir: str, k: int, lexical: DataFrame | None = None) -> DataFrame:
+    """The ``k`` best parents of each question."""
+    lexical = lexical_hits(spark, sf_dir, 80) if lexical is None else lexical
+    return rt.hybrid_parents(scored_chunks(spark, sf_dir), asked_questions(spark, sf_dir), lexical, k)
 
 
 @query(_HYBRID + " SELECT query, item, semantic, score FROM h QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, item) <= 10")
@@ -141,9 +141,11 @@ def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_HYBRID + """, w AS (SELECT * FROM r WHERE rank <= 5), k AS (SELECT h.query, h.parent, h.item, h.score, row_number() OVER (PARTITION BY h.query, h.parent ORDER BY h.score DESC, h.item) AS place FROM h JOIN w USING (query, parent) QUALIFY place <= 5)
     SELECT w.query, w.parent, w.score, w.b.i AS item, any_value(w.n_children) AS n_children, string_agg(k.item, ' ' ORDER BY place) AS children FROM w JOIN k USING (query, parent) GROUP BY ALL""")
 def hybrid_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits, lexical = hybrid_hits(spark, sf_dir, 5)
-    hits = cut_lineage(hits)  # five rows a question, used twice
-    c = rt.best_children(hits, scored_chunks(spark, sf_dir), asked_questions(spark, sf_dir), lexical)
+    lexical = cut_lineage(lexical_hits(spark, sf_dir, 80))  # used twice, as are the hits
+    hits = cut_lineage(hybrid_hits(spark, sf_dir, 5, lexical))
+    # only chunks of the winning parents are parsed
+    won = chunks_once(spark, sf_dir).join(hits.select("parent").distinct(), "parent", "left_semi")
+    c = rt.best_children(hits, _usable(won, "chunk_id", "parent"), asked_questions(spark, sf_dir), lexical)
     return hits.join(c, ["query", "parent"]).select("query", "parent", "score", "item", "n_children", F.array_join("children", " ").alias("children"))
 
 
@@ -151,8 +153,7 @@ def hybrid_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT query, parent, record, row_number() OVER (PARTITION BY query ORDER BY rank) AS final_rank FROM dd WHERE rr <= 2 QUALIFY final_rank <= 12""")
 def diversify_by_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a broad question asks for max(3 k, 18) parents
-    hits, _ = hybrid_hits(spark, sf_dir, 18)
-    return rt.diversify(hits, "record").select("query", "parent", "record", F.col("final_rank").cast("long").alias("final_rank"))
+    return rt.diversify(hybrid_hits(spark, sf_dir, 18), "record").select("query", "parent", "record", F.col("final_rank").cast("long").alias("final_rank"))
 
 
 @query(_HYBRID + " SELECT query, count(*) AS raw_hits, count(DISTINCT parent) AS parents, count(*) - count(DISTINCT parent) AS duplicates_removed FROM h GROUP BY 1")
