@@ -198,9 +198,8 @@ def _fit(vectors: DataFrame, k: int, epsilon: float, list_rows: int, sample_rows
         # A neighbour at distance t lies across a border at distance m only if its step along one direction reaches m;
         # by chance a step of t is about t / sqrt(dim) there. Of k neighbours the sample holds its share.
         probe = x[:: max(1, len(x) // 1000)]
-        sims = probe @ x.T
         rank = min(max(1, -(-k * len(x) // n)), len(x) - 1)
-        kth = -np.partition(-sims, rank, axis=1)[:, rank]
+        kth = np.concatenate([-np.partition(-(probe[i : i + 50] @ x.T), rank, axis=1)[:, rank] for i in range(0, len(probe), 50)])  # a few rows at a time: the driver is small
         reach = float(np.quantile(np.sqrt(np.maximum(2 - 2 * kth, 0)), 0.75))
         model[space] = {"dim": dim, "cells": cells, "centroids": centroids, "bounds": bounds, "group": of + base, "margin": epsilon * reach / np.sqrt(dim), "held": np.ones(len(centroids), dtype=np.int64)}
         base += int(of.max()) + 1
