@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 from operator import or_
@@ -50,47 +51,111 @@ def evidence_gate(parents: DataFrame, children: DataFrame, required: DataFrame)
     return per.withColumn("answer_gate", F.when(found, "supporting_book_terms_found").otherwise("no_supporting_book_relation"))
 
 
+class TermFinder:
+    """Which texts hold which terms, as parts of words too. A term of Latin letters and figures, or of ideographs, lies inside one run of such characters, so it is
+    looked for in each different run once; other terms are looked for in each text."""
+
+    RUN = re.compile("[a-z0-9]+|[\u3400-\u9fff]+")
+
+    def __init__(self, terms: list[str], most: int = 500_000) -> None:
+        self.inside = [(i, t) for i, t in enumerate(terms) if self.RUN.fullmatch(t)]
+        self.others = [(i, t) for i, t in enumerate(terms) if not self.RUN.fullmatch(t)]
+        self.most, self.known = most, {}
+
+    def learn(self, runs: list[str]) -> None:
+        """Note the terms inside of runs."""
+        text = "\n".join(runs)
+        ends = np.cumsum([len(x) + 1 for x in runs])
+        found: dict[int, list[int]] = {}
+        for i, t in self.inside:
+            at = text.find(t)
+            while at >= 0:
+                n = int(np.searchsorted(ends, at, side="right"))
+                found.setdefault(n, []).append(i)
+                at = text.find(t, int(ends[n]))
+        for n, x in enumerate(runs):
+            self.known[x] = found.get(n, ())
+
+    def holders(self, texts: list[str]) -> dict[int, np.ndarray]:
+        """For each term that any of the texts holds the places of those that do, in order."""
+        runs = [set(self.RUN.findall(x)) for x in texts]
+        every = set().union(*runs)
+        new = [x for x in every if x not in self.known]
+        if len(self.known) + len(new) > self.most:  # runs are kept in mind for later batches, as far as there is room
+            self.known.clear()
+            new = list(every)
+        if new:
+            self.learn(new)
+        out: dict[int, list[int]] = {}
+        for n, own in enumerate(runs):
+            for i in {i for x in own for i in self.known[x]}:
+                out.setdefault(i, []).append(n)
+        for i, t in self.others:
+            if held := [n for n, x in enumerate(texts) if t in x]:
+                out[i] = held
+        return {i: np.array(x) for i, x in out.items()}
+
+
 def ranked_evidence(base: DataFrame, questions: DataFrame) -> DataFrame:
     """``profile, query, chunks, relevant, first_relevant_rank, top_relevant, top_other``: where the first chunk with a required term stands among all chunks of a profile, by
     cosine rounded to six digits, ties to the smaller item.
 
     ``base``: ``profile, item, space, v, text``; ``questions``, a stated set that is held by the driver and shared: ``query, space, v, terms``. Two passes over
-    ``base``, each summed per batch: the best relevant and other chunks first, then how many chunks stand before the best relevant one."""
+    ``base``, each summed per batch: the best relevant and other chunks first, then how many chunks stand before the best relevant one. Each term is looked for once
+    in the different words of a batch, not in each text for each question."""
     spark = base.sparkSession
     groups: dict[tuple, tuple[list, list, list]] = {}
+    number: dict[str, int] = {}
     for q, space, v, terms in questions.select("query", "space", F.col("v").cast("array<double>"), "terms").collect():
         ids, vs, ts = groups.setdefault((space, len(v)), ([], [], []))
         x = np.array(v, dtype=np.float64)
         ids.append(q)
         vs.append(x / np.linalg.norm(x))
-        ts.append(terms or [])
-    shared = spark.sparkContext.broadcast({g: (ids, np.stack(vs), ts) for g, (ids, vs, ts) in groups.items()})
+        ts.append(sorted({number.setdefault(t, len(number)) for t in terms or []}))
+    shared = spark.sparkContext.broadcast((list(number), {g: (ids, np.stack(vs), ts) for g, (ids, vs, ts) in groups.items()}))
     picked = base.select(F.col("profile").cast("string"), F.col("item").cast("string"), F.col("space").cast("string"), F.col("v").cast("array<double>"), tx.fold(F.coalesce("text", F.lit(""))).alias("text"))
 
-    def scored(b: pa.RecordBatch) -> Iterator[tuple[str, list[str], list[str], np.ndarray, list]]:
-        """(profile, items in order, texts, cosines per question, questions) of each profile and space of a batch."""
+    def scored(b: pa.RecordBatch) -> Iterator[tuple[str, list[str], list[str], Iterator[tuple[int, np.ndarray]], list[str], list[list[int]]]]:
+        """(profile, items in order, texts, slices of cosines per question from a question on, questions, numbers of their terms) of each profile and space of a batch."""
         profiles, items, spaces, vecs, texts = (c.to_pylist() for c in b.columns)
         rows: dict[tuple, list[int]] = {}
         for j, (p, s, v) in enumerate(zip(profiles, spaces, vecs)):
-            if (s, len(v)) in shared.value:
+            if (s, len(v)) in shared.value[1]:
                 rows.setdefault((p, s, len(v)), []).append(j)
         for (p, s, n), at in rows.items():
             at.sort(key=lambda j: items[j])
-            ids, qm, ts = shared.value[s, n]
+            ids, qm, ts = shared.value[1][s, n]
             x = np.array([vecs[j] for j in at], dtype=np.float64)
-            yield p, [items[j] for j in at], [texts[j] for j in at], np.round(qm @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T, 6), list(zip(ids, ts))
+            x = (x / np.linalg.norm(x, axis=1, keepdims=True)).T
+            yield p, [items[j] for j in at], [texts[j] for j in at], ((lo, qm[lo : lo + 256] @ x) for lo in range(0, len(ids), 256)), ids, ts
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = TermFinder(shared.value[0])
         for b in batches:
             o: list[list] = [[] for _ in range(7)]
-            for p, items, texts, cos, qs in scored(b):
-                for r, (q, terms) in enumerate(qs):
-                    rel = np.array([any(t in x for t in terms) for x in texts], dtype=bool)
-                    n = int(rel.sum())
-                    top = int(np.where(rel, cos[r], -np.inf).argmax()) if n else -1
-                    other = float(cos[r][~rel].max()) if n < len(texts) else None
-                    for c, value in zip(o, (p, q, len(texts), n, float(cos[r, top]) if n else None, items[top] if n else None, other)):
-                        c.append(value)
+            for p, items, texts, slices, ids, ts in scored(b):
+                holders = finder.holders(texts)
+                none = np.zeros(0, dtype=np.int64)
+                sets: dict[tuple, np.ndarray] = {}
+                for lo, cos in slices:
+                    tops = []
+                    for r in range(len(cos)):
+                        key = tuple(ts[lo + r])
+                        if key not in sets:
+                            held = [holders[t] for t in key if t in holders]
+                            sets[key] = np.unique(np.concatenate(held)) if held else none
+                        rel = sets[key]
+                        if len(rel):
+                            c = np.round(cos[r, rel], 6)
+                            top = int(c.argmax())
+                            tops.append((len(rel), float(c[top]), items[rel[top]]))
+                            cos[r, rel] = -np.inf
+                        else:
+                            tops.append((0, None, None))
+                    other = np.round(cos.max(axis=1), 6)  # rounding keeps the order
+                    for r, (n, c, item) in enumerate(tops):
+                        for column, value in zip(o, (p, ids[lo + r], len(texts), n, c, item, float(other[r]) if n < len(texts) else None)):
+                            column.append(value)
             kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.string(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(o, kinds)], names=["profile", "query", "chunks", "relevant", "cosine", "item", "other"])
 
@@ -103,12 +168,21 @@ def ranked_evidence(base: DataFrame, questions: DataFrame) -> DataFrame:
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple, int] = {}
         for b in batches:
-            for p, items, _, cos, qs in scored(b):
+            for p, items, _, slices, ids, _ in scored(b):
                 names = np.array(items, dtype=object)
-                for r, (q, _) in enumerate(qs):
-                    if (p, q) in bars.value:
-                        c, item = bars.value[p, q]
-                        total[p, q] = total.get((p, q), 0) + int((cos[r] > c).sum()) + int(((cos[r] == c) & (names < item)).sum())
+                for lo, cos in slices:
+                    bar = [bars.value.get((p, q)) for q in ids[lo : lo + len(cos)]]
+                    level = np.array([x[0] if x else np.inf for x in bar])[:, None]
+                    # cosines next to the bar are compared in rounded figures
+                    above = np.count_nonzero(cos > level + 1e-6, axis=1)
+                    r_, c_ = np.nonzero(cos >= level - 1e-6)
+                    close = cos[r_, c_] <= level[r_, 0] + 1e-6
+                    for r, c in zip(r_[close].tolist(), c_[close].tolist()):
+                        value = np.round(cos[r, c], 6)
+                        above[r] += value > bar[r][0] or value == bar[r][0] and names[c] < bar[r][1]
+                    for q, x, n in zip(ids[lo:], bar, above.tolist()):
+                        if x:
+                            total[p, q] = total.get((p, q), 0) + n
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["profile", "query", "n"])
 
     ahead = picked.mapInArrow(before, "profile string, query string, n long").groupBy("profile", "query").agg((F.sum("n") + 1).alias("first_relevant_rank"))
