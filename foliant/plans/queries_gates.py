@@ -64,7 +64,7 @@ def required_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def evidence_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = qr.hybrid_hits(spark, sf_dir, 10)
-    children = qr.chunks_once(spark, sf_dir).select("parent", F.col("source_text").alias("text"))
+    children = qr.chunks_once(spark, sf_dir, "parent", "source_text").select("parent", F.col("source_text").alias("text"))
     return gt.evidence_gate(hits.select("query", "parent"), children, required_terms(spark, sf_dir))
 
 
@@ -128,7 +128,7 @@ def _tops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best chunk of each question by either way, whether it holds a required term, and whether that's right."""
     hits = qr.hybrid_hits(spark, sf_dir, 1)
     tops = hits.select("query", "item", F.lit("hybrid").alias("way")).unionByName(qr.semantic_hits(spark, sf_dir, 1).select("query", "item", F.lit("semantic").alias("way")))
-    texts = qr.chunks_once(spark, sf_dir).select(F.col("chunk_id").alias("item"), "source_text")
+    texts = qr.chunks_once(spark, sf_dir, "source_text").select(F.col("chunk_id").alias("item"), "source_text")
     held = tops.join(texts, "item").join(required_terms(spark, sf_dir), "query", "left").select("query", "way", gt.holds_any(F.col("source_text"), F.coalesce("terms", F.array().cast("array<string>"))).alias("held"))
     e = read_table(spark, sf_dir, "embedding_queries").select(F.col("query_id").alias("query"), "expected_status", "profile_id")
     return held.join(e, "query").withColumn("correct", F.col("held") == (F.col("expected_status") == "answerable"))
