@@ -14,6 +14,17 @@ def latest(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("r")).select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest]).select(df.columns)
 
 
+def latest_of_few(df: DataFrame, keys: list[str], version: list[str], buckets: int = 1 << 20) -> DataFrame:
+    """As ``latest``, for tables where few keys have more than one row: only rows of such keys are shuffled, all others stay where they are read.
+
+    Repeated keys are known by a hash, of which at most ``buckets`` are broadcast. A key that shares its bucket with a repeated one is shuffled too, with the same result."""
+    number = F.xxhash64(*keys)
+    twice = df.select(number.alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select(F.pmod("h", F.lit(buckets)).alias("bucket")).distinct()
+    marked = df.withColumn("bucket", F.pmod(number, F.lit(buckets)))
+    once, many = (marked.join(F.broadcast(twice), "bucket", how).select(df.columns) for how in ("left_anti", "left_semi"))
+    return once.unionByName(latest(many, keys, version))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` replace those of ``old`` with the same key; keys of ``new`` are unique."""
     kept = old.join(new.select(*keys), keys, "left_anti")
