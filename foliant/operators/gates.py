@@ -9,10 +9,12 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
+from foliant.operators.retrieval import SLICE, cosines, places_of, rough, whole_batches
 
 
 def active_rows(rows: DataFrame, settings: DataFrame, column: str, key: str) -> DataFrame:
@@ -58,23 +60,20 @@ class TermFinder:
     RUN = re.compile("[a-z0-9]+|[\u3400-\u9fff]+")
 
     def __init__(self, terms: list[str], most: int = 500_000) -> None:
-        self.inside = [(i, t) for i, t in enumerate(terms) if self.RUN.fullmatch(t)]
+        self.inside: dict[bool, dict[int, dict[str, int]]] = {False: {}, True: {}}  # ideographs or not, by length
+        for i, t in enumerate(terms):
+            if self.RUN.fullmatch(t):
+                self.inside[t[0] > "z"].setdefault(len(t), {})[t] = i
         self.others = [(i, t) for i, t in enumerate(terms) if not self.RUN.fullmatch(t)]
-        self.most, self.known = most, {}
+        self.most, self.known, self.holding = most, set(), {}
 
     def learn(self, runs: list[str]) -> None:
-        """Note the terms inside of runs."""
-        text = "\n".join(runs)
-        ends = np.cumsum([len(x) + 1 for x in runs])
-        found: dict[int, list[int]] = {}
-        for i, t in self.inside:
-            at = text.find(t)
-            while at >= 0:
-                n = int(np.searchsorted(ends, at, side="right"))
-                found.setdefault(n, []).append(i)
-                at = text.find(t, int(ends[n]))
-        for n, x in enumerate(runs):
-            self.known[x] = found.get(n, ())
+        """Note the terms inside of runs: the parts of a run are looked up among the terms of their length, however many terms there are."""
+        for x in runs:
+            found = [i for n, terms in self.inside[x[0] > "z"].items() for at in range(len(x) - n + 1) if (i := terms.get(x[at : at + n])) is not None]
+            if found:
+                self.holding[x] = found
+        self.known.update(runs)
 
     def holders(self, texts: list[str]) -> dict[int, np.ndarray]:
         """For each term that any of the texts holds the places of those that do, in order."""
@@ -83,12 +82,13 @@ class TermFinder:
         new = [x for x in every if x not in self.known]
         if len(self.known) + len(new) > self.most:  # runs are kept in mind for later batches, as far as there is room
             self.known.clear()
+            self.holding.clear()
             new = list(every)
         if new:
             self.learn(new)
         out: dict[int, list[int]] = {}
         for n, own in enumerate(runs):
-            for i in {i for x in own for i in self.known[x]}:
+            for i in {i for x in own & self.holding.keys() for i in self.holding[x]}:
                 out.setdefault(i, []).append(n)
         for i, t in self.others:
             if held := [n for n, x in enumerate(texts) if t in x]:
@@ -101,7 +101,7 @@ def ranked_evidence(base: DataFrame, questions: DataFrame) -> DataFrame:
     cosine rounded to six digits, ties to the smaller item.
 
     ``base``: ``profile, item, space, v, text``; ``questions``, a stated set that is held by the driver and shared: ``query, space, v, terms``. Two passes over
-    ``base``, each summed per batch: the best relevant and other chunks first, then how many chunks stand before the best relevant one. Each term is looked for once
+    ``base``, each summed per task: the best relevant and other chunks first, then how many chunks stand before the best relevant one. Each term is looked for once
     in the different words of a batch, not in each text for each question."""
     spark = base.sparkSession
     groups: dict[tuple, tuple[list, list, list]] = {}
@@ -111,84 +111,119 @@ def ranked_evidence(base: DataFrame, questions: DataFrame) -> DataFrame:
         x = np.array(v, dtype=np.float64)
         ids.append(q)
         vs.append(x / np.linalg.norm(x))
-        ts.append(sorted({number.setdefault(t, len(number)) for t in terms or []}))
-    shared = spark.sparkContext.broadcast((list(number), {g: (ids, np.stack(vs), ts) for g, (ids, vs, ts) in groups.items()}))
+        ts.append(tuple(sorted({number.setdefault(t, len(number)) for t in terms or []})))
+    names = {g: ids for g, (ids, _, _) in groups.items()}
+    place = {g: n for n, g in enumerate(groups)}
+    shared = spark.sparkContext.broadcast((list(number), {g: (np.stack(vs), ts) for g, (_, vs, ts) in groups.items()}))
     picked = base.select(F.col("profile").cast("string"), F.col("item").cast("string"), F.col("space").cast("string"), F.col("v").cast("array<double>"), tx.fold(F.coalesce("text", F.lit(""))).alias("text"))
 
-    def scored(b: pa.RecordBatch) -> Iterator[tuple[str, list[str], list[str], Iterator[tuple[int, np.ndarray]], list[str], list[list[int]]]]:
-        """(profile, items in order, texts, slices of cosines per question from a question on, questions, numbers of their terms) of each profile and space of a batch."""
-        profiles, items, spaces, vecs, texts = (c.to_pylist() for c in b.columns)
-        rows: dict[tuple, list[int]] = {}
-        for j, (p, s, v) in enumerate(zip(profiles, spaces, vecs)):
-            if (s, len(v)) in shared.value[1]:
-                rows.setdefault((p, s, len(v)), []).append(j)
-        for (p, s, n), at in rows.items():
-            at.sort(key=lambda j: items[j])
-            ids, qm, ts = shared.value[1][s, n]
-            x = np.array([vecs[j] for j in at], dtype=np.float64)
-            x = (x / np.linalg.norm(x, axis=1, keepdims=True)).T
-            yield p, [items[j] for j in at], [texts[j] for j in at], ((lo, qm[lo : lo + 256] @ x) for lo in range(0, len(ids), 256)), ids, ts
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, tuple, np.ndarray, pa.RecordBatch, Iterator[tuple[int, np.ndarray, np.ndarray]]]]:
+        """(profile, space and length, unit vectors, rows in order of their items, slices of cosines in single precision) of each profile and space of a batch."""
+        for b in whole_batches(batches, 10_000):
+            b = b.take(pc.sort_indices(b.column(1)))
+            rows: dict[tuple, list[int]] = {}
+            for j, (p, s, n) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), pc.list_value_length(b.column(3)).to_pylist())):
+                if (s, n) in shared.value[1]:
+                    rows.setdefault((p, s, n), []).append(j)
+            for (p, s, n), at in rows.items():
+                own = b.take(pa.array(at))
+                x = own.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
+                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                qm = shared.value[1][s, n][0]
+                low, low_q = x.astype(np.float32).T, qm.astype(np.float32)
+                yield p, (s, n), x, own, ((lo, qm[lo : lo + SLICE], low_q[lo : lo + SLICE] @ low) for lo in range(0, len(qm), SLICE))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = TermFinder(shared.value[0])
-        for b in batches:
-            o: list[list] = [[] for _ in range(7)]
-            for p, items, texts, slices, ids, ts in scored(b):
-                holders = finder.holders(texts)
-                none = np.zeros(0, dtype=np.int64)
-                sets: dict[tuple, np.ndarray] = {}
-                for lo, cos in slices:
-                    tops = []
-                    for r in range(len(cos)):
-                        key = tuple(ts[lo + r])
-                        if key not in sets:
-                            held = [holders[t] for t in key if t in holders]
-                            sets[key] = np.unique(np.concatenate(held)) if held else none
-                        rel = sets[key]
-                        if len(rel):
-                            c = np.round(cos[r, rel], 6)
-                            top = int(c.argmax())
-                            tops.append((len(rel), float(c[top]), items[rel[top]]))
-                            cos[r, rel] = -np.inf
-                        else:
-                            tops.append((0, None, None))
-                    other = np.round(cos.max(axis=1), 6)  # rounding keeps the order
-                    for r, (n, c, item) in enumerate(tops):
-                        for column, value in zip(o, (p, ids[lo + r], len(texts), n, c, item, float(other[r]) if n < len(texts) else None)):
-                            column.append(value)
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.string(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(o, kinds)], names=["profile", "query", "chunks", "relevant", "cosine", "item", "other"])
-
-    found = picked.mapInArrow(best, "profile string, query string, chunks long, relevant long, cosine double, item string, other double")
+        yield from best_evidence(parts_of(batches), shared.value[0], {g: ts for g, (_, ts) in shared.value[1].items()}, place)
+
+    found = picked.mapInArrow(best, "profile string, g int, q int, chunks long, relevant long, cosine double, item string, other double")
     first = F.min_by(F.struct("cosine", "item"), F.when(F.col("item").isNotNull(), F.struct(-F.col("cosine"), F.col("item"))))
-    per = found.groupBy("profile", "query").agg(F.sum("chunks").alias("chunks"), F.sum("relevant").alias("relevant"), first.alias("b"), F.max("other").alias("top_other")).collect()
-    bar = {(r["profile"], r["query"]): (r["b"]["cosine"], r["b"]["item"]) for r in per if r["b"] and r["b"]["item"] is not None}
-    bars = spark.sparkContext.broadcast(bar)  # one per question of the set and profile
+    per = found.groupBy("profile", "g", "q").agg(F.sum("chunks").alias("chunks"), F.sum("relevant").alias("relevant"), first.alias("b"), F.max("other").alias("top_other"))
+    per = per.select("profile", "g", "q", "chunks", "relevant", F.col("b.cosine").alias("top_relevant"), F.col("b.item").alias("item"), "top_other").toArrow()
+    of = list(groups)
+    bar: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}  # of each profile and space the level and item of each question
+    rows = []
+    for p, g, q, chunks, relevant, cosine, item, other in zip(*(c.to_pylist() for c in per.columns)):
+        rows.append((p, names[of[g]][q], chunks, relevant, cosine, other))
+        if item is not None:
+            level, items = bar.setdefault((p, of[g]), (np.full(len(names[of[g]]), np.inf), np.full(len(names[of[g]]), "", dtype=object)))
+            level[q], items[q] = cosine, item
+    bars = spark.sparkContext.broadcast(bar)
 
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple, int] = {}
-        for b in batches:
-            for p, items, _, slices, ids, _ in scored(b):
-                names = np.array(items, dtype=object)
-                for lo, cos in slices:
-                    bar = [bars.value.get((p, q)) for q in ids[lo : lo + len(cos)]]
-                    level = np.array([x[0] if x else np.inf for x in bar])[:, None]
-                    # cosines next to the bar are compared in rounded figures
-                    above = np.count_nonzero(cos > level + 1e-6, axis=1)
-                    r_, c_ = np.nonzero(cos >= level - 1e-6)
-                    close = cos[r_, c_] <= level[r_, 0] + 1e-6
-                    for r, c in zip(r_[close].tolist(), c_[close].tolist()):
-                        value = np.round(cos[r, c], 6)
-                        above[r] += value > bar[r][0] or value == bar[r][0] and names[c] < bar[r][1]
-                    for q, x, n in zip(ids[lo:], bar, above.tolist()):
-                        if x:
-                            total[p, q] = total.get((p, q), 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["profile", "query", "n"])
-
-    ahead = picked.mapInArrow(before, "profile string, query string, n long").groupBy("profile", "query").agg((F.sum("n") + 1).alias("first_relevant_rank"))
-    rows = [(r["profile"], r["query"], r["chunks"], r["relevant"], r["b"]["cosine"] if r["b"] else None, r["top_other"]) for r in per]
+        total: dict[tuple, np.ndarray] = {}
+        for p, g, x, own, slices in parts_of(batches):
+            if (p, g) not in bars.value:
+                continue
+            level, items = bars.value[p, g]
+            n = total.setdefault((p, g), np.zeros(len(level), dtype=np.int64))
+            here = np.searchsorted(np.array(own.column(1).to_pylist(), dtype=object), items)  # where a question's item stands, or would
+            near = rough(x.shape[1])
+            for lo, qm, cos in slices:
+                least, most = ((level[lo : lo + SLICE] + d).astype(np.float32) for d in (-near, near))
+                above = np.array([np.count_nonzero(c > m) for c, m in zip(cos, most)])
+                all_ = np.array([np.count_nonzero(c >= m) for c, m in zip(cos, least)])
+                # cosines next to the bar are compared in double precision and rounded figures
+                if len(some := np.flatnonzero(all_ != above)):
+                    r, c = places_of((cos[some] >= least[some, None]) & (cos[some] <= most[some, None]))
+                    r = some[r]
+                    value, bar = np.round(cosines(qm, x, r, c), 6), level[lo + r]
+                    np.add.at(above, r, (value > bar) | (value == bar) & (c < here[lo + r]))
+                n[lo : lo + SLICE] += above
+        for (p, g), n in total.items():
+            q = np.flatnonzero(bars.value[p, g][0] < np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array([p] * len(q), pa.string()), pa.array(np.full(len(q), place[g]), pa.int32()), pa.array(q, pa.int32()), pa.array(n[q])], names=["profile", "g", "q", "n"])
+
+    ahead = picked.mapInArrow(before, "profile string, g int, q int, n long").groupBy("profile", "g", "q").agg((F.sum("n") + 1).alias("first_relevant_rank"))
+    ids = spark.createDataFrame(pa.table({"g": pa.array([place[g] for g, x in names.items() for _ in x], pa.int32()), "q": pa.array([q for x in names.values() for q in range(len(x))], pa.int32()), "query": pa.array([q for x in names.values() for q in x], pa.string())}))
     table = spark.createDataFrame(rows, "profile string, query string, chunks long, relevant long, top_relevant double, top_other double")
-    return table.join(ahead, ["profile", "query"], "left")
+    return table.join(ahead.join(ids, ["g", "q"]).select("profile", "query", "first_relevant_rank"), ["profile", "query"], "left")
+
+
+def best_evidence(parts: Iterator[tuple], terms: list[str], wanted: dict[tuple, list[tuple[int, ...]]], place: dict[tuple, int]) -> Iterator[pa.RecordBatch]:
+    """``profile, g, q, chunks, relevant, cosine, item, other``: of a task's rows, a row per profile and question, whatever the number of batches: how many hold a required term, the best that does, and
+    the best cosine of those that don't. Single precision tells which may be the best, double precision and rounded figures decide."""
+    finder, held = TermFinder(terms), {}
+    none = np.zeros(0, dtype=np.int64)
+    for p, g, x, own, slices in parts:
+        many, near = len(wanted[g]), 2 * rough(x.shape[1])
+        state = held.setdefault((p, g), [0, np.zeros(many, np.int64), np.full(many, -np.inf), np.full(many, None, dtype=object), np.full(many, -np.inf)])
+        state[0] += len(own)
+        _, relevant, top, item, other = state
+        items = own.column(1).to_pylist()
+        holders = finder.holders(own.column(4).to_pylist())
+        sets: dict[tuple, np.ndarray] = {}
+        for lo, qm, cos in slices:
+            rel = []
+            for key in wanted[g][lo : lo + SLICE]:
+                if key not in sets:
+                    with_ = [holders[t] for t in key if t in holders]
+                    sets[key] = np.unique(np.concatenate(with_)) if len(with_) > 1 else with_[0] if with_ else none
+                rel.append(sets[key])
+            size = np.array([len(c) for c in rel])
+            relevant[lo : lo + SLICE] += size
+            r, c = np.repeat(np.arange(len(rel)), size), np.concatenate(rel)
+            if len(c):
+                value, cos[r, c] = cos[r, c], -np.inf
+                most = np.full(len(rel), -np.inf)
+                most[size > 0] = np.maximum.reduceat(value, (np.cumsum(size) - size)[size > 0])
+                fine = np.flatnonzero(value >= np.maximum(most, top[lo : lo + SLICE])[r] - near)
+                r, c = r[fine], c[fine]
+                value = np.round(cosines(qm, x, r, c), 6)
+                order = np.lexsort((c, -value, r))  # rows are in order of their items
+                for j in order[np.r_[True, r[order][1:] != r[order][:-1]]].tolist() if len(order) else []:
+                    q = lo + r[j]
+                    if value[j] > top[q] or value[j] == top[q] and items[c[j]] < item[q]:
+                        top[q], item[q] = value[j], items[c[j]]
+            most = cos.max(axis=1)
+            some = np.flatnonzero((most > -np.inf) & (most >= other[lo : lo + SLICE] - near))
+            if len(some):
+                r, c = places_of(cos[some] >= (most[some] - near)[:, None])
+                np.maximum.at(other, lo + some[r], np.round(cosines(qm, x, some[r], c), 6))
+    for (p, g), (n, relevant, top, item, other) in held.items():
+        q = np.arange(len(top))
+        columns = [pa.array([p] * len(q), pa.string()), pa.array(np.full(len(q), place[g]), pa.int32()), pa.array(q, pa.int32()), pa.array(np.full(len(q), n)), pa.array(relevant), pa.array(top, mask=top == -np.inf), pa.array(item, pa.string()), pa.array(other, mask=other == -np.inf)]
+        yield pa.RecordBatch.from_arrays(columns, names=["profile", "g", "q", "chunks", "relevant", "cosine", "item", "other"])
 
 
 def query_metrics(ranked: DataFrame, expected: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ _METRICS = (
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "embedding_chunks").groupBy("chunk_id").agg(F.max_by(F.struct("profile_id", "source_text", "embedding_json", "dimensions", "vector_space_id"), "ingested_at").alias("r")).select("chunk_id", "r.*")
+    c = qr.chunks_once(spark, sf_dir, "profile_id", "source_text", *qr._VECTOR, "ingested_at").filter("ingested_at IS NOT NULL")
     base = qr._usable(c, "chunk_id", F.col("profile_id").alias("profile"), F.col("source_text").alias("text"))
     q = qr.asked_questions(spark, sf_dir).join(required_terms(spark, sf_dir), "query", "left")
     expected = read_table(spark, sf_dir, "embedding_queries").select(F.col("query_id").alias("query"), "expected_status")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from foliant.operators import gates as gt
 
@@ -42,3 +43,39 @@ def test_each_different_run_is_searched_once():
     for _ in range(2):
         held = finder.holders([f"a text with term{i % 7}" for i in range(5000)])
     assert len(searched) == len(set(searched)) == 10 and sum(map(len, held.values())) == 5000
+
+
+def test_the_parts_of_a_run_are_looked_up_once_however_many_terms():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    finder = gt.TermFinder([f"term{i:05d}" for i in range(20_000)])
+    finder.inside = {script: {n: Counted(terms) for n, terms in by.items()} for script, by in finder.inside.items()}
+    held = finder.holders([f"xterm{i:05d}y" for i in range(50)])
+    assert held.keys() == set(range(50)) and Counted.asked == 150
+
+
+def test_a_task_sends_a_row_per_question_whatever_its_batches():
+    rng = np.random.default_rng(7)
+    unit = lambda n: (x := rng.integers(-2, 3, size=(n, 3)) + [0, 0, 0.5]) / np.linalg.norm(x, axis=1, keepdims=True)
+    qm, wanted, rows = unit(9), [(0,), (1,), (), (0, 1), (2,)] + [(0,)] * 4, []
+
+    def parts():
+        for n in range(12):
+            x, texts, items = unit(40), [["alpha", "beta", "none"][i] for i in rng.integers(0, 3, 40)], [f"i{(n * 7) % 12:02d}{i:02d}" for i in range(40)]
+            rows.extend(zip(items, x, texts))
+            own = pa.RecordBatch.from_arrays([pa.array(["p"] * 40), pa.array(items), pa.array(["s"] * 40), pa.array(x.tolist()), pa.array(texts)], names=list("pisvt"))
+            yield "p", ("s", 3), x, own, iter([(0, qm, qm.astype(np.float32) @ x.astype(np.float32).T)])
+
+    terms = ["alph", "beta", "zz"]
+    got = pa.Table.from_batches(gt.best_evidence(parts(), terms, {("s", 3): wanted}, {("s", 3): 0})).to_pylist()
+    assert len(got) == 9
+    for r in got:
+        rel = [(-round(float(qm[r["q"]] @ x), 6), i) for i, x, t in rows if any(terms[w] in t for w in wanted[r["q"]])]
+        other = [round(float(qm[r["q"]] @ x), 6) for i, x, t in rows if not any(terms[w] in t for w in wanted[r["q"]])]
+        first = min(rel) if rel else (None, None)
+        assert (r["chunks"], r["relevant"], r["item"]) == (480, len(rel), first[1]) and r["cosine"] == (-first[0] if rel else None) and r["other"] == max(other)
