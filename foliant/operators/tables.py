@@ -25,6 +25,13 @@ def latest_of_few(df: DataFrame, keys: list[str], version: list[str], buckets: i
     return once.unionByName(latest(many, keys, version))
 
 
+def maybe_in(df: DataFrame, key: str, wanted: DataFrame, buckets: int = 1 << 20) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among the same column of ``wanted``, and few others, before a join that would shuffle them all. Keys are compared by buckets of their hash, of which at most
+    ``buckets`` are broadcast."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).alias("bucket")
+    return df.withColumn("bucket", bucket(F.col(key))).join(F.broadcast(wanted.select(bucket(F.col(key))).distinct()), "bucket", "left_semi").select(df.columns)
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` replace those of ``old`` with the same key; keys of ``new`` are unique."""
     kept = old.join(new.select(*keys), keys, "left_anti")
