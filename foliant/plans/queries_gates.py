@@ -11,7 +11,7 @@ from foliant.operators import retrieval as rt
 from foliant.operators import tables as tb
 from foliant.plans import queries_retrieval as qr
 from foliant.registry import query
-from foliant.session import cut_lineage, read_table
+from foliant.session import cut_lineage, kept, read_table
 
 _FOLD = qr._FOLD
 
@@ -124,11 +124,13 @@ _TOPS = (
 )
 
 
-def _tops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best chunk of each question by either way, whether it holds a required term, and whether that's right."""
-    hits = qr.hybrid_hits(spark, sf_dir, 1)
-    tops = hits.select("query", "item", F.lit("hybrid").alias("way")).unionByName(qr.semantic_hits(spark, sf_dir, 1).select("query", "item", F.lit("semantic").alias("way")))
-    texts = qr.chunks_once(spark, sf_dir, "source_text").select(F.col("chunk_id").alias("item"), "source_text")
+_WAYS = {"hybrid": qr.hybrid_hits, "semantic": qr.semantic_hits}
+
+
+def _tops(spark: SparkSession, sf_dir: str, *ways: str) -> DataFrame:
+    """The best chunk of each question by the ``ways`` asked for, whether it holds a required term, and whether that's right."""
+    tops = kept(tb.union_all([_WAYS[w](spark, sf_dir, 1).select("query", "item", F.lit(w).alias("way")) for w in ways]))  # read twice
+    texts = tb.maybe_in(qr.chunks_once(spark, sf_dir, "source_text").select(F.col("chunk_id").alias("item"), "source_text"), "item", tops)
     held = tops.join(texts, "item").join(required_terms(spark, sf_dir), "query", "left").select("query", "way", gt.holds_any(F.col("source_text"), F.coalesce("terms", F.array().cast("array<string>"))).alias("held"))
     e = read_table(spark, sf_dir, "embedding_queries").select(F.col("query_id").alias("query"), "expected_status", "profile_id")
     return held.join(e, "query").withColumn("correct", F.col("held") == (F.col("expected_status") == "answerable"))
@@ -136,14 +138,14 @@ def _tops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_TOPS + " SELECT query, expected_status, held, CASE WHEN expected_status = 'answerable' THEN CASE WHEN held THEN 'answerable_with_page_evidence' ELSE 'hold_for_evidence' END WHEN held THEN 'unsafe_false_support' ELSE 'refuse_no_book_relation' END AS answer_gate, correct FROM hs WHERE way = 'hybrid'")
 def hybrid_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _tops(spark, sf_dir).filter("way = 'hybrid'")
+    t = _tops(spark, sf_dir, "hybrid")
     gate = F.when(F.col("expected_status") == "answerable", F.when(F.col("held"), "answerable_with_page_evidence").otherwise("hold_for_evidence")).when(F.col("held"), "unsafe_false_support").otherwise("refuse_no_book_relation")
     return t.select("query", "expected_status", "held", gate.alias("answer_gate"), "correct")
 
 
 @query(_TOPS + " SELECT profile_id, way, count(*) AS queries, round(avg(CAST(correct AS INTEGER)), 6) AS correct_share, bool_and(correct) AS all_gates_pass FROM hs JOIN embedding_queries e ON e.query_id = query GROUP BY ALL")
 def semantic_against_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tops(spark, sf_dir).groupBy("profile_id", "way").agg(F.count("*").alias("queries"), F.round(F.avg(F.col("correct").cast("int")), 6).alias("correct_share"), F.bool_and("correct").alias("all_gates_pass"))
+    return _tops(spark, sf_dir, *_WAYS).groupBy("profile_id", "way").agg(F.count("*").alias("queries"), F.round(F.avg(F.col("correct").cast("int")), 6).alias("correct_share"), F.bool_and("correct").alias("all_gates_pass"))
 
 
 _SELECTED = "e AS (SELECT record_id AS query, chunk_id, source_text, row_number() OVER (PARTITION BY record_id ORDER BY pdf_page, chunk_id) AS ordinal FROM (SELECT DISTINCT record_id, chunk_id, pdf_page, source_text FROM embedding_chunks) QUALIFY ordinal <= 5)"
