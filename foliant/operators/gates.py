@@ -96,40 +96,45 @@ class TermFinder:
         return {i: np.array(x) for i, x in out.items()}
 
 
-def ranked_evidence(base: DataFrame, questions: DataFrame) -> DataFrame:
+def ranked_evidence(base: DataFrame, questions: DataFrame, bare: DataFrame | None = None) -> DataFrame:
     """``profile, query, chunks, relevant, first_relevant_rank, top_relevant, top_other``: where the first chunk with a required term stands among all chunks of a profile, by
     cosine rounded to six digits, ties to the smaller item.
 
-    ``base``: ``profile, item, space, v, text``; ``questions``, a stated set that is held by the driver and shared: ``query, space, v, terms``. Two passes over
-    ``base``, each summed per task: the best relevant and other chunks first, then how many chunks stand before the best relevant one. Each term is looked for once
-    in the different words of a batch, not in each text for each question."""
+    ``base``: ``profile, item, space, v, text``; ``questions``, a stated set that is held by the driver and shared: ``query, space, v, terms``, and ``ranked``, if given, whether a rank is asked for
+    (else it is null). Two passes over ``base``, each summed per task: the best relevant and other chunks first, then how many chunks stand before the best relevant one. The second reads
+    no texts (``bare``, if given, has the same rows without them) and meets only questions whose best other chunk isn't below the best relevant one, as that is first otherwise. Each term is looked for once in the different words of a batch,
+    not in each text for each question."""
     spark = base.sparkSession
-    groups: dict[tuple, tuple[list, list, list]] = {}
+    groups: dict[tuple, tuple[list, list, list, list]] = {}
     number: dict[str, int] = {}
-    for q, space, v, terms in questions.select("query", "space", F.col("v").cast("array<double>"), "terms").collect():
-        ids, vs, ts = groups.setdefault((space, len(v)), ([], [], []))
+    flag = F.col("ranked") if "ranked" in questions.columns else F.lit(True)
+    for q, space, v, terms, ranked in questions.select("query", "space", F.col("v").cast("array<double>"), "terms", flag).collect():
+        ids, vs, ts, wanted = groups.setdefault((space, len(v)), ([], [], [], []))
+        wanted.append(bool(ranked))
         x = np.array(v, dtype=np.float64)
         ids.append(q)
         vs.append(x / np.linalg.norm(x))
         ts.append(tuple(sorted({number.setdefault(t, len(number)) for t in terms or []})))
-    names = {g: ids for g, (ids, _, _) in groups.items()}
+    names = {g: ids for g, (ids, *_) in groups.items()}
     place = {g: n for n, g in enumerate(groups)}
-    shared = spark.sparkContext.broadcast((list(number), {g: (np.stack(vs), ts) for g, (_, vs, ts) in groups.items()}))
-    picked = base.select(F.col("profile").cast("string"), F.col("item").cast("string"), F.col("space").cast("string"), F.col("v").cast("array<double>"), tx.fold(F.coalesce("text", F.lit(""))).alias("text"))
+    shared = spark.sparkContext.broadcast((list(number), {g: (np.stack(vs), ts) for g, (_, vs, ts, _) in groups.items()}))
+    plain = [F.col("profile").cast("string"), F.col("item").cast("string"), F.col("space").cast("string"), F.col("v").cast("array<double>")]
+    picked = base.select(*plain, tx.fold(F.coalesce("text", F.lit(""))).alias("text"))
 
-    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, tuple, np.ndarray, pa.RecordBatch, Iterator[tuple[int, np.ndarray, np.ndarray]]]]:
-        """(profile, space and length, unit vectors, rows in order of their items, slices of cosines in single precision) of each profile and space of a batch."""
+    def parts_of(batches: Iterator[pa.RecordBatch], some: dict[tuple, np.ndarray] | None = None) -> Iterator[tuple[str, tuple, np.ndarray, pa.RecordBatch, Iterator[tuple[int, np.ndarray, np.ndarray]]]]:
+        """(profile, space and length, unit vectors, rows in order of their items, slices of cosines in single precision) of each profile and space of a batch; with all questions or ``some``."""
         for b in whole_batches(batches, 10_000):
             b = b.take(pc.sort_indices(b.column(1)))
             rows: dict[tuple, list[int]] = {}
             for j, (p, s, n) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), pc.list_value_length(b.column(3)).to_pylist())):
-                if (s, n) in shared.value[1]:
+                if (s, n) in shared.value[1] and (some is None or (p, (s, n)) in some):
                     rows.setdefault((p, s, n), []).append(j)
             for (p, s, n), at in rows.items():
                 own = b.take(pa.array(at))
                 x = own.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
                 qm = shared.value[1][s, n][0]
+                qm = qm if some is None else qm[some[p, (s, n)]]
                 low, low_q = x.astype(np.float32).T, qm.astype(np.float32)
                 yield p, (s, n), x, own, ((lo, qm[lo : lo + SLICE], low_q[lo : lo + SLICE] @ low) for lo in range(0, len(qm), SLICE))
 
@@ -141,21 +146,21 @@ def ranked_evidence(base: DataFrame, questions: DataFrame) -> DataFrame:
     per = found.groupBy("profile", "g", "q").agg(F.sum("chunks").alias("chunks"), F.sum("relevant").alias("relevant"), first.alias("b"), F.max("other").alias("top_other"))
     per = per.select("profile", "g", "q", "chunks", "relevant", F.col("b.cosine").alias("top_relevant"), F.col("b.item").alias("item"), "top_other").toArrow()
     of = list(groups)
-    bar: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}  # of each profile and space the level and item of each question
+    bar: dict[tuple, tuple[list, list, list]] = {}  # of each profile and space the questions to be ranked, the levels and items of their best relevant chunks
     rows = []
     for p, g, q, chunks, relevant, cosine, item, other in zip(*(c.to_pylist() for c in per.columns)):
-        rows.append((p, names[of[g]][q], chunks, relevant, cosine, other))
-        if item is not None:
-            level, items = bar.setdefault((p, of[g]), (np.full(len(names[of[g]]), np.inf), np.full(len(names[of[g]]), "", dtype=object)))
-            level[q], items[q] = cosine, item
-    bars = spark.sparkContext.broadcast(bar)
+        ranked = item is not None and groups[of[g]][3][q]
+        ahead_of_all = ranked and (other is None or cosine > other)
+        rows.append((p, names[of[g]][q], chunks, relevant, cosine, other, 1 if ahead_of_all else None))
+        if ranked and not ahead_of_all:
+            for held, x in zip(bar.setdefault((p, of[g]), ([], [], [])), (q, cosine, item)):
+                held.append(x)
+    bars = spark.sparkContext.broadcast({k: (np.array(q), np.array(level), np.array(items, dtype=object)) for k, (q, level, items) in bar.items()})
 
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple, np.ndarray] = {}
-        for p, g, x, own, slices in parts_of(batches):
-            if (p, g) not in bars.value:
-                continue
-            level, items = bars.value[p, g]
+        for p, g, x, own, slices in parts_of(batches, {k: q for k, (q, _, _) in bars.value.items()}):
+            _, level, items = bars.value[p, g]
             n = total.setdefault((p, g), np.zeros(len(level), dtype=np.int64))
             here = np.searchsorted(np.array(own.column(1).to_pylist(), dtype=object), items)  # where a question's item stands, or would
             near = rough(x.shape[1])
@@ -171,13 +176,14 @@ def ranked_evidence(base: DataFrame, questions: DataFrame) -> DataFrame:
                     np.add.at(above, r, (value > bar) | (value == bar) & (c < here[lo + r]))
                 n[lo : lo + SLICE] += above
         for (p, g), n in total.items():
-            q = np.flatnonzero(bars.value[p, g][0] < np.inf)
-            yield pa.RecordBatch.from_arrays([pa.array([p] * len(q), pa.string()), pa.array(np.full(len(q), place[g]), pa.int32()), pa.array(q, pa.int32()), pa.array(n[q])], names=["profile", "g", "q", "n"])
+            q = bars.value[p, g][0]
+            yield pa.RecordBatch.from_arrays([pa.array([p] * len(q), pa.string()), pa.array(np.full(len(q), place[g]), pa.int32()), pa.array(q, pa.int32()), pa.array(n)], names=["profile", "g", "q", "n"])
 
-    ahead = picked.mapInArrow(before, "profile string, g int, q int, n long").groupBy("profile", "g", "q").agg((F.sum("n") + 1).alias("first_relevant_rank"))
+    ahead = (base if bare is None else bare).select(*plain).mapInArrow(before, "profile string, g int, q int, n long").groupBy("profile", "g", "q").agg((F.sum("n") + 1).alias("counted"))
     ids = spark.createDataFrame(pa.table({"g": pa.array([place[g] for g, x in names.items() for _ in x], pa.int32()), "q": pa.array([q for x in names.values() for q in range(len(x))], pa.int32()), "query": pa.array([q for x in names.values() for q in x], pa.string())}))
-    table = spark.createDataFrame(rows, "profile string, query string, chunks long, relevant long, top_relevant double, top_other double")
-    return table.join(ahead.join(ids, ["g", "q"]).select("profile", "query", "first_relevant_rank"), ["profile", "query"], "left")
+    table = spark.createDataFrame(rows, "profile string, query string, chunks long, relevant long, top_relevant double, top_other double, known long")
+    joined = table.join(ahead.join(ids, ["g", "q"]).select("profile", "query", "counted"), ["profile", "query"], "left")
+    return joined.withColumn("first_relevant_rank", F.coalesce("known", "counted")).drop("known", "counted")
 
 
 def best_evidence(parts: Iterator[tuple], terms: list[str], wanted: dict[tuple, list[tuple[int, ...]]], place: dict[tuple, int]) -> Iterator[pa.RecordBatch]:

@@ -84,11 +84,13 @@ _METRICS = (
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = qr.chunks_once(spark, sf_dir, "profile_id", "source_text", *qr._VECTOR, "ingested_at").filter("ingested_at IS NOT NULL")
-    base = qr._usable(c, "chunk_id", F.col("profile_id").alias("profile"), F.col("source_text").alias("text"))
-    q = qr.asked_questions(spark, sf_dir).join(required_terms(spark, sf_dir), "query", "left")
+    c, bare = (qr.chunks_once(spark, sf_dir, "profile_id", *more, *qr._VECTOR, "ingested_at").filter("ingested_at IS NOT NULL") for more in (["source_text"], []))
+    profile = F.col("profile_id").alias("profile")
+    base, bare = qr._usable(c, "chunk_id", profile, F.col("source_text").alias("text")), qr._usable(bare, "chunk_id", profile)
     expected = read_table(spark, sf_dir, "embedding_queries").select(F.col("query_id").alias("query"), "expected_status")
-    return gt.query_metrics(gt.ranked_evidence(base, q), expected)
+    ranked = expected.select("query", (F.col("expected_status") == "answerable").alias("ranked"))  # of the others no rank is asked for
+    q = qr.asked_questions(spark, sf_dir).join(required_terms(spark, sf_dir), "query", "left").join(ranked, "query", "left")
+    return gt.query_metrics(gt.ranked_evidence(base, q, bare), expected)
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
